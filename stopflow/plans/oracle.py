@@ -213,8 +213,10 @@ ORACLE: dict[str, str] = {
                        "AS INT) BETWEEN 0 AND 23, false) THEN 1 END) = 0, count(CASE WHEN arrival IS NOT NULL AND NOT coalesce("
                        "TRY_CAST(split_part(arrival,':',1) AS INT) BETWEEN 0 AND 23, false) THEN 1 END) FROM stops"),
     "scan_json": _with("SELECT * FROM raw_stops"),
-    "scan_csv": _with("SELECT number, trainName, station, station_name, arrival, departure, CAST(day AS VARCHAR) AS day, "
-                      "CAST(id AS VARCHAR) AS id FROM raw_stops"),
+    # CSV cannot tell an empty string from a missing value: both read back as null.
+    "scan_csv": _with("SELECT nullif(number,'') AS number, nullif(trainName,'') AS trainName, nullif(station,'') AS station, "
+                      "nullif(station_name,'') AS station_name, nullif(arrival,'') AS arrival, nullif(departure,'') AS departure, "
+                      "CAST(day AS VARCHAR) AS day, CAST(id AS VARCHAR) AS id FROM raw_stops"),
     "publish_parquet": _with("SELECT * FROM stops"),
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 }
