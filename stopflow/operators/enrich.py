@@ -56,29 +56,34 @@ def train_dimension_from_geojson(fc: DataFrame) -> DataFrame:
 
 
 def enrich_station(stops: DataFrame, stations: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join state and zone on station_code = station key."""
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+    """Left join state and zone on station_code = station key.
+
+    ``bound_by`` (e.g. the attribute rows before de-duplication) makes the
+    broadcast size check a cheap early-stopping scan.
+    """
     joined = join_dimension(stops, stations, stops["station_code"] == stations["_station_key"], "left",
-                            max_broadcast_rows)
+                            max_broadcast_rows, bound_by)
     return joined.drop("_station_key")
 
 
 def enrich_train(stops: DataFrame, trains: DataFrame,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join train_type on train_number = train key (fact side untrimmed)."""
     joined = join_dimension(stops, trains, stops["train_number"] == trains["_train_key"], "left",
-                            max_broadcast_rows)
+                            max_broadcast_rows, bound_by)
     return joined.drop("_train_key")
 
 
 def enrich(stops: DataFrame, stations: DataFrame | None, trains: DataFrame | None,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           stations_bound: DataFrame | None = None, trains_bound: DataFrame | None = None) -> DataFrame:
     """Both enrichments; a missing dimension is skipped."""
     out = stops
     if stations is not None:
-        out = enrich_station(out, stations, max_broadcast_rows)
+        out = enrich_station(out, stations, max_broadcast_rows, stations_bound)
     if trains is not None:
-        out = enrich_train(out, trains, max_broadcast_rows)
+        out = enrich_train(out, trains, max_broadcast_rows, trains_bound)
     return out
 
 

@@ -21,14 +21,18 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """Join a (usually small) dimension onto a fact table.
 
     The dimension is broadcast when its row count is proven to be within
     ``max_broadcast_rows``; otherwise the join is left to a shuffle join,
     which AQE may still turn into a broadcast from runtime sizes and whose
     skewed (hot-key) partitions AQE's skew-join handling splits.
+
+    ``bound_by`` is a cheaper frame with at least as many rows as ``dim``
+    (for example its input before de-duplication): the size check then
+    stops early on a scan instead of computing the dimension twice.
     """
-    if row_count_at_most(dim, max_broadcast_rows):
+    if row_count_at_most(dim if bound_by is None else bound_by, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

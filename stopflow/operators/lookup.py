@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.functions.text import category_equals, search_match, station_label, train_label
-from stopflow.functions.times import hour_label, in_hour_window
+from stopflow.functions.times import hour_label, in_arrival_period, in_hour_window
 from stopflow.operators.conform import select_existing
 from stopflow.operators.ranking import number_within_groups
 from stopflow.operators.slicers import route_filter, station_filter
@@ -63,7 +63,6 @@ def distinct_values(stops: DataFrame, column: str, drop_blank: bool = False) ->
 def station_timetable(stops: DataFrame, station_name: str, train_type: str | None = None,
                       min_halt: int = 0, period: str | None = None) -> DataFrame:
     """All halts at one station with the timetable slicers, by arrival (nulls last)."""
-    from stopflow.functions.times import in_arrival_period
     pred = None if period is None else in_arrival_period("arrival", period)
     df = station_filter(stops, station_name, train_type, min_halt, pred)
     df = select_existing(df, TIMETABLE_COLUMNS)
@@ -71,11 +70,19 @@ def station_timetable(stops: DataFrame, station_name: str, train_type: str | Non
 
 
 def station_card(stops: DataFrame) -> DataFrame:
-    """Per station name: a code, number of services and mean halt (1 decimal)."""
-    return stops.groupBy("station_name").agg(
+    """Per station name: a code, number of services and mean halt (1 decimal).
+
+    Two steps so the pass over all stops is a hash aggregate on
+    (name, code) with numeric buffers; only the station-sized result goes
+    through the sort-based ``min`` over text.
+    """
+    dur = F.col("stop_duration_mins")
+    pairs = stops.groupBy("station_name", "station_code").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(dur).alias("_s"), F.count(dur).alias("_c"))
+    return pairs.groupBy("station_name").agg(
         F.min("station_code").alias("station_code"),
-        F.count(F.lit(1)).alias("services"),
-        F.round(F.avg("stop_duration_mins"), 1).alias("avg_halt_mins"),
+        F.sum("_n").alias("services"),
+        F.round(F.try_divide(F.sum("_s").cast("double"), F.sum("_c").cast("double")), 1).alias("avg_halt_mins"),
     )
 
 

@@ -5,9 +5,12 @@ group to one task; if one train holds a third of all stops, that task does
 a third of the work.  :func:`number_within_groups` gives the same numbers
 without that hot task:
 
-1. a global sort on ``(g, k)`` - range partitioning samples the full key,
-   so a hot group is cut into many contiguous slices;
-2. each row gets its position inside its sorted partition;
+1. a global sort on ``(g, k, row id)`` - range partitioning samples the
+   full key, so a hot group is cut into many contiguous slices (the unique
+   row id lets even a group of identical keys be cut);
+2. each row gets its position inside its sorted partition; this table is
+   written once to the shared checkpoint folder, which pins the positions
+   and cuts the lineage;
 3. per (group, partition) slice: first position and row count - a small
    table (about one row per group plus one per partition);
 4. within each group the slices are ordered by partition, and a running
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from stopflow.session import materialize
 
 _LOW_BITS = 33  # monotonically_increasing_id puts the partition index above bit 33
 
@@ -30,18 +34,22 @@ _LOW_BITS = 33  # monotonically_increasing_id puts the partition index above bit
 def number_within_groups(df: DataFrame, group: str, order: list[Column], name: str = "seq_no",
                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Add ``name`` = 1..n within each ``group`` in ``order`` (ties broken arbitrarily)."""
+    cols = df.columns
     pos = F.monotonically_increasing_id()
-    ranked = (df.orderBy(F.col(group).asc(), *order)
+    ranked = (df.withColumn("_tie", F.monotonically_increasing_id())
+              .orderBy(F.col(group).asc(), *order, F.col("_tie").asc())
               .withColumn("_pos", pos)
-              .withColumn("_part", F.shiftright("_pos", _LOW_BITS))
-              .withColumn("_idx", F.col("_pos").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
+              .select(*cols, F.shiftright("_pos", _LOW_BITS).alias("_part"),
+                      F.col("_pos").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_idx")))
+    ranked = materialize(ranked, "group_sequence")
     slices = ranked.groupBy(group, "_part").agg(F.min("_idx").alias("_start"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(group, "_part", "_start",
+    offsets = slices.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_start",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    joined = join_dimension(ranked, offsets, [group, "_part"], "inner", max_broadcast_rows)
+    on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))
+    joined = join_dimension(ranked, offsets, on, "inner", max_broadcast_rows, bound_by=slices)
     seq = (F.col("_idx") - F.col("_start") + F.col("_before") + 1).cast("int")
-    return joined.withColumn(name, seq).drop("_pos", "_part", "_idx", "_start", "_before")
+    return joined.select(*cols, seq.alias(name))
 
 
 def number_within_groups_window(df: DataFrame, group: str, order: list[Column], name: str = "seq_no") -> DataFrame:

@@ -50,7 +50,9 @@ def trains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conformed, cleaned, enriched fact table."""
-    return E.enrich(cleaned(spark, sf_dir), stations(spark, sf_dir), trains(spark, sf_dir))
+    sm, tm = X.station_meta(spark, sf_dir), X.train_meta(spark, sf_dir)
+    return E.enrich(cleaned(spark, sf_dir), E.station_dimension(sm), E.train_dimension(tm),
+                    stations_bound=sm, trains_bound=tm)
 
 
 def _stoppage(spark, d):
@@ -161,12 +163,12 @@ def dim_dedup(spark, d):
 
 
 def enrich_station(spark, d):
-    return E.enrich_station(cleaned(spark, d), stations(spark, d)).select(
+    return E.enrich_station(cleaned(spark, d), stations(spark, d), bound_by=X.station_meta(spark, d)).select(
         "train_number", "stop_sequence", "departure", "state", "zone")
 
 
 def enrich_train(spark, d):
-    return E.enrich_train(cleaned(spark, d), trains(spark, d)).select(
+    return E.enrich_train(cleaned(spark, d), trains(spark, d), bound_by=X.train_meta(spark, d)).select(
         "train_number", "stop_sequence", "departure", "train_type")
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and coalesces/splits
 # shuffle partitions at runtime from real sizes; skew-join splits hot keys.
@@ -76,6 +76,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/stopflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared folder and read it back.
+
+    Cuts the lineage (a lost executor never forces recomputation past this
+    point) and pins values of non-deterministic columns such as
+    ``monotonically_increasing_id`` for every later use of the table.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file checks in local mode."""
     return path[5:] if path.startswith("file:") else path
