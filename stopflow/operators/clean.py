@@ -1,9 +1,10 @@
 """Cleaning: placeholder nulls, key filter, exact dedup, dwell minutes.
 
 Every operator here is a narrow ``DataFrame -> DataFrame`` projection or
-filter except :func:`dedup_exact`, which is the one shuffle of the cleaning
-stage (a hash aggregate over all columns with map-side combine, so even a
-value repeated in a third of all rows collapses before it is shuffled).
+filter except the de-duplication (:func:`dedup_exact`, :func:`count_copies`),
+the one shuffle of the cleaning stage: a hash aggregate over all columns
+with map-side combine, so even a row repeated in a third of all input
+collapses before it is shuffled.
 """
 
 from __future__ import annotations
@@ -63,15 +64,12 @@ def clean_stops(raw: DataFrame) -> DataFrame:
 
 @dataclass
 class CleanStats:
-    """Removal accounting, filled in when the cleaned table is first computed."""
-    scanned: Observation
-    kept_keys: Observation
-    deduped: Observation
+    """Removal accounting, filled in when the cleaned table is first written."""
+    observation: Observation
 
     def as_dict(self) -> dict[str, int]:
-        raw = self.scanned.get["n"]
-        after_filter = self.kept_keys.get["n"]
-        cleaned = self.deduped.get["n"]
+        m = self.observation.get
+        raw, after_filter, cleaned = m["raw_rows"], m["kept_rows"], m["cleaned_rows"]
         return {
             "raw_rows": raw,
             "cleaned_rows": cleaned,
@@ -80,36 +78,62 @@ class CleanStats:
         }
 
 
-def clean_with_stats(raw: DataFrame) -> tuple[DataFrame, CleanStats]:
-    """:func:`clean_stops` plus counters collected by the same job.
+def count_copies(raw: DataFrame) -> DataFrame:
+    """Distinct normalised rows with ``_ok`` (both keys present) and ``_n``
+    (number of raw copies).  One hash aggregate: exact de-duplication and
+    the removal counts come from the same shuffle."""
+    df = normalise(raw)
+    key = station_key(df.columns)
+    ok = (F.col("train_number").isNotNull() & F.col(key).isNotNull()).alias("_ok")
+    return df.groupBy(*df.columns, ok).agg(F.count(F.lit(1)).alias("_n"))
+
 
-    The counts ride along the first action on the result (e.g. the Parquet
-    write) via ``observe``; no extra pass over the data.
+def clean_counted(raw: DataFrame) -> DataFrame:
+    """:func:`count_copies` plus dwell minutes.
+
+    :func:`finish_counted` turns this into cleaned stops and the removal
+    counts; anything row-preserving (the enrichment joins) may run in
+    between.
     """
-    stats = CleanStats(Observation("scanned"), Observation("kept_keys"), Observation("deduped"))
-    n = F.count(F.lit(1)).alias("n")
-    df = normalise(raw).observe(stats.scanned, n)
-    df = drop_missing_keys(df).observe(stats.kept_keys, n)
-    df = dedup_exact(df).observe(stats.deduped, n)
-    return add_duration(df), stats
+    return add_duration(count_copies(raw))
+
+
+def finish_counted(counted: DataFrame) -> tuple[DataFrame, CleanStats]:
+    """Keep key-complete rows and observe the removal counts on the way.
+
+    The observation sits directly under the consumer of the result (the
+    write), i.e. in the final stage after every shuffle, where Spark applies
+    each task's metrics exactly once even when lost executors force earlier
+    stages to re-run.
+    """
+    obs = Observation("clean_stats")
+    observed = counted.observe(
+        obs,
+        F.sum("_n").alias("raw_rows"),
+        F.sum(F.when(F.col("_ok"), F.col("_n")).otherwise(0)).alias("kept_rows"),
+        F.count_if(F.col("_ok")).alias("cleaned_rows"),
+    )
+    return observed.filter(F.col("_ok")).drop("_ok", "_n"), CleanStats(obs)
+
+
+def clean_with_stats(raw: DataFrame) -> tuple[DataFrame, CleanStats]:
+    """:func:`clean_stops` plus removal counts collected by the same job."""
+    return finish_counted(clean_counted(raw))
 
 
 def clean_stats_frame(raw: DataFrame) -> DataFrame:
     """Removal accounting as a one-row table, computed in one aggregation.
 
-    Rows are grouped on all columns plus a keys-present flag; summing the
-    group sizes gives the raw and key-filtered counts, and the number of
-    key-complete groups is the deduplicated count.
+    Summing the copy counts gives the raw and key-filtered counts; the
+    number of key-complete distinct rows is the de-duplicated count.
     """
-    df = normalise(raw)
-    key = station_key(df.columns)
-    ok = (F.col("train_number").isNotNull() & F.col(key).isNotNull()).alias("_ok")
-    groups = df.groupBy(*df.columns, ok).agg(F.count(F.lit(1)).alias("_n"))
+    groups = count_copies(raw)
+    kept = F.sum(F.when(F.col("_ok"), F.col("_n")).otherwise(0))
     return groups.agg(
         F.sum("_n").alias("raw_rows"),
         F.count_if(F.col("_ok")).alias("cleaned_rows"),
         F.sum(F.when(~F.col("_ok"), F.col("_n")).otherwise(0)).alias("removed_missing"),
-        (F.sum(F.when(F.col("_ok"), F.col("_n")).otherwise(0)) - F.count_if(F.col("_ok"))).alias("removed_duplicates"),
+        (kept - F.count_if(F.col("_ok"))).alias("removed_duplicates"),
     )
 
 

@@ -4,7 +4,8 @@
   values per column, a sample; one summary table across inputs.
 * **clean** - raw feed -> conformed, cleaned, de-duplicated, enriched
   ``stops`` table (Parquet) plus removal statistics.  The statistics ride
-  on the write via ``observe``: one pass over the data.
+  on the write via ``observe`` in its final stage: one pass over the data,
+  exact even when stages are re-run.
 * **analyse** - the published analytics tables over ``stops`` plus a run
   summary.
 
@@ -88,13 +89,13 @@ def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: s
     """Clean the raw feed, enrich it, publish ``stops.parquet`` and ``clean_stats.json``."""
     _require(raw_path, "raw schedule feed")
     raw = load_raw(spark, raw_path)
-    stops, stats = C.clean_with_stats(raw)
+    counted = C.clean_counted(raw)
     stations = trains = None
     if stations_path and _exists(stations_path):
         stations = E.station_dimension_from_geojson(R.read_feature_collection(spark, stations_path, STATIONS_GEOJSON))
     if trains_path and _exists(trains_path):
         trains = E.train_dimension_from_geojson(R.read_feature_collection(spark, trains_path, TRAINS_GEOJSON))
-    stops = E.enrich(stops, stations, trains)
+    stops, stats = C.finish_counted(E.enrich(counted, stations, trains))
     W.write_table(stops, f"{out_dir}/stops.parquet")
     metrics = stats.as_dict()
     W.write_metrics(spark, metrics, f"{out_dir}/clean_stats.json")
