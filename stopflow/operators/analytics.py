@@ -137,3 +137,22 @@ def run_summary(stops: DataFrame, raw_rows: DataFrame | int | None = None) -> Da
     # One row each: a scalar subquery keeps this a plain projection.
     raw = raw_rows.select(F.col("raw_rows").cast("bigint")).scalar()
     return summary.select(raw.alias("raw_rows"), "*")
+
+
+def summary_from_groups(station_traffic: DataFrame, train_lengths: DataFrame,
+                        raw_rows: DataFrame | int | None = None) -> DataFrame:
+    """The run summary read off the per-station and per-train count tables
+    (no further pass over the stops): cleaned rows = sum of station stops,
+    distinct stations / trains = distinct keys of those tables."""
+    skey = station_key(station_traffic.columns)
+    s = station_traffic.agg(F.sum("total_stops").alias("cleaned_rows"),
+                            F.countDistinct(skey).alias("distinct_stations"))
+    t = train_lengths.agg(F.countDistinct("train_number").alias("distinct_trains"))
+    cleaned = s.select("cleaned_rows").scalar()
+    out = t.select(cleaned.alias("cleaned_rows"), "distinct_trains",
+                   s.select("distinct_stations").scalar().alias("distinct_stations"))
+    if raw_rows is None:
+        return out.select(F.col("cleaned_rows").alias("raw_rows"), "*")
+    if isinstance(raw_rows, int):
+        return out.select(F.lit(raw_rows).cast("bigint").alias("raw_rows"), "*")
+    return out.select(raw_rows.select(F.col("raw_rows").cast("bigint")).scalar().alias("raw_rows"), "*")
