@@ -91,6 +91,20 @@ def hourly_traffic_dense(stops: DataFrame) -> DataFrame:
     return counted.unionByName(zeros).groupBy("hour").agg(F.sum("arrivals").alias("arrivals"))
 
 
+def longest_trains_sql(spark, stops: DataFrame, n: int = 20) -> DataFrame:
+    """Longest trains written as Spark SQL over a temporary view."""
+    keys = group_keys("train_number", train_display(stops.columns))
+    view = "stops_for_longest"
+    stops.createOrReplaceTempView(view)
+    k = ", ".join(f"`{c}`" for c in keys)
+    return spark.sql(f"""
+        SELECT {k}, COUNT(*) AS num_stops
+        FROM {view}
+        GROUP BY {k}
+        ORDER BY num_stops DESC, {k}
+        LIMIT {int(n)}""")
+
+
 def train_lengths(stops: DataFrame) -> DataFrame:
     """Per train: number of stops (all trains)."""
     keys = group_keys("train_number", train_display(stops.columns))

@@ -220,3 +220,9 @@ ORACLE: dict[str, str] = {
     "publish_parquet": _with("SELECT * FROM stops"),
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 }
+
+# Same results through a second code path (SQL over a view / the jobs' paths).
+ORACLE["stoppage_stats_sql"] = ORACLE["stoppage_stats"]
+ORACLE["longest_trains_sql"] = ORACLE["longest_trains"]
+ORACLE["clean_stops_observed"] = ORACLE["clean_stops"]
+ORACLE["run_summary_from_groups"] = ORACLE["run_summary"]

@@ -247,6 +247,19 @@ def breakdown_type_valid(spark, d):
     return S.valid_categories(A.breakdown(stops(spark, d), "train_type"), "train_type", 10)
 
 
+def clean_stops_observed(spark, d):
+    """The clean job's path: copy-counted rows, removal counts observed at the end."""
+    df, _ = C.finish_counted(C.clean_counted(X.raw_stops(spark, d)))
+    return df
+
+
+def run_summary_from_groups(spark, d):
+    """The analyse job's path: summary read off per-station / per-train counts."""
+    st = stops(spark, d)
+    raw = X.raw_stops(spark, d).agg(F.count(F.lit(1)).alias("raw_rows"))
+    return A.summary_from_groups(A.station_traffic(st), A.train_lengths(st), raw)
+
+
 def run_summary(spark, d):
     raw = X.raw_stops(spark, d).agg(F.count(F.lit(1)).alias("raw_rows"))
     return A.run_summary(stops(spark, d), raw)
@@ -326,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "drop_missing_keys": drop_missing_keys,
     "dedup_exact": dedup_exact,
     "clean_stops": clean_stops,
+    "clean_stops_observed": clean_stops_observed,
     "stop_duration": stop_duration,
     "midnight_crossings": midnight_crossings,
     "clean_stats": clean_stats,
@@ -338,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "busiest_stations": _busiest,
     "busiest_search": busiest_search,
     "stoppage_stats": stoppage_stats,
+    "stoppage_stats_sql": lambda spark, d: A.stoppage_stats_sql(spark, stops(spark, d)),
     "stoppage_filtered": stoppage_filtered,
     "stoppage_search": stoppage_search,
     "stoppage_topn": stoppage_topn,
@@ -351,12 +366,14 @@ QUERIES: dict[str, Query] = {
     "hourly_peak": hourly_peak,
     "hourly_share": hourly_share,
     "longest_trains": longest_trains,
+    "longest_trains_sql": lambda spark, d: A.longest_trains_sql(spark, stops(spark, d), 20),
     "breakdown_zone": _breakdown("zone"),
     "breakdown_state": _breakdown("state"),
     "breakdown_train_type": _breakdown("train_type"),
     "breakdown_zone_valid": breakdown_zone_valid,
     "breakdown_type_valid": breakdown_type_valid,
     "run_summary": run_summary,
+    "run_summary_from_groups": run_summary_from_groups,
     "distinct_stations": distinct_stations,
     "distinct_train_types": distinct_train_types,
     "station_timetable": lambda spark, d: _timetable(spark, d),
