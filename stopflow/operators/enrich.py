@@ -87,8 +87,13 @@ def enrich(stops: DataFrame, stations: DataFrame | None, trains: DataFrame | Non
     return out
 
 
-def unmatched_keys(stops: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
-    """Distinct fact keys with no dimension row (what the left join hides)."""
+def unmatched_keys(stops: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Distinct fact keys with no dimension row (what the left join hides).
+
+    The fact keys are de-duplicated first (partial aggregation), then
+    anti-joined to the dimension keys, broadcast when their size is proven.
+    """
     keys = stops.select(fact_key).filter(F.col(fact_key).isNotNull()).distinct()
     d = dim.select(F.col(dim_key).alias("_k")).filter(F.col("_k").isNotNull())
-    return keys.join(d, keys[fact_key] == d["_k"], "left_anti")
+    return join_dimension(keys, d, F.col(fact_key) == F.col("_k"), "left_anti", max_broadcast_rows)

@@ -6,7 +6,9 @@ the fact table are computed in one aggregate pass and then unpivoted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopflow.functions.times import hour_of
@@ -60,12 +62,15 @@ def stops_checks(stops: DataFrame) -> DataFrame:
     ])
 
 
+def _any(conds: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conds)
+
+
 def positive_counts_check(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Non-empty, and every counter in ``columns`` strictly positive."""
     row = df.agg(
         F.when(F.count(F.lit(1)) > 0, 0).otherwise(1).alias("non_empty"),
-        F.count_if(F.greatest(*[F.col(c) <= 0 for c in columns]) if len(columns) > 1 else F.col(columns[0]) <= 0)
-         .alias("non_positive"),
+        F.count_if(_any([F.col(c) <= 0 for c in columns])).alias("non_positive"),
     )
     return _checks_frame(row, [(f"{table}_non_empty", "non_empty"), (f"{table}_counts_positive", "non_positive")])
 
@@ -78,11 +83,17 @@ def hour_domain_check(dense: DataFrame) -> DataFrame:
     return _checks_frame(row, [("hourly_traffic_24_hours", "bad")])
 
 
-def lookup_check(stops: DataFrame, station_name_col: str, station_name, train_number) -> DataFrame:
-    """The busiest station and a known train each have at least one stop."""
+def lookup_check(stops: DataFrame, station_name_col: str, station_name: str | Column,
+                 train_number: str | Column) -> DataFrame:
+    """The given station (e.g. the busiest) and train each have at least one stop.
+
+    The probes may be literals or scalar-subquery columns.
+    """
+    stn = station_name if isinstance(station_name, Column) else F.lit(station_name)
+    trn = train_number if isinstance(train_number, Column) else F.lit(train_number)
     row = stops.agg(
-        F.when(F.count_if(F.col(station_name_col) == station_name) > 0, 0).otherwise(1).alias("stn"),
-        F.when(F.count_if(F.col("train_number") == train_number) > 0, 0).otherwise(1).alias("trn"),
+        F.when(F.count_if(F.col(station_name_col) == stn) > 0, 0).otherwise(1).alias("stn"),
+        F.when(F.count_if(F.col("train_number") == trn) > 0, 0).otherwise(1).alias("trn"),
     )
     return _checks_frame(row, [("station_lookup_returns_rows", "stn"), ("train_lookup_returns_rows", "trn")])
 
@@ -93,7 +104,7 @@ def metrics_check(metrics: DataFrame, positive: list[str], non_negative: list[st
     if missing:
         raise ValueError(f"{name} lacks {missing}")
     bad = [F.col(c) <= 0 for c in positive] + [F.col(c) < 0 for c in non_negative]
-    row = metrics.agg(F.count_if(F.greatest(*bad) if len(bad) > 1 else bad[0]).alias("bad"))
+    row = metrics.agg(F.count_if(_any(bad)).alias("bad"))
     return _checks_frame(row, [(f"{name}_values_valid", "bad")])
 
 

@@ -90,6 +90,7 @@ DERIVED = {
     "catalog": "SELECT train_number, train_name, train_type, train_number||' — '||coalesce(train_name,'None')||' ('||"
                "coalesce(nullif(train_type,''),'Rail')||')' AS label FROM (SELECT *, row_number() OVER "
                "(PARTITION BY train_number ORDER BY stop_sequence, arrival, departure) AS rn FROM stops) WHERE rn = 1",
+    "longest": "SELECT train_number, train_name, count(*) AS num_stops FROM stops GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 20",
     "bd_zone": "SELECT zone, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM stops GROUP BY 1",
     "bd_type": "SELECT train_type, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM stops GROUP BY 1",
 }
@@ -201,23 +202,44 @@ ORACLE: dict[str, str] = {
                               "UNION ALL SELECT 'station_meta', count(*), CAST(3 AS INT) FROM station_meta "
                               "UNION ALL SELECT 'train_meta', count(*), CAST(2 AS INT) FROM train_meta"),
     "profile_sample": _with("SELECT number, station, arrival, departure, id FROM raw_stops ORDER BY id, number, arrival, departure LIMIT 10"),
-    "dq_report": _with("SELECT 'stops_non_empty' AS check_name, count(*) > 0 AS ok, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) "
-                       "AS violations FROM stops UNION ALL "
-                       "SELECT 'stop_duration_non_negative', count(CASE WHEN stop_duration_mins < 0 THEN 1 END) = 0, "
-                       "count(CASE WHEN stop_duration_mins < 0 THEN 1 END) FROM stops UNION ALL "
-                       "SELECT 'stop_duration_present', count(stop_duration_mins) > 0, "
-                       "CAST(CASE WHEN count(stop_duration_mins) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM stops UNION ALL "
-                       "SELECT 'keys_not_null', count(CASE WHEN train_number IS NULL OR station_code IS NULL THEN 1 END) = 0, "
-                       "count(CASE WHEN train_number IS NULL OR station_code IS NULL THEN 1 END) FROM stops UNION ALL "
-                       "SELECT 'arrival_hour_in_0_23', count(CASE WHEN arrival IS NOT NULL AND NOT coalesce(TRY_CAST(split_part(arrival,':',1) "
-                       "AS INT) BETWEEN 0 AND 23, false) THEN 1 END) = 0, count(CASE WHEN arrival IS NOT NULL AND NOT coalesce("
-                       "TRY_CAST(split_part(arrival,':',1) AS INT) BETWEEN 0 AND 23, false) THEN 1 END) FROM stops"),
+    "dq_report": _with(
+        "SELECT 'stops_non_empty' AS check_name, count(*) > 0 AS ok, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) "
+        "AS violations FROM stops UNION ALL "
+        "SELECT 'stop_duration_non_negative', count(CASE WHEN stop_duration_mins < 0 THEN 1 END) = 0, "
+        "count(CASE WHEN stop_duration_mins < 0 THEN 1 END) FROM stops UNION ALL "
+        "SELECT 'stop_duration_present', count(stop_duration_mins) > 0, "
+        "CAST(CASE WHEN count(stop_duration_mins) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM stops UNION ALL "
+        "SELECT 'keys_not_null', count(CASE WHEN train_number IS NULL OR station_code IS NULL THEN 1 END) = 0, "
+        "count(CASE WHEN train_number IS NULL OR station_code IS NULL THEN 1 END) FROM stops UNION ALL "
+        "SELECT 'arrival_hour_in_0_23', count(CASE WHEN arrival IS NOT NULL AND NOT coalesce(TRY_CAST(split_part(arrival,':',1) "
+        "AS INT) BETWEEN 0 AND 23, false) THEN 1 END) = 0, count(CASE WHEN arrival IS NOT NULL AND NOT coalesce("
+        "TRY_CAST(split_part(arrival,':',1) AS INT) BETWEEN 0 AND 23, false) THEN 1 END) FROM stops UNION ALL "
+        "SELECT 'busiest_stations_non_empty', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM busiest UNION ALL "
+        "SELECT 'busiest_stations_counts_positive', count(CASE WHEN total_stops <= 0 OR distinct_trains <= 0 THEN 1 END) = 0, "
+        "count(CASE WHEN total_stops <= 0 OR distinct_trains <= 0 THEN 1 END) FROM busiest UNION ALL "
+        "SELECT 'longest_trains_non_empty', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM longest UNION ALL "
+        "SELECT 'longest_trains_counts_positive', count(CASE WHEN num_stops <= 0 THEN 1 END) = 0, "
+        "count(CASE WHEN num_stops <= 0 THEN 1 END) FROM longest UNION ALL "
+        "SELECT 'hourly_traffic_24_hours', abs(count(*) - 24) + count(CASE WHEN NOT (hour BETWEEN 0 AND 23) THEN 1 END) = 0, "
+        "CAST(abs(count(*) - 24) + count(CASE WHEN NOT (hour BETWEEN 0 AND 23) THEN 1 END) AS BIGINT) FROM dense UNION ALL "
+        "SELECT 'station_lookup_returns_rows', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) "
+        "FROM stops WHERE station_name = (SELECT station_name FROM busiest ORDER BY total_stops DESC, station_code, station_name LIMIT 1) "
+        "UNION ALL SELECT 'train_lookup_returns_rows', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) "
+        "FROM stops WHERE train_number = (SELECT train_number FROM longest ORDER BY num_stops DESC, train_number, train_name LIMIT 1) "
+        "UNION ALL SELECT 'clean_stats_values_valid', (SELECT count(*) FROM raw_stops) > 0 AND (SELECT count(*) FROM clean) > 0, "
+        "CAST(CASE WHEN (SELECT count(*) FROM raw_stops) > 0 AND (SELECT count(*) FROM clean) > 0 THEN 0 ELSE 1 END AS BIGINT)",
+        "busiest", "dense", "longest"),
     "scan_json": _with("SELECT * FROM raw_stops"),
     # CSV cannot tell an empty string from a missing value: both read back as null.
     "scan_csv": _with("SELECT nullif(number,'') AS number, nullif(trainName,'') AS trainName, nullif(station,'') AS station, "
                       "nullif(station_name,'') AS station_name, nullif(arrival,'') AS arrival, nullif(departure,'') AS departure, "
                       "CAST(day AS VARCHAR) AS day, CAST(id AS VARCHAR) AS id FROM raw_stops"),
     "publish_parquet": _with("SELECT * FROM stops"),
+    # CSV carries text only, and an empty field reads back as null.
+    "export_csv": _with("SELECT " + ", ".join(
+        f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in
+        ["train_number", "train_name", "train_type", "station_code", "station_name", "arrival", "departure",
+         "stop_sequence", "day", "stop_duration_mins", "zone", "state"]) + " FROM stops"),
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 }
 
@@ -226,3 +248,4 @@ ORACLE["stoppage_stats_sql"] = ORACLE["stoppage_stats"]
 ORACLE["longest_trains_sql"] = ORACLE["longest_trains"]
 ORACLE["clean_stops_observed"] = ORACLE["clean_stops"]
 ORACLE["run_summary_from_groups"] = ORACLE["run_summary"]
+ORACLE["clean_stats_json"] = ORACLE["clean_stats"]

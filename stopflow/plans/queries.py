@@ -313,7 +313,35 @@ def profile_sample(spark, d):
 
 
 def dq_report(spark, d):
-    return Q.stops_checks(stops(spark, d))
+    """The integrity expectations over the fact table and the derived results."""
+    st = stops(spark, d)
+    busiest = A.busiest_stations(st, 20)
+    longest = A.longest_trains(st, 20)
+    top_station = busiest.select("station_name").limit(1).scalar()
+    top_train = longest.select("train_number").limit(1).scalar()
+    return Q.dq_report(
+        Q.stops_checks(st),
+        Q.positive_counts_check(busiest, "busiest_stations", ["total_stops", "distinct_trains"]),
+        Q.positive_counts_check(longest, "longest_trains", ["num_stops"]),
+        Q.hour_domain_check(A.hourly_traffic_dense(st)),
+        Q.lookup_check(st, "station_name", top_station, top_train),
+        Q.metrics_check(C.clean_stats_frame(X.raw_stops(spark, d)), ["raw_rows", "cleaned_rows"],
+                        ["removed_missing", "removed_duplicates"], "clean_stats"),
+    )
+
+
+def export_csv(spark, d):
+    """The clean dataset exported as header CSV (export column order), read back as text."""
+    path = scratch_path(spark, "export_csv")
+    W.export_csv(W.export_clean(stops(spark, d)), path)
+    return R.read_csv(spark, path)
+
+
+def clean_stats_json(spark, d):
+    """Removal accounting published as a one-row JSON document and read back."""
+    path = scratch_path(spark, "clean_stats_json")
+    W.write_small(C.clean_stats_frame(X.raw_stops(spark, d)), path, fmt="json")
+    return R.read_metrics(spark, path)
 
 
 def export_clean(spark, d):
@@ -392,6 +420,8 @@ QUERIES: dict[str, Query] = {
     "route_endpoints": lambda spark, d: L.route_endpoints(stops(spark, d)),
     "route_regions": route_regions,
     "export_clean": export_clean,
+    "export_csv": export_csv,
+    "clean_stats_json": clean_stats_json,
     "publish_parquet": publish_parquet,
     "profile_nulls": profile_nulls,
     "profile_datasets": profile_datasets,
