@@ -60,7 +60,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
     """Left join state and zone on station_code = station key.
 
     ``bound_by`` (e.g. the attribute rows before de-duplication) makes the
-    broadcast size check a cheap early-stopping scan.
+    broadcast size check a plain scan-and-count.
     """
     joined = join_dimension(stops, stations, stops["station_code"] == stations["_station_key"], "left",
                             max_broadcast_rows, bound_by)

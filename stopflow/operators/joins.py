@@ -14,10 +14,12 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs a bounded job: every partition stops after ``max_rows + 1`` rows, so
-    the check costs at most that much per partition even on a huge input.
+    A plain distributed count: one partial count per partition and a
+    one-row final merge (answered from footers for a Parquet scan).  A
+    ``limit(n + 1).count()`` would be no cheaper on a large input: every
+    partition would ship up to ``n + 1`` rows into a single task.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
@@ -30,8 +32,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     skewed (hot-key) partitions AQE's skew-join handling splits.
 
     ``bound_by`` is a cheaper frame with at least as many rows as ``dim``
-    (for example its input before de-duplication): the size check then
-    stops early on a scan instead of computing the dimension twice.
+    (for example its input before de-duplication): the size check is then
+    a scan-and-count instead of a second computation of the dimension.
     """
     if row_count_at_most(dim if bound_by is None else bound_by, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on, how)

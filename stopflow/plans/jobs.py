@@ -91,12 +91,15 @@ def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: s
     _require(raw_path, "raw schedule feed")
     raw = load_raw(spark, raw_path)
     counted = C.clean_counted(raw)
-    stations = trains = None
+    stations = trains = st_bound = tr_bound = None
     if stations_path and _exists(stations_path):
-        stations = E.station_dimension_from_geojson(R.read_feature_collection(spark, stations_path, STATIONS_GEOJSON))
+        fc = R.read_feature_collection(spark, stations_path, STATIONS_GEOJSON)
+        stations, st_bound = E.station_dimension_from_geojson(fc), fc.select(F.explode("features"))
     if trains_path and _exists(trains_path):
-        trains = E.train_dimension_from_geojson(R.read_feature_collection(spark, trains_path, TRAINS_GEOJSON))
-    stops, stats = C.finish_counted(E.enrich(counted, stations, trains))
+        fc = R.read_feature_collection(spark, trains_path, TRAINS_GEOJSON)
+        trains, tr_bound = E.train_dimension_from_geojson(fc), fc.select(F.explode("features"))
+    enriched = E.enrich(counted, stations, trains, stations_bound=st_bound, trains_bound=tr_bound)
+    stops, stats = C.finish_counted(enriched)
     W.write_table(stops, f"{out_dir}/stops.parquet")
     metrics = stats.as_dict()
     W.write_metrics(spark, metrics, f"{out_dir}/clean_stats.json")
