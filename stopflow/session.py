@@ -44,6 +44,30 @@ def get_session(app_name: str = "stopflow", master: str | None = None,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Size-dependent settings for a run over ``input_bytes`` of raw input.
+
+    * scan splits of ``target_partition_bytes`` (fewer, fuller tasks);
+    * an initial shuffle partition count that keeps every reducer near the
+      target even before AQE coalesces (at least 2 per core), so the
+      de-duplication shuffle never spills in oversized partitions;
+    * AQE coalescing toward the same size, and skew-join splitting of any
+      partition 5x the median and over 4x the target.
+
+    The cleaning shuffle carries roughly the projected input, so the input
+    size is the right order of magnitude for the shuffle size.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and hand-off tables.
 

@@ -16,10 +16,27 @@ from pyspark.sql import types as T
 FORMATS = {".json": "json", ".geojson": "json", ".ndjson": "json", ".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
 
 
-def _first_byte(path: str) -> str | None:
-    """First non-blank character of a local file, or None when unreadable here."""
+def _first_local_file(path: str) -> str | None:
+    """The path itself if it is a local file, else the first data file of a
+    local folder (skipping hidden / underscore files), else None."""
     p = path[5:] if path.startswith("file:") else path
-    if "://" in p or not os.path.isfile(p):
+    if "://" in p:
+        return None
+    if os.path.isfile(p):
+        return p
+    if os.path.isdir(p):
+        for name in sorted(os.listdir(p)):
+            f = os.path.join(p, name)
+            if not name.startswith((".", "_")) and os.path.isfile(f) and os.path.getsize(f) > 0:
+                return f
+    return None
+
+
+def _first_byte(path: str) -> str | None:
+    """First non-blank character of a local file (or a folder's first data
+    file), or None when it cannot be read from here."""
+    p = _first_local_file(path)
+    if p is None:
         return None
     with open(p, "rb") as fh:
         while chunk := fh.read(4096):
@@ -72,8 +89,8 @@ def read_feature_collection(spark: SparkSession, path: str, schema: T.StructType
 
 def _spans_lines(path: str) -> bool:
     """True when a local file's first JSON document continues past its first line."""
-    p = path[5:] if path.startswith("file:") else path
-    if "://" in p or not os.path.isfile(p):
+    p = _first_local_file(path)
+    if p is None:
         return False
     with open(p, "rb") as fh:
         for raw in fh:
