@@ -22,6 +22,7 @@ from stopflow.operators import lookup as L  # noqa: E402
 from stopflow.operators import slicers as S  # noqa: E402
 from stopflow.plans import fixture as X  # noqa: E402
 from stopflow.plans.jobs import analyse_job, clean_job  # noqa: E402
+from stopflow.schema import RAW_STOPS_JSON  # noqa: E402
 from stopflow.session import get_session, scratch_path  # noqa: E402
 from stopflow.sources.geojson import to_feature_collections  # noqa: E402
 
@@ -46,7 +47,7 @@ def main() -> None:
     to_feature_collections(X.train_meta(spark, sf_dir)).write.mode("overwrite").json(trn_dir)
 
     q: dict[str, float] = {}
-    stats, q["clean_job"] = timed(lambda: clean_job(spark, raw_dir, out_dir, stn_dir, trn_dir))
+    stats, q["clean_job"] = timed(lambda: clean_job(spark, raw_dir, out_dir, stn_dir, trn_dir, RAW_STOPS_JSON))
     per_output: dict[str, float] = {}
     summary, q["analyse_job"] = timed(lambda: analyse_job(spark, f"{out_dir}/stops.parquet", out_dir,
                                                           f"{out_dir}/clean_stats.json", per_output))

@@ -23,12 +23,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopflow.operators import analytics as A
 from stopflow.operators import clean as C
 from stopflow.operators import enrich as E
 from stopflow.operators import profile as P
-from stopflow.schema import RAW_STOPS_JSON, STATIONS_GEOJSON, TRAINS_GEOJSON
+from stopflow.schema import STATIONS_GEOJSON, TRAINS_GEOJSON
 from stopflow.session import local_path
 from stopflow.sinks import publish as W
 from stopflow.sources import files as R
@@ -77,19 +78,28 @@ def inspect_job(spark: SparkSession, paths: list[str]) -> Inspection:
 
 # --- clean ------------------------------------------------------------------------
 
-def load_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw feed by extension; JSON with the known raw schema (no inference pass)."""
+def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             sampling_ratio: float = 1.0) -> DataFrame:
+    """The raw feed by extension (a folder without extension is JSON).
+
+    With ``schema`` (e.g. :data:`stopflow.schema.RAW_STOPS_JSON`) there is no
+    inference pass; without it JSON columns are inferred from a
+    ``sampling_ratio`` share of the input, and CSV is read as text.
+    """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
-    if ext in (".json", ".ndjson") or os.path.isdir(local_path(path)) and not ext:
-        return R.read_json(spark, path, RAW_STOPS_JSON)
-    return R.read_any(spark, path)
+    if ext in (".json", ".ndjson", ".geojson") or (not ext and os.path.isdir(local_path(path))):
+        if schema is None and sampling_ratio < 1.0:
+            multi = R.is_json_array(path)
+            return spark.read.option("multiLine", multi).option("samplingRatio", sampling_ratio).json(path)
+        return R.read_json(spark, path, schema)
+    return R.read_any(spark, path, schema)
 
 
 def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: str | None = None,
-              trains_path: str | None = None) -> dict:
+              trains_path: str | None = None, raw_schema: T.StructType | None = None) -> dict:
     """Clean the raw feed, enrich it, publish ``stops.parquet`` and ``clean_stats.json``."""
     _require(raw_path, "raw schedule feed")
-    raw = load_raw(spark, raw_path)
+    raw = load_raw(spark, raw_path, raw_schema)
     counted = C.clean_counted(raw)
     stations = trains = st_bound = tr_bound = None
     if stations_path and _exists(stations_path):

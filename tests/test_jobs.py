@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stopflow.operators import quality as Q
 from stopflow.plans import fixture as X
 from stopflow.plans.jobs import analyse_job, clean_job, inspect_job
+from stopflow.schema import RAW_STOPS_JSON
 from stopflow.sources.geojson import to_feature_collections
 from tests.conftest import SF_SMALL
 
@@ -20,7 +21,7 @@ def published(spark, tmp_path_factory):
     X.raw_stops(spark, SF_SMALL).write.json(raw)
     to_feature_collections(X.station_meta(spark, SF_SMALL)).write.json(stn)
     to_feature_collections(X.train_meta(spark, SF_SMALL)).write.json(trn)
-    stats = clean_job(spark, raw, out, stn, trn)
+    stats = clean_job(spark, raw, out, stn, trn, RAW_STOPS_JSON)
     summary = analyse_job(spark, os.path.join(out, "stops.parquet"), out, os.path.join(out, "clean_stats.json"))
     return out, stats, summary
 
@@ -81,3 +82,19 @@ def test_missing_input_raises(spark, tmp_dir):
         clean_job(spark, os.path.join(tmp_dir, "nope.json"), tmp_dir)
     with pytest.raises(ValueError):
         analyse_job(spark, os.path.join(tmp_dir, "nope.parquet"), tmp_dir)
+
+
+def test_clean_job_other_naming_inferred(spark, tmp_dir):
+    """A feed with different column names (resolved by aliases), read by inference."""
+    rows = [{"train_no": "0042", "trainName": "A", "stationCode": "X1", "stationName": "Ex",
+             "arrival_time": "10:00:00", "departure_time": "10:07:00", "seq": 1},
+            {"train_no": "0042", "trainName": "A", "stationCode": "none", "stationName": "Ex",
+             "arrival_time": "11:00", "departure_time": "11:02", "seq": 2}]
+    raw = os.path.join(tmp_dir, "feed.json")
+    with open(raw, "w") as fh:
+        json.dump(rows, fh, indent=1)
+    out = os.path.join(tmp_dir, "out")
+    stats = clean_job(spark, raw, out)
+    assert stats == {"raw_rows": 2, "cleaned_rows": 1, "removed_missing": 1, "removed_duplicates": 0}
+    got = spark.read.parquet(os.path.join(out, "stops.parquet")).first()
+    assert (got.train_number, got.station_code, got.stop_duration_mins, got.stop_sequence) == ("0042", "X1", 7, 1)
