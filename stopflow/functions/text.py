@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stopflow.functions.times import null_placeholder
-from stopflow.schema import DEFAULT_TRAIN_TYPE, NAME_PLACEHOLDERS
+from stopflow.schema import DEFAULT_TRAIN_TYPE, LABEL_SEPARATOR, MISSING_NAME_TEXT, NAME_PLACEHOLDERS
 
 
 def _col(c: str | Column) -> Column:
@@ -49,14 +49,14 @@ def category_equals(c: str | Column, value: str | None, all_values: tuple[str, .
 def train_label(number: str | Column, name: str | Column, ttype: str | Column) -> Column:
     """``"<number> — <name> (<type>)"``; a null or blank type reads as the default type."""
     return F.concat(
-        _col(number), F.lit(" — "), F.coalesce(_col(name), F.lit("None")),
+        _col(number), F.lit(LABEL_SEPARATOR), F.coalesce(_col(name), F.lit(MISSING_NAME_TEXT)),
         F.lit(" ("), F.coalesce(F.nullif(_col(ttype), F.lit("")), F.lit(DEFAULT_TRAIN_TYPE)), F.lit(")"),
     )
 
 
 def label_number(label: str | Column) -> Column:
-    """Inverse of :func:`train_label`: the text before the first ``" — "``, trimmed."""
-    return F.trim(F.split_part(_col(label), F.lit(" — "), F.lit(1)))
+    """Inverse of :func:`train_label`: the text before the first separator, trimmed."""
+    return F.trim(F.split_part(_col(label), F.lit(LABEL_SEPARATOR), F.lit(1)))
 
 
 def station_label(name: str | Column, code: str | Column) -> Column:

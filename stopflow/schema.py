@@ -75,6 +75,9 @@ HOUR_PRESETS = {
 }
 # Label used for a train whose type is missing.
 DEFAULT_TRAIN_TYPE = "Rail"
+# Train label "<number> — <name> (<type>)": separator, and the text shown for a missing name.
+LABEL_SEPARATOR = " — "
+MISSING_NAME_TEXT = "None"
 # ---------------------------------------------------------------------------
 
 # Conformed fact table, column order as published.

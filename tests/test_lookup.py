@@ -87,3 +87,10 @@ def test_valid_categories_and_filters(spark):
     m = S.stoppage_match_counts(stats, 1, 20, 1.0).first()
     assert (m.matched, m.displayed) == (2, 1)
     assert F is not None
+
+
+def test_label_round_trip(spark):
+    from stopflow.functions.text import label_number, train_label
+    df = spark.createDataFrame([("15906", "Vivek", None), ("7", None, "")], "n string, m string, t string")
+    got = df.select(train_label("n", "m", "t").alias("l")).select("l", label_number("l").alias("back")).collect()
+    assert [tuple(r) for r in got] == [("15906 — Vivek (Rail)", "15906"), ("7 — None (Rail)", "7")]
