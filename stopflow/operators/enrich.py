@@ -62,7 +62,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
     ``bound_by`` (e.g. the attribute rows before de-duplication) makes the
     broadcast size check a plain scan-and-count.
     """
-    joined = join_dimension(stops, stations, stops["station_code"] == stations["_station_key"], "left",
+    joined = join_dimension(stops, stations, F.col("station_code") == F.col("_station_key"), "left",
                             max_broadcast_rows, bound_by)
     return joined.drop("_station_key")
 
@@ -70,7 +70,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
 def enrich_train(stops: DataFrame, trains: DataFrame,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join train_type on train_number = train key (fact side untrimmed)."""
-    joined = join_dimension(stops, trains, stops["train_number"] == trains["_train_key"], "left",
+    joined = join_dimension(stops, trains, F.col("train_number") == F.col("_train_key"), "left",
                             max_broadcast_rows, bound_by)
     return joined.drop("_train_key")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stopflow.session import materialize
+
 # A dimension is broadcast only if it has at most this many rows.  The
 # dimensions here are a handful of short strings per row, so the bound keeps
 # the broadcast well under a few hundred MB per executor.
@@ -27,9 +29,14 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     """Join a (usually small) dimension onto a fact table.
 
     The dimension is broadcast when its row count is proven to be within
-    ``max_broadcast_rows``; otherwise the join is left to a shuffle join,
-    which AQE may still turn into a broadcast from runtime sizes and whose
-    skewed (hot-key) partitions AQE's skew-join handling splits.
+    ``max_broadcast_rows``; otherwise it is written once to the shared folder
+    and joined by a shuffle join, which AQE may still turn into a broadcast
+    from runtime sizes and whose skewed (hot-key) partitions AQE's skew-join
+    handling splits into several tasks.
+
+    ``on`` must refer to columns by name (or be a list of names): in the
+    shuffle case the dimension is re-read, so attributes bound to ``dim``
+    would not resolve.
 
     ``bound_by`` is a cheaper frame with at least as many rows as ``dim``
     (for example its input before de-duplication): the size check is then
@@ -37,4 +44,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     """
     if row_count_at_most(dim if bound_by is None else bound_by, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on, how)
-    return fact.join(dim, on, how)
+    # Too big to broadcast: land the dimension once in the shared folder.  Read
+    # back, it enters the join through a plain shuffle (an aggregate feeding
+    # the join directly would hide it from AQE's skew-join split) and carries
+    # real file-size statistics for AQE's own broadcast decision.
+    return fact.join(materialize(dim, "join_dimension"), on, how)

@@ -1,0 +1,56 @@
+"""Hot keys: one train holding a third of all stops."""
+
+from pyspark.sql import functions as F
+
+from stopflow.operators import analytics as A
+from stopflow.operators import enrich as E
+
+
+def _stops_with_hot_train(spark):
+    # a hash payload keeps the rows incompressible, so shuffle sizes show the skew
+    pay = F.sha2(F.col("id").cast("string"), 256).alias("payload")
+    hot = spark.range(0, 20000).select(F.lit("HOT").alias("train_number"),
+                                      (F.col("id") % 50).cast("string").alias("station_code"), pay)
+    rest = spark.range(20000, 60000).select(((F.col("id") - 20000) % 4000).cast("string").alias("train_number"),
+                                           ((F.col("id") - 20000) % 50).cast("string").alias("station_code"), pay)
+    return hot.unionByName(rest)
+
+
+def test_shuffle_join_fallback_splits_the_hot_key(spark):
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        stops = _stops_with_hot_train(spark)
+        trains = E.train_dimension(spark.range(0, 4000).select(F.col("id").cast("string").alias("number"),
+                                                               F.lit("EXP").alias("type"))
+                                   .unionByName(spark.createDataFrame([("HOT", "SLOW")], "number string, type string")))
+        joined = E.enrich_train(stops, trains, max_broadcast_rows=0)  # size check fails -> shuffle join
+        got = joined.groupBy("train_type").count().orderBy("train_type").collect()
+        probe = joined.select("train_number", "train_type", "payload")
+        probe.collect()  # run this very DataFrame so its final adaptive plan is recorded
+        plan = probe._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert [tuple(r) for r in got] == [("EXP", 40000), ("SLOW", 20000)]
+    assert "SortMergeJoin" in plan
+    assert "skew=true" in plan  # AQE split the hot train's partition
+
+
+def test_aggregates_with_hot_key_are_exact(spark):
+    stops = _stops_with_hot_train(spark)
+    top = A.longest_trains(stops, 1).first()
+    assert (top.train_number, top.num_stops) == ("HOT", 20000)
+    traffic = {r.station_code: r for r in A.station_traffic(stops).collect()}
+    assert traffic["0"].total_stops == 400 + 800 and traffic["0"].distinct_trains == 1 + 80
