@@ -27,6 +27,14 @@ from stopflow.session import get_session, scratch_path  # noqa: E402
 from stopflow.sources.geojson import to_feature_collections  # noqa: E402
 
 
+def _sf(sf_dir: str):
+    tail = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tail)
+    except ValueError:
+        return tail
+
+
 def timed(fn):
     t0 = time.time()
     out = fn()
@@ -74,7 +82,7 @@ def main() -> None:
         "value": round(total, 3),
         "unit": "sec",
         "queries": q,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf(sf_dir),
         "rows": {"raw_rows": stats["raw_rows"], "cleaned_rows": stats["cleaned_rows"]},
         "analyse_seconds": q["analyse_job"],
     }))
