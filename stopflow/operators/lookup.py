@@ -7,7 +7,7 @@ a filter on top (pushed into the Parquet scan when reading published data).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopflow.functions.text import category_equals, search_match, station_label, train_label
@@ -43,10 +43,10 @@ def hourly_peak(hourly: DataFrame) -> DataFrame:
 def hourly_share(hourly: DataFrame) -> DataFrame:
     """``HH:00`` label, arrivals and share (%) of the rows passed in.
 
-    The share is over a per-hour table (at most a few dozen rows), so the
-    un-partitioned window here never sees more than that.
+    The total is a scalar subquery over the same per-hour table (AQE reuses
+    its shuffle), so no rows are gathered into a single partition.
     """
-    total = F.sum("arrivals").over(Window.partitionBy())
+    total = hourly.agg(F.sum("arrivals")).scalar()
     return hourly.select(hour_label("hour").alias("hour_label"), "arrivals",
                          (F.lit(100.0) * F.col("arrivals") / total).alias("pct"))
 
