@@ -71,8 +71,9 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and hand-off tables.
 
-    Taken from ``spark.checkpoint.dir`` of the running session.  Only when the
-    session has none (local tests) a fresh folder is made and registered.
+    Taken from ``spark.checkpoint.dir`` of the running session.  Only a
+    local-mode session without one (tests) gets a fresh temporary folder; on
+    a cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +81,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_spark_subdir(current) else current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors "
+                             "(intermediate tables and checkpoints are written there)")
         configured = tempfile.mkdtemp(prefix="stopflow-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
