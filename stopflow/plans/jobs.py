@@ -15,7 +15,6 @@ cluster).  Missing inputs raise ``ValueError`` before any Spark job.
 
 from __future__ import annotations
 
-import json
 import os
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -188,11 +187,3 @@ def _run_concurrently(jobs: dict, workers: int) -> None:
         futures = [pool.submit(fn) for fn in jobs.values()]
         for f in futures:
             f.result()
-
-
-def write_local_json(obj: dict, path: str) -> None:
-    """Driver-side convenience for small local reports."""
-    p = local_path(path)
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    with open(p, "w", encoding="utf-8") as fh:
-        json.dump(obj, fh, indent=2)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -120,10 +119,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file checks in local mode."""
     return path[5:] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    """Create a local folder for driver-side metric files (local paths only)."""
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
