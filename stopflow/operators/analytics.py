@@ -130,6 +130,33 @@ def breakdown(stops: DataFrame, dim: str) -> DataFrame:
     )
 
 
+def train_category_counts(stops: DataFrame) -> DataFrame:
+    """Stops per (train, train label, every breakdown dimension) - one scan.
+
+    One row per train per category combination: enough to derive the
+    per-train lengths and every breakdown from a single scan.  It pays off
+    when trains touch few categories; when categories change from stop to
+    stop it is nearly as large as the stops, and the direct per-dimension
+    aggregates (two narrow columns each) are cheaper.
+    """
+    keys = group_keys("train_number", train_display(stops.columns), *breakdown_dimensions(stops.columns))
+    return stops.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def lengths_from_counts(counts: DataFrame) -> DataFrame:
+    """:func:`train_lengths` from :func:`train_category_counts`."""
+    keys = group_keys("train_number", train_display(counts.columns))
+    return counts.groupBy(*keys).agg(F.sum("n").alias("num_stops"))
+
+
+def breakdown_from_counts(counts: DataFrame, dim: str) -> DataFrame:
+    """:func:`breakdown` from :func:`train_category_counts` (same rows)."""
+    return counts.groupBy(dim).agg(
+        F.sum("n").alias("total_stops"),
+        F.countDistinct("train_number").alias("distinct_trains"),
+    )
+
+
 def run_summary(stops: DataFrame, raw_rows: DataFrame | int | None = None) -> DataFrame:
     """Totals of the cleaned table: rows, distinct trains, distinct stations.
 

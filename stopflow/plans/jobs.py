@@ -125,8 +125,9 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     Per-station and per-train counts are aggregated once and written next
     to the outputs (``_station_traffic``, ``_train_lengths``); the top-N
     lists and the run summary are read off those small tables instead of
-    scanning the stops again.  The independent outputs are submitted as
-    concurrent Spark jobs so short stages of one overlap with another.
+    scanning the stops again.  Each breakdown reads two narrow columns
+    (its dimension and the train number).  Independent outputs are
+    submitted as concurrent Spark jobs so short stages of one overlap.
     """
     _require(stops_path, "stops table")
     start = time.time()
@@ -143,8 +144,8 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
 
     station_path, train_path = f"{out_dir}/_station_traffic.parquet", f"{out_dir}/_train_lengths.parquet"
     base_jobs = {
-        "_station_traffic": lambda: W.write_table(A.station_traffic(stops), station_path),
-        "_train_lengths": lambda: W.write_table(A.train_lengths(stops), train_path),
+        "_station_traffic": lambda: timed("_station_traffic", lambda: W.write_table(A.station_traffic(stops), station_path)),
+        "_train_lengths": lambda: timed("_train_lengths", lambda: W.write_table(A.train_lengths(stops), train_path)),
         "stoppage_stats": lambda: publish(
             "stoppage_stats", A.stoppage_stats(stops).orderBy(F.col("avg_duration_mins").desc(), "station_code")),
         "hourly_traffic": lambda: publish("hourly_traffic", A.hourly_traffic(stops).orderBy("hour")),
@@ -152,8 +153,7 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     for dim in A.breakdown_dimensions(stops.columns):
         base_jobs[f"breakdown_{dim}"] = (lambda d: lambda: publish(
             f"breakdown_{d}", A.breakdown(stops, d).orderBy(F.col("total_stops").desc(), d)))(dim)
-    _run_concurrently({k: (lambda k=k, f=f: timed(k, f)) if k.startswith("_") else f
-                       for k, f in base_jobs.items()}, parallel_jobs)
+    _run_concurrently(base_jobs, parallel_jobs)
 
     station = spark.read.parquet(station_path)
     trains = spark.read.parquet(train_path)

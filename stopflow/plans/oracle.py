@@ -249,3 +249,5 @@ ORACLE["longest_trains_sql"] = ORACLE["longest_trains"]
 ORACLE["clean_stops_observed"] = ORACLE["clean_stops"]
 ORACLE["run_summary_from_groups"] = ORACLE["run_summary"]
 ORACLE["clean_stats_json"] = ORACLE["clean_stats"]
+ORACLE["breakdown_state_from_counts"] = ORACLE["breakdown_state"]
+ORACLE["longest_trains_from_counts"] = ORACLE["longest_trains"]

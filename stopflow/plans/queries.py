@@ -260,6 +260,17 @@ def run_summary_from_groups(spark, d):
     return A.summary_from_groups(A.station_traffic(st), A.train_lengths(st), raw)
 
 
+def breakdown_state_from_counts(spark, d):
+    """The analyse job's path: a breakdown read off per-train category counts."""
+    return A.breakdown_from_counts(A.train_category_counts(stops(spark, d)), "state")
+
+
+def longest_trains_from_counts(spark, d):
+    """The analyse job's path: train lengths read off per-train category counts."""
+    lengths = A.lengths_from_counts(A.train_category_counts(stops(spark, d)))
+    return A.top_n(lengths, 20, "num_stops", ["train_number", "train_name"])
+
+
 def run_summary(spark, d):
     raw = X.raw_stops(spark, d).agg(F.count(F.lit(1)).alias("raw_rows"))
     return A.run_summary(stops(spark, d), raw)
@@ -398,6 +409,8 @@ QUERIES: dict[str, Query] = {
     "breakdown_zone": _breakdown("zone"),
     "breakdown_state": _breakdown("state"),
     "breakdown_train_type": _breakdown("train_type"),
+    "breakdown_state_from_counts": breakdown_state_from_counts,
+    "longest_trains_from_counts": longest_trains_from_counts,
     "breakdown_zone_valid": breakdown_zone_valid,
     "breakdown_type_valid": breakdown_type_valid,
     "run_summary": run_summary,

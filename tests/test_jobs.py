@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from stopflow.operators import analytics as A
 from stopflow.operators import quality as Q
 from stopflow.plans import fixture as X
 from stopflow.plans.jobs import analyse_job, clean_job, inspect_job
@@ -55,8 +56,11 @@ def test_published_tables(spark, published):
     assert longest.count() == 20 and longest.filter("num_stops <= 0").count() == 0
     hourly = read("hourly_traffic")
     assert hourly.count() == 25
+    stops_all = read("stops")
     for d in ("zone", "state", "train_type"):
-        assert read(f"breakdown_{d}").count() > 0
+        got = sorted((tuple(r) for r in read(f"breakdown_{d}").collect()), key=repr)
+        direct = sorted((tuple(r) for r in A.breakdown(stops_all, d).collect()), key=repr)
+        assert got == direct
     stops = read("stops")
     assert all(r.ok for r in Q.stops_checks(stops).collect() if r.check_name != "arrival_hour_in_0_23")
     top = busiest.orderBy(F.desc("total_stops"), "station_code").first()
