@@ -22,12 +22,13 @@ ROUTE_ORDER = ["stop_sequence", "arrival", "departure"]
 
 # --- hourly window KPIs ----------------------------------------------------
 
-def hourly_window_kpis(dense: DataFrame, start: int, end: int) -> DataFrame:
-    """Arrivals inside the window, their share of all arrivals (%), and the
-    number of hour bins in the window."""
+def hourly_window_kpis(hourly: DataFrame, start: int, end: int) -> DataFrame:
+    """Arrivals inside the window, their share (%) of all arrivals in the
+    table (the null hour of malformed arrivals included), and the number of
+    hour bins in the window."""
     inside = F.coalesce(in_hour_window("hour", start, end), F.lit(False))
     w = F.sum(F.when(inside, F.col("arrivals")))
-    return dense.agg(
+    return hourly.agg(
         w.cast("bigint").alias("window_total"),
         (F.lit(100.0) * w.cast("double") / F.greatest(F.sum("arrivals"), F.lit(1)).cast("double")).alias("window_pct"),
         F.count_if(inside).alias("hour_bins"),
@@ -46,7 +47,7 @@ def hourly_share(hourly: DataFrame) -> DataFrame:
     The total is a scalar subquery over the same per-hour table (AQE reuses
     its shuffle), so no rows are gathered into a single partition.
     """
-    total = hourly.agg(F.sum("arrivals")).scalar()
+    total = F.greatest(hourly.agg(F.sum("arrivals")).scalar(), F.lit(1))
     return hourly.select(hour_label("hour").alias("hour_label"), "arrivals",
                          (F.lit(100.0) * F.col("arrivals") / total).alias("pct"))
 

@@ -144,11 +144,13 @@ ORACLE: dict[str, str] = {
     "hourly_window": _with("SELECT * FROM hourly WHERE hour BETWEEN 6 AND 11", "hourly"),
     "hourly_window_overnight": _with("SELECT * FROM hourly WHERE hour >= 22 OR hour <= 5", "hourly"),
     "hourly_window_kpis": _with("SELECT CAST(sum(CASE WHEN hour BETWEEN 6 AND 11 THEN arrivals END) AS BIGINT) AS window_total, "
-                                "100.0::DOUBLE*sum(CASE WHEN hour BETWEEN 6 AND 11 THEN arrivals END)/sum(arrivals) AS window_pct, "
-                                "count(CASE WHEN hour BETWEEN 6 AND 11 THEN 1 END) AS hour_bins FROM dense", "dense"),
-    "hourly_peak": _with("SELECT hour AS peak_hour, arrivals FROM dense ORDER BY arrivals DESC, hour LIMIT 1", "dense"),
+                                "100.0::DOUBLE*sum(CASE WHEN hour BETWEEN 6 AND 11 THEN arrivals END)/greatest(sum(arrivals),1) AS window_pct, "
+                                "count(CASE WHEN hour BETWEEN 6 AND 11 THEN 1 END) AS hour_bins FROM hourly", "hourly"),
+    "hourly_peak": _with("SELECT hour AS peak_hour, arrivals FROM hourly WHERE hour BETWEEN 0 AND 23 "
+                         "ORDER BY arrivals DESC, hour LIMIT 1", "hourly"),
     "hourly_share": _with("SELECT lpad(CAST(hour AS STRING),2,'0')||':00' AS hour_label, arrivals, "
-                          "100.0::DOUBLE*arrivals/sum(arrivals) OVER () AS pct FROM dense", "dense"),
+                          "100.0::DOUBLE*arrivals/greatest(sum(arrivals) OVER (),1) AS pct FROM hourly "
+                          "WHERE hour BETWEEN 0 AND 23", "hourly"),
     "longest_trains": _with("SELECT train_number, train_name, count(*) AS num_stops FROM stops GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 20"),
     "breakdown_zone": _with("SELECT * FROM bd_zone", "bd_zone"),
     "breakdown_state": _with("SELECT state, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM stops GROUP BY 1"),

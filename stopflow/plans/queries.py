@@ -220,15 +220,18 @@ def hourly_window_overnight(spark, d):
 
 
 def hourly_window_kpis(spark, d):
-    return L.hourly_window_kpis(_dense(spark, d), 6, 11)
+    """Morning window KPIs over the hourly table (as published, null hour included)."""
+    return L.hourly_window_kpis(_hourly(spark, d), 6, 11)
 
 
 def hourly_peak(spark, d):
-    return L.hourly_peak(_dense(spark, d))
+    """Peak hour of the default window (all 24 hours)."""
+    return L.hourly_peak(S.hour_preset(_hourly(spark, d), "all"))
 
 
 def hourly_share(spark, d):
-    return L.hourly_share(_dense(spark, d))
+    """Labels and shares of the default window (all 24 hours)."""
+    return L.hourly_share(S.hour_preset(_hourly(spark, d), "all"))
 
 
 def longest_trains(spark, d):
