@@ -193,6 +193,8 @@ ORACLE: dict[str, str] = {
                              "FROM stops) GROUP BY 1"),
     "route_regions": _with("SELECT train_number, string_agg(DISTINCT state, ',' ORDER BY state) AS states FROM stops "
                            "WHERE state IS NOT NULL GROUP BY 1"),
+    "route_zones": _with("SELECT train_number, string_agg(DISTINCT zone, ',' ORDER BY zone) AS zones FROM stops "
+                         "WHERE zone IS NOT NULL GROUP BY 1"),
     "export_clean": _with("SELECT train_number, train_name, train_type, station_code, station_name, arrival, departure, "
                           "stop_sequence, day, stop_duration_mins, zone, state FROM stops"),
     "profile_nulls": _with("SELECT 'arrival' AS column_name, count(CASE WHEN arrival IS NULL OR arrival='' OR arrival='None' THEN 1 END) AS nulls, "
