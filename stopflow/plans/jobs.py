@@ -109,7 +109,11 @@ def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: s
         trains, tr_bound = E.train_dimension_from_geojson(fc), fc.select(F.explode("features"))
     enriched = E.enrich(counted, stations, trains, stations_bound=st_bound, trains_bound=tr_bound)
     stops, stats = C.finish_counted(enriched)
-    W.write_table(stops, f"{out_dir}/stops.parquet")
+    # Lookups filter the published table by station name and by train number:
+    # cluster each file by station, bloom-filter the equality keys.
+    cluster = [c for c in ("station_name", "train_number") if c in stops.columns]
+    blooms = [c for c in ("train_number", "station_code") if c in stops.columns]
+    W.write_table(stops, f"{out_dir}/stops.parquet", cluster_by=cluster, bloom_filter_columns=blooms)
     metrics = stats.as_dict()
     W.write_metrics(spark, metrics, f"{out_dir}/clean_stats.json")
     return metrics
