@@ -1,7 +1,8 @@
 """Benchmark: the clean and analyse jobs plus the explorer lookups.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8).  Setup (untimed) lands the derived raw feed as line-delimited
+(default 8), ``BENCH_SHUFFLE`` (shuffle partitions, default 2 per core; AQE
+coalesces).  Setup (untimed) lands the derived raw feed as line-delimited
 JSON and the station/train attributes as GeoJSON FeatureCollections in the
 shared folder; then the jobs run exactly as a user would run them on files.
 Prints one JSON line.
@@ -44,7 +45,7 @@ def timed(fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session("stopflow-bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
+    spark = get_session("stopflow-bench", master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", 2 * cpus)),
                         extra={"spark.driver.memory": "8g"})
     root = scratch_path(spark, "bench")
     raw_dir, stn_dir, trn_dir, out_dir = (f"{root}/{n}" for n in ("raw_stops", "stations", "trains", "out"))
