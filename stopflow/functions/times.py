@@ -32,19 +32,28 @@ def hour_of(c: str | Column) -> Column:
     return clock_part(c, 0)
 
 
-def minutes_since_midnight(c: str | Column) -> Column:
-    """``h*60 + m``; seconds are ignored and hours are not range-checked."""
-    return clock_part(c, 0) * 60 + clock_part(c, 1)
+def minutes_since_midnight(c: str | Column, strict: bool = False) -> Column:
+    """``h*60 + m``; seconds are ignored.
+
+    By default hours and minutes are not range-checked (``24:10`` is 1450,
+    as in the original data's handling); ``strict=True`` gives null unless
+    0 <= h <= 23 and 0 <= m <= 59.
+    """
+    h, m = clock_part(c, 0), clock_part(c, 1)
+    total = h * 60 + m
+    if strict:
+        return F.when(h.between(0, 23) & m.between(0, 59), total)
+    return total
 
 
-def dwell_minutes(arrival: str | Column, departure: str | Column) -> Column:
+def dwell_minutes(arrival: str | Column, departure: str | Column, strict: bool = False) -> Column:
     """Minutes between arrival and departure, wrapping past midnight.
 
-    Null when either side is null or unparseable.  For valid clock times the
-    result lies in 0..1439.
+    Null when either side is null or unparseable (or, with ``strict``, out of
+    range).  For valid clock times the result lies in 0..1439.
     """
-    a = minutes_since_midnight(arrival)
-    d = minutes_since_midnight(departure)
+    a = minutes_since_midnight(arrival, strict)
+    d = minutes_since_midnight(departure, strict)
     return F.when(d >= a, d - a).otherwise(d + F.lit(MINUTES_PER_DAY) - a).cast("int")
 
 

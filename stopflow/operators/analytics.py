@@ -24,13 +24,19 @@ def top_n(df: DataFrame, n: int, by: str, keys: list[str], ascending: bool = Fal
     return df.orderBy(primary, *[F.col(k).asc() for k in keys]).limit(n)
 
 
-def station_traffic(stops: DataFrame) -> DataFrame:
+def distinct_trains(approx_rsd: float | None = None):
+    """Distinct train count: exact (two-phase aggregate) by default, or a
+    HyperLogLog++ sketch with relative error ``approx_rsd`` - one mergeable
+    buffer per group, no second shuffle, for very large inputs."""
+    if approx_rsd is None:
+        return F.countDistinct("train_number").alias("distinct_trains")
+    return F.approx_count_distinct("train_number", approx_rsd).alias("distinct_trains")
+
+
+def station_traffic(stops: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Per station: total stops and distinct trains (all stations)."""
     keys = group_keys(station_key(stops.columns), station_display(stops.columns))
-    return stops.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_stops"),
-        F.countDistinct("train_number").alias("distinct_trains"),
-    )
+    return stops.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_stops"), distinct_trains(approx_rsd))
 
 
 def busiest_stations(stops: DataFrame, n: int = 20) -> DataFrame:
@@ -122,12 +128,9 @@ def breakdown_dimensions(columns: list[str]) -> list[str]:
     return [c for c in columns if c.lower() in BREAKDOWN_DIMENSIONS]
 
 
-def breakdown(stops: DataFrame, dim: str) -> DataFrame:
+def breakdown(stops: DataFrame, dim: str, approx_rsd: float | None = None) -> DataFrame:
     """Per category of ``dim``: total stops and distinct trains; null is its own group."""
-    return stops.groupBy(dim).agg(
-        F.count(F.lit(1)).alias("total_stops"),
-        F.countDistinct("train_number").alias("distinct_trains"),
-    )
+    return stops.groupBy(dim).agg(F.count(F.lit(1)).alias("total_stops"), distinct_trains(approx_rsd))
 
 
 def train_category_counts(stops: DataFrame) -> DataFrame:

@@ -56,3 +56,11 @@ def test_run_summary(spark):
 def test_longest_trains_uses_number_when_no_name(spark):
     df = spark.createDataFrame([("1",), ("1",), ("2",)], "train_number string")
     assert [tuple(r) for r in A.longest_trains(df, 5).collect()] == [("1", 2), ("2", 1)]
+
+
+def test_approximate_distinct_option(spark):
+    stops = Q.stops(spark, SF_SMALL)
+    exact = {r.station_code: r.distinct_trains for r in A.station_traffic(stops).collect()}
+    approx = {r.station_code: r.distinct_trains for r in A.station_traffic(stops, approx_rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(2, 0.08 * v) for k, v in exact.items())

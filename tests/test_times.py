@@ -78,3 +78,9 @@ def test_arrival_periods(spark, period, expected):
 def test_unknown_period_rejected():
     with pytest.raises(ValueError):
         T.in_arrival_period("arrival", "Lunch")
+
+
+def test_strict_range_check(spark):
+    df = spark.createDataFrame([("24:10", "00:05"), ("08:61", "09:00"), ("08:00", "08:30")], "a string, d string")
+    got = [r[0] for r in df.select(T.dwell_minutes("a", "d", strict=True)).collect()]
+    assert got == [None, None, 30]
