@@ -14,6 +14,7 @@ import sys
 
 from stopflow.plans.jobs import analyse_job, clean_job, inspect_job
 from stopflow.session import cluster_conf, get_session
+from stopflow.sources.files import largest_file
 
 
 def _session(args):
@@ -37,7 +38,9 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("paths", nargs="+")
     i.add_argument("--out", required=True)
     c = sub.add_parser("clean", help="raw feed -> stops.parquet + clean_stats.json")
-    c.add_argument("raw")
+    c.add_argument("raw", nargs="?", help="the raw schedule feed (file or folder)")
+    c.add_argument("--raw-dir", help="folder of raw files: the largest JSON/CSV is the feed; "
+                                     "stations.json / trains.json there are used when present")
     c.add_argument("--stations")
     c.add_argument("--trains")
     c.add_argument("--out", required=True)
@@ -58,7 +61,15 @@ def main(argv: list[str] | None = None) -> int:
                 ins.summary.coalesce(1).write.mode("overwrite").json(f"{args.out}/inspect/summary.json")
             print(json.dumps({"profiled": sorted(ins.nulls), "skipped": ins.skipped}))
         elif args.command == "clean":
-            print(json.dumps(clean_job(spark, args.raw, args.out, args.stations, args.trains)))
+            raw, stations, trains = args.raw, args.stations, args.trains
+            if args.raw_dir:
+                d = args.raw_dir.rstrip("/")
+                raw = raw or largest_file(spark, d, exclude=("stations.json", "trains.json"))
+                stations = stations or f"{d}/stations.json"
+                trains = trains or f"{d}/trains.json"
+            if not raw:
+                p.error("clean needs a raw feed or --raw-dir")
+            print(json.dumps(clean_job(spark, raw, args.out, stations, trains)))
         else:
             stops = args.stops or f"{args.out}/stops.parquet"
             print(json.dumps(analyse_job(spark, stops, args.out, f"{args.out}/clean_stats.json")))

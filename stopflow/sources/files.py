@@ -148,6 +148,23 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> Da
             .orderBy(F.col("length").desc(), F.col("path")))
 
 
+def largest_file(spark: SparkSession, folder: str, extensions: tuple[str, ...] = (".json", ".csv"),
+                 exclude: tuple[str, ...] = ()) -> str:
+    """Path of the largest file under ``folder`` with one of ``extensions``
+    (ties by path), skipping names in ``exclude``; ``ValueError`` when none.
+
+    Only file metadata is listed (no content read); one row comes back.
+    """
+    m = file_manifest(spark, folder)
+    ok = F.lower(F.col("name")).rlike("(" + "|".join(e.replace(".", "\\.") + "$" for e in extensions) + ")")
+    if exclude:
+        ok = ok & ~F.col("name").isin(*exclude)
+    row = m.filter(ok).select("path").first()
+    if row is None:
+        raise ValueError(f"no {'/'.join(extensions)} file under {folder}")
+    return row.path
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Read a small metrics document (one JSON object per line)."""
     return spark.read.json(path)

@@ -72,3 +72,13 @@ def test_file_manifest(spark, tmp_dir):
     rows = R.file_manifest(spark, tmp_dir).collect()
     assert [r.name for r in rows] == ["big.json", "small.json"]
     assert rows[0].length == 500
+
+
+def test_largest_file(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "schedules.json"), "x" * 900)
+    _write(os.path.join(tmp_dir, "stations.json"), "x" * 5000)
+    _write(os.path.join(tmp_dir, "notes.txt"), "x" * 9000)
+    assert R.largest_file(spark, tmp_dir).endswith("stations.json")
+    assert R.largest_file(spark, tmp_dir, exclude=("stations.json",)).endswith("schedules.json")
+    with pytest.raises(ValueError):
+        R.largest_file(spark, tmp_dir, extensions=(".parquet",))
