@@ -25,7 +25,8 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None,
+                   landed: bool = False) -> DataFrame:
     """Join a (usually small) dimension onto a fact table.
 
     The dimension is broadcast when its row count is proven to be within
@@ -41,6 +42,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     ``bound_by`` is a cheaper frame with at least as many rows as ``dim``
     (for example its input before de-duplication): the size check is then
     a scan-and-count instead of a second computation of the dimension.
+    ``landed=True`` says ``dim`` is already a table read from storage (its
+    count comes from file footers and it is not written again).
     """
     if row_count_at_most(dim if bound_by is None else bound_by, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on, how)
@@ -48,4 +51,4 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     # back, it enters the join through a plain shuffle (an aggregate feeding
     # the join directly would hide it from AQE's skew-join split) and carries
     # real file-size statistics for AQE's own broadcast decision.
-    return fact.join(materialize(dim, "join_dimension"), on, how)
+    return fact.join(dim if landed else materialize(dim, "join_dimension"), on, how)

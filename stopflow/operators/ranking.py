@@ -10,7 +10,8 @@ without that hot task:
    row id lets even a group of identical keys be cut);
 2. each row gets its position inside its sorted partition; this table is
    written once to the shared checkpoint folder, which pins the positions
-   and cuts the lineage;
+   and cuts the lineage (the small offsets table of step 4 is written too,
+   so its size check reads file footers);
 3. per (group, partition) slice: first position and row count - a small
    table (about one row per group plus one per partition);
 4. within each group the slices are ordered by partition, and a running
@@ -44,10 +45,11 @@ def number_within_groups(df: DataFrame, group: str, order: list[Column], name: s
     ranked = materialize(ranked, "group_sequence")
     slices = ranked.groupBy(group, "_part").agg(F.min("_idx").alias("_start"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_start",
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    offsets = materialize(slices.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_start",
+                                        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")),
+                          "group_sequence_offsets")
     on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))
-    joined = join_dimension(ranked, offsets, on, "inner", max_broadcast_rows, bound_by=slices)
+    joined = join_dimension(ranked, offsets, on, "inner", max_broadcast_rows, landed=True)
     seq = (F.col("_idx") - F.col("_start") + F.col("_before") + 1).cast("int")
     return joined.select(*cols, seq.alias(name))
 
