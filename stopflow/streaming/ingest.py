@@ -4,8 +4,9 @@ The cleaning operators are plain ``DataFrame -> DataFrame`` functions, so
 they apply unchanged to a streaming DataFrame.  :func:`start_clean_stream`
 picks up new files in a landing folder, conforms and cleans each
 micro-batch, attaches the (static, broadcast) station and train attributes
-and appends the rows to a Parquet table, with its progress checkpointed in
-the shared folder so a restarted query resumes where it stopped.
+and writes the rows to a Parquet table partitioned by micro-batch (a re-run
+batch overwrites its own partition), with its progress checkpointed in the
+shared folder so a restarted query resumes where it stopped.
 
 Exact de-duplication across all batches needs the whole history (unbounded
 state without an event-time watermark); each micro-batch is de-duplicated
@@ -42,7 +43,10 @@ def start_clean_stream(spark: SparkSession, landing_dir: str, out_dir: str,
         stops = E.enrich_train(stops, trains)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        C.dedup_exact(batch).write.mode("append").parquet(out_dir)
+        # One folder per micro-batch, overwritten on a retry: a batch that is
+        # re-run after a failure replaces its own output instead of appending
+        # it twice (foreachBatch itself is at-least-once).
+        C.dedup_exact(batch).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 
     w = stops.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "ingest_checkpoint"))

@@ -22,6 +22,7 @@ def test_available_now_ingest(spark, tmp_dir):
                            available_now=True)
     q.awaitTermination(120)
     df = spark.read.parquet(out)
+    assert "batch" in df.columns
     got = df.collect()
     assert len(got) == 5
     assert {r.stop_duration_mins for r in got} == {20}
