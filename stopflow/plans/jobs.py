@@ -55,14 +55,18 @@ class Inspection:
     skipped: list[str] = field(default_factory=list)
 
 
-def inspect_job(spark: SparkSession, paths: list[str]) -> Inspection:
-    """Profile each input; unsupported formats are listed in ``skipped``."""
+def inspect_job(spark: SparkSession, paths: list[str], sampling_ratio: float = 1.0) -> Inspection:
+    """Profile each input; unsupported formats are listed in ``skipped``.
+
+    ``sampling_ratio`` < 1 infers JSON schemas from a sample of the input
+    instead of a full extra pass (the profile itself still reads everything).
+    """
     out = Inspection()
     frames = {}
     for p in paths:
         name = os.path.basename(p.rstrip("/"))
         try:
-            df = R.read_any(spark, p)
+            df = R.read_any(spark, p, sampling_ratio=sampling_ratio)
         except ValueError:
             out.skipped.append(name)
             continue
@@ -87,10 +91,7 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     if ext in (".json", ".ndjson", ".geojson") or (not ext and os.path.isdir(local_path(path))):
-        if schema is None and sampling_ratio < 1.0:
-            multi = R.is_json_array(path)
-            return spark.read.option("multiLine", multi).option("samplingRatio", sampling_ratio).json(path)
-        return R.read_json(spark, path, schema)
+        return R.read_json(spark, path, schema, sampling_ratio=sampling_ratio)
     return R.read_any(spark, path, schema)
 
 

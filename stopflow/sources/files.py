@@ -56,7 +56,7 @@ def is_json_array(path: str) -> bool:
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              multi_line: bool | None = None) -> DataFrame:
+              multi_line: bool | None = None, sampling_ratio: float = 1.0) -> DataFrame:
     """Read a JSON array file or line-delimited JSON.
 
     ``multi_line=None`` sniffs the first byte of a local file; line-delimited
@@ -69,6 +69,8 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     r = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
     if schema is not None:
         r = r.schema(schema)
+    elif sampling_ratio < 1.0:
+        r = r.option("samplingRatio", sampling_ratio)  # infer from a sample, not a full pass
     return r.json(path)
 
 
@@ -122,14 +124,15 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             sampling_ratio: float = 1.0) -> DataFrame:
     """Dispatch on the file extension: json / geojson / ndjson / csv / parquet / pq."""
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     fmt = FORMATS.get(ext)
     if fmt is None:
         raise ValueError(f"unsupported input format {ext!r} for {path}; expected one of {sorted(FORMATS)}")
     if fmt == "json":
-        return read_json(spark, path, schema)
+        return read_json(spark, path, schema, sampling_ratio=sampling_ratio)
     if fmt == "csv":
         return read_csv(spark, path, schema)
     return read_parquet(spark, path)
