@@ -11,8 +11,11 @@ def profile_schema(spark: SparkSession, df: DataFrame, dataset: str = "input") -
 
     Built from the schema on the driver (no Spark job over the data).
     """
-    rows = [(dataset, i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "dataset string, position int, column_name string, data_type string, nullable boolean")
+    rows = [F.struct(F.lit(dataset).alias("dataset"), F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"), F.lit(f.nullable).alias("nullable"))
+            for i, f in enumerate(df.schema.fields)]
+    # literal rows built JVM-side (no Python worker for such a small table)
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def null_like(c: str):

@@ -9,6 +9,7 @@ collapsed to a single file.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stopflow.operators.conform import select_existing
 from stopflow.schema import EXPORT_COLUMNS
@@ -65,8 +66,13 @@ def export_clean(stops: DataFrame) -> DataFrame:
     return select_existing(stops, EXPORT_COLUMNS)
 
 
+def metrics_frame(spark, metrics: dict) -> DataFrame:
+    """A one-row DataFrame of literals (built JVM-side: no Python worker)."""
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in metrics.items()])
+
+
 def write_metrics(spark, metrics: dict, path: str) -> DataFrame:
     """Write a small dict of counters as a one-row JSON document and return it."""
-    df = spark.createDataFrame([metrics])
+    df = metrics_frame(spark, metrics)
     write_small(df, path, fmt="json")
     return df
