@@ -122,6 +122,9 @@ def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: s
 
 # --- analyse ----------------------------------------------------------------------
 
+CLEAN_STATS_SCHEMA = "raw_rows long, cleaned_rows long, removed_missing long, removed_duplicates long"
+
+
 def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_path: str | None = None,
                 timings: dict | None = None, parallel_jobs: int = 4) -> dict:
     """Publish busiest stations, dwell statistics, hourly traffic, longest
@@ -173,11 +176,10 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     t0 = time.time()
     raw_rows = None
     if clean_stats_path and _exists(clean_stats_path):
-        raw_rows = spark.read.json(clean_stats_path)
-    summary = A.summary_from_groups(station, trains, raw_rows).withColumn(
-        "pipeline_runtime_seconds", F.lit(elapsed))
-    W.write_small(summary, f"{out_dir}/run_summary.json", fmt="json")
-    row = spark.read.json(f"{out_dir}/run_summary.json").first().asDict()
+        raw_rows = spark.read.schema(CLEAN_STATS_SCHEMA).json(clean_stats_path)
+    row = A.summary_from_groups(station, trains, raw_rows).first().asDict()
+    row["pipeline_runtime_seconds"] = elapsed
+    W.write_metrics(spark, row, f"{out_dir}/run_summary.json")
     timings["run_summary"] = round(time.time() - t0, 3)
     return row
 
