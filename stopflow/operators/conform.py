@@ -69,6 +69,17 @@ def conform_stops(raw: DataFrame, aliases: dict[str, list[str]] = ALIASES) -> Da
     return out.withColumn("train_number", F.col("train_number").cast("string"))
 
 
+def col_or_null(df: DataFrame, name: str, dtype: str = "string"):
+    """``df[name]`` when the column exists, else a typed null (optional columns
+    simply do not exist downstream when the source lacks them)."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+
+
+def existing(df: DataFrame, names: list[str]) -> list[str]:
+    """The names, in order, that ``df`` has."""
+    return [c for c in names if c in df.columns]
+
+
 def select_existing(df: DataFrame, wanted: list[str]) -> DataFrame:
     """Project ``wanted`` in order, skipping columns the table does not have."""
     return df.select(*[c for c in wanted if c in df.columns])

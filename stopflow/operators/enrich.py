@@ -60,8 +60,11 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
     """Left join state and zone on station_code = station key.
 
     ``bound_by`` (e.g. the attribute rows before de-duplication) makes the
-    broadcast size check a plain scan-and-count.
+    broadcast size check a plain scan-and-count.  A table without station
+    codes is returned unchanged (there is nothing to join on).
     """
+    if "station_code" not in stops.columns:
+        return stops
     joined = join_dimension(stops, stations, F.col("station_code") == F.col("_station_key"), "left",
                             max_broadcast_rows, bound_by)
     return joined.drop("_station_key")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stopflow.functions.text import category_equals, search_match, station_label, train_label
 from stopflow.functions.times import hour_label, in_arrival_period, in_hour_window
-from stopflow.operators.conform import select_existing
+from stopflow.operators.conform import col_or_null, existing, select_existing
 from stopflow.operators.ranking import number_within_groups
 from stopflow.operators.slicers import route_filter, station_filter
 from stopflow.schema import HALT_PROFILE_COLUMNS, ITINERARY_COLUMNS, TIMETABLE_COLUMNS
@@ -67,7 +67,7 @@ def station_timetable(stops: DataFrame, station_name: str, train_type: str | Non
     pred = None if period is None else in_arrival_period("arrival", period)
     df = station_filter(stops, station_name, train_type, min_halt, pred)
     df = select_existing(df, TIMETABLE_COLUMNS)
-    return df.orderBy(F.col("arrival").asc_nulls_last(), "train_number", "stop_sequence")
+    return df.orderBy(F.col("arrival").asc_nulls_last(), *existing(df, ["train_number", "stop_sequence"]))
 
 
 def station_card(stops: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def station_card(stops: DataFrame) -> DataFrame:
     through the sort-based ``min`` over text.
     """
     dur = F.col("stop_duration_mins")
-    pairs = stops.groupBy("station_name", "station_code").agg(
+    pairs = stops.groupBy("station_name", col_or_null(stops, "station_code").alias("station_code")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(dur).alias("_s"), F.count(dur).alias("_c"))
     return pairs.groupBy("station_name").agg(
         F.min("station_code").alias("station_code"),
@@ -95,7 +95,9 @@ def train_catalog(stops: DataFrame) -> DataFrame:
     ``min_by`` is an ordinary aggregate (partial aggregation before the
     shuffle), so a train with very many stops costs one row per map task.
     """
-    first = F.min_by(F.struct("train_name", "train_type"), F.struct(*ROUTE_ORDER))
+    order = existing(stops, ROUTE_ORDER) or ["train_number"]
+    first = F.min_by(F.struct(col_or_null(stops, "train_name").alias("train_name"),
+                              col_or_null(stops, "train_type").alias("train_type")), F.struct(*order))
     cat = stops.groupBy("train_number").agg(first.alias("_f")).select(
         "train_number", F.col("_f.train_name").alias("train_name"), F.col("_f.train_type").alias("train_type"))
     return cat.withColumn("label", train_label("train_number", "train_name", "train_type"))
@@ -134,15 +136,16 @@ def route_itinerary(stops: DataFrame, train_number: str, states: list[str] | Non
                     zones: list[str] | None = None, min_halt: int = 0) -> DataFrame:
     """One train's halts in route order with the route slicers."""
     df = route_filter(stops.filter(F.col("train_number") == F.lit(train_number)), states, zones, min_halt)
-    return select_existing(df.orderBy(*ROUTE_ORDER), ITINERARY_COLUMNS)
+    order = existing(df, ROUTE_ORDER)
+    return select_existing(df.orderBy(*order) if order else df, ITINERARY_COLUMNS)
 
 
 def route_halt_number(stops: DataFrame) -> DataFrame:
     """Every halt with its 1..n position along its train's route."""
-    order = [F.col("stop_sequence").asc(), F.col("arrival").asc_nulls_first(), F.col("departure").asc_nulls_first()]
-    return number_within_groups(stops.select("train_number", "stop_sequence", "arrival", "departure"),
-                                "train_number", order, "halt_no").select(
-        "train_number", "stop_sequence", "departure", "halt_no")
+    cols = existing(stops, ROUTE_ORDER)
+    order = [F.col(c).asc() if c == "stop_sequence" else F.col(c).asc_nulls_first() for c in cols]
+    numbered = number_within_groups(stops.select("train_number", *cols), "train_number", order, "halt_no")
+    return numbered.select("train_number", *existing(numbered, ["stop_sequence", "departure"]), "halt_no")
 
 
 def route_halt_profile(stops: DataFrame, states: list[str] | None = None, zones: list[str] | None = None,
@@ -158,18 +161,24 @@ def route_summary(stops: DataFrame) -> DataFrame:
     The per-train distinct sets are bounded by the number of states/zones,
     so ``collect_set`` stays small and is merged map-side.
     """
+    def n_distinct(c: str):
+        return F.size(F.collect_set(c)).cast("bigint") if c in stops.columns else F.lit(0).cast("bigint")
+
     return stops.groupBy("train_number").agg(
         F.count(F.lit(1)).alias("total_halts"),
-        F.coalesce(F.max("day"), F.lit(1)).alias("journey_days"),
-        F.size(F.collect_set("state")).cast("bigint").alias("states"),
-        F.size(F.collect_set("zone")).cast("bigint").alias("zones"),
+        F.coalesce(F.max(col_or_null(stops, "day", "int")), F.lit(1)).alias("journey_days"),
+        n_distinct("state").alias("states"),
+        n_distinct("zone").alias("zones"),
     )
 
 
 def route_endpoints(stops: DataFrame) -> DataFrame:
     """Per train: origin and destination ``"<name> (<code>)"`` by stop order."""
-    lab = station_label("station_name", "station_code")
-    key = F.struct("stop_sequence", "station_code")
+    if "station_code" in stops.columns and "station_name" in stops.columns:
+        lab = station_label("station_name", "station_code")
+    else:
+        lab = F.col("station_name" if "station_name" in stops.columns else "station_code")
+    key = F.struct(*(existing(stops, ["stop_sequence", "station_code", "station_name"])))
     return stops.groupBy("train_number").agg(
         F.min_by(lab, key).alias("origin"),
         F.max_by(lab, key).alias("destination"),
@@ -177,6 +186,9 @@ def route_endpoints(stops: DataFrame) -> DataFrame:
 
 
 def route_regions(stops: DataFrame, column: str = "state") -> DataFrame:
-    """Per train: sorted distinct non-null values of ``column``, comma-joined."""
+    """Per train: sorted distinct non-null values of ``column``, comma-joined
+    (no rows when the table has no such column)."""
+    if column not in stops.columns:
+        return stops.select("train_number", F.lit(None).cast("string").alias(f"{column}s")).limit(0)
     return (stops.filter(F.col(column).isNotNull()).groupBy("train_number")
             .agg(F.array_join(F.array_sort(F.collect_set(column)), ",").alias(f"{column}s")))

@@ -13,20 +13,22 @@ from pyspark.sql import functions as F
 from stopflow.functions.text import category_equals, search_match
 from stopflow.functions.times import in_hour_window
 from stopflow.operators.analytics import top_n
+from stopflow.operators.conform import station_display
 from stopflow.schema import HOUR_PRESETS, PLACEHOLDER_CATEGORIES
 
 
 def search(df: DataFrame, columns: list[str], term: str | None, literal: bool = False) -> DataFrame:
-    """Rows where ``term`` occurs in any of ``columns`` (case-insensitive)."""
+    """Rows where ``term`` occurs in any of ``columns`` that exist (case-insensitive)."""
     if term is None or not term.strip():
         return df
-    return df.filter(search_match(columns, term, literal))
+    cols = [c for c in columns if c in df.columns]
+    return df.filter(search_match(cols, term, literal)) if cols else df.limit(0)
 
 
 def busiest_search(busiest: DataFrame, term: str | None, n: int = 20, literal: bool = False) -> DataFrame:
     """Search inside the busiest-stations table, then keep the first ``n``."""
     hits = search(busiest, ["station_name", "station_code"], term, literal)
-    return top_n(hits, n, "total_stops", ["station_code", "station_name"])
+    return top_n(hits, n, "total_stops", [c for c in ("station_code", "station_name") if c in busiest.columns])
 
 
 def stoppage_filtered(stats: DataFrame, min_stops: int = 50, min_avg: float = 10.0) -> DataFrame:
@@ -43,7 +45,8 @@ def stoppage_search(stats: DataFrame, term: str | None, min_stops: int = 50, min
 def stoppage_topn(stats: DataFrame, n: int = 25, min_stops: int = 50, min_avg: float = 10.0,
                   term: str | None = None) -> DataFrame:
     """The ``n`` longest mean dwells among the filtered stations."""
-    return top_n(stoppage_search(stats, term, min_stops, min_avg), n, "avg_duration_mins", ["station_code"])
+    keys = [c for c in ("station_code", "station_name") if c in stats.columns][:1]
+    return top_n(stoppage_search(stats, term, min_stops, min_avg), n, "avg_duration_mins", keys)
 
 
 def stoppage_match_counts(stats: DataFrame, n: int = 25, min_stops: int = 50, min_avg: float = 10.0,
@@ -87,10 +90,10 @@ def station_filter(stops: DataFrame, station_name: str | None = None, train_type
     """Station timetable slicers: station, category ("All" = any), minimum
     halt (applied only when > 0, which drops untimed stops), arrival period."""
     df = stops
-    if station_name is not None:
-        df = df.filter(F.col("station_name") == F.lit(station_name))
+    if station_name is not None:  # the station is looked up by its display column
+        df = df.filter(F.col(station_display(df.columns)) == F.lit(station_name))
     if train_type is not None and train_type not in ("All", "All Categories"):
-        df = df.filter(category_equals("train_type", train_type))
+        df = df.filter(category_equals("train_type", train_type)) if "train_type" in df.columns else df.limit(0)
     if min_halt and min_halt > 0:
         df = df.filter(F.col("stop_duration_mins") >= min_halt)
     if period_predicate is not None:
@@ -102,10 +105,9 @@ def route_filter(stops: DataFrame, states: list[str] | None = None, zones: list[
                  min_halt: int = 0) -> DataFrame:
     """Route slicers: state and zone IN-lists (empty = any), minimum halt."""
     df = stops
-    if states:
-        df = df.filter(F.col("state").isin(*states))
-    if zones:
-        df = df.filter(F.col("zone").isin(*zones))
+    for col, values in (("state", states), ("zone", zones)):
+        if values:  # a list on a missing column matches nothing
+            df = df.filter(F.col(col).isin(*values)) if col in df.columns else df.limit(0)
     if min_halt and min_halt > 0:
         df = df.filter(F.col("stop_duration_mins") >= min_halt)
     return df
