@@ -61,6 +61,15 @@ def distinct_values(stops: DataFrame, column: str, drop_blank: bool = False) ->
     return stops.select(column).filter(cond).distinct().orderBy(column)
 
 
+def station_train_types(stops: DataFrame) -> DataFrame:
+    """Per station: its sorted, comma-joined train categories (blank and null
+    dropped) - the category choices of every station page at once.  The
+    per-station set is bounded by the number of categories."""
+    t = F.col("train_type")
+    return (stops.filter(t.isNotNull() & (t != "")).groupBy("station_name")
+            .agg(F.array_join(F.array_sort(F.collect_set(t)), ",").alias("train_types")))
+
+
 def station_timetable(stops: DataFrame, station_name: str, train_type: str | None = None,
                       min_halt: int = 0, period: str | None = None) -> DataFrame:
     """All halts at one station with the timetable slicers, by arrival (nulls last)."""

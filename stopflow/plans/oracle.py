@@ -163,6 +163,10 @@ ORACLE: dict[str, str] = {
                          "count(DISTINCT train_number) AS distinct_trains, count(DISTINCT station_code) AS distinct_stations FROM stops"),
     "distinct_stations": _with("SELECT DISTINCT station_name FROM stops WHERE station_name IS NOT NULL"),
     "distinct_train_types": _with("SELECT DISTINCT train_type FROM stops WHERE train_type IS NOT NULL AND train_type <> ''"),
+    "station_train_types": _with("SELECT station_name, string_agg(DISTINCT train_type, ',' ORDER BY train_type) AS train_types "
+                                 "FROM stops WHERE train_type IS NOT NULL AND train_type <> '' GROUP BY 1"),
+    "catalog_train_types": _with("SELECT DISTINCT train_type FROM catalog WHERE train_type IS NOT NULL AND train_type <> ''",
+                                 "catalog"),
     "station_timetable": _with("SELECT * FROM timetable", "timetable"),
     "station_timetable_by_type": _with("SELECT * FROM timetable WHERE train_type = '2-HIGH'", "timetable"),
     "station_timetable_by_period": _with("SELECT * FROM timetable WHERE TRY_CAST(split_part(arrival,':',1) AS INT) >= 18 "
