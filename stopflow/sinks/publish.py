@@ -19,7 +19,8 @@ DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE, partition_by: list[str] | None = None,
-                cluster_by: list[str] | None = None, bloom_filter_columns: list[str] | None = None) -> None:
+                cluster_by: list[str] | None = None, bloom_filter_columns: list[str] | None = None,
+                compression: str = "zstd") -> None:
     """Write a (possibly large) table as Parquet, all tasks in parallel.
 
     ``cluster_by`` sorts each task's output (no shuffle), so the Parquet
@@ -28,13 +29,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     ``bloom_filter_columns`` adds Parquet bloom filters, which let equality
     lookups skip row groups on high-cardinality keys without any ordering
     (low-cardinality chunks are dictionary-encoded and skipped via the
-    dictionary instead).
+    dictionary instead).  ``zstd`` compresses the (many times re-read) fact
+    table markedly better than the default snappy at a small CPU cost.
     """
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
-    w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).option("compression", compression)
     for c in bloom_filter_columns or []:
         w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    if bloom_filter_columns:
+        # size each filter from the distinct values actually written (not a fixed 1 MB)
+        w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
