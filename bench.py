@@ -17,7 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from stopflow.operators import lookup as L  # noqa: E402
 from stopflow.operators import slicers as S  # noqa: E402
