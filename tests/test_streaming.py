@@ -27,3 +27,22 @@ def test_available_now_ingest(spark, tmp_dir):
     assert len(got) == 5
     assert {r.stop_duration_mins for r in got} == {20}
     assert {(r.state, r.zone, r.train_name) for r in got} == {("St", "Zn", "T")}
+
+
+def test_restart_resumes_from_checkpoint(spark, tmp_dir):
+    landing, out, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "stops", "ckpt"))
+    os.makedirs(landing)
+
+    def land(name, first_id):
+        rows = [{"number": "9", "trainName": "T", "station": "S1", "station_name": "One", "arrival": "10:00",
+                 "departure": "10:05", "day": 1, "id": first_id + i} for i in range(3)]
+        with open(os.path.join(landing, name), "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in rows))
+
+    land("a.json", 0)
+    start_clean_stream(spark, landing, out, checkpoint=ckpt, available_now=True).awaitTermination(120)
+    land("b.json", 100)
+    start_clean_stream(spark, landing, out, checkpoint=ckpt, available_now=True).awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert sorted(r.stop_sequence for r in got.collect()) == [0, 1, 2, 100, 101, 102]
+    assert got.select("batch").distinct().count() == 2  # the second run only read the new file
