@@ -5,7 +5,9 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 coalesces).  Setup (untimed) lands the derived raw feed as line-delimited
 JSON and the station/train attributes as GeoJSON FeatureCollections in the
 shared folder; then the jobs run exactly as a user would run them on files.
-Prints one JSON line.
+Prints one JSON line.  ``value`` is clean + analyse wall time; the
+``analyse.*`` entries are per-output wall times of jobs that run
+concurrently, so they overlap and do not add up to ``analyse_job``.
 """
 
 from __future__ import annotations
