@@ -73,6 +73,7 @@ def main() -> None:
         "route_summary": lambda: L.route_summary(stops),
         "route_endpoints": lambda: L.route_endpoints(stops),
         "route_halt_number": lambda: L.route_halt_number(stops),
+        "train_profiles": lambda: L.train_profiles(stops),
         "stoppage_topn": lambda: S.stoppage_topn(stoppage, 25),
     }
     for name, build in lookups.items():

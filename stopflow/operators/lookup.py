@@ -201,3 +201,43 @@ def route_regions(stops: DataFrame, column: str = "state") -> DataFrame:
         return stops.select("train_number", F.lit(None).cast("string").alias(f"{column}s")).limit(0)
     return (stops.filter(F.col(column).isNotNull()).groupBy("train_number")
             .agg(F.array_join(F.array_sort(F.collect_set(column)), ",").alias(f"{column}s")))
+
+
+def train_profiles(stops: DataFrame) -> DataFrame:
+    """Everything the train explorer shows, for every train, in one aggregation.
+
+    Per train: name, type and label of the first stop; halts; journey days;
+    distinct states and zones (counts and sorted lists, null when none);
+    origin and destination.  One shuffle on the train number with partial
+    aggregation - a train with a third of all stops still sends one row per
+    map task - and the per-train sets are bounded by the number of regions.
+    """
+    order = existing(stops, ROUTE_ORDER) or ["train_number"]
+    first = F.min_by(F.struct(col_or_null(stops, "train_name").alias("train_name"),
+                              col_or_null(stops, "train_type").alias("train_type")), F.struct(*order))
+    if "station_code" in stops.columns and "station_name" in stops.columns:
+        lab = station_label("station_name", "station_code")
+    else:
+        lab = F.col("station_name" if "station_name" in stops.columns else "station_code")
+    end_key = F.struct(*(existing(stops, ["stop_sequence", "station_code", "station_name"])))
+    agg = stops.groupBy("train_number").agg(
+        first.alias("_f"),
+        F.count(F.lit(1)).alias("total_halts"),
+        F.coalesce(F.max(col_or_null(stops, "day", "int")), F.lit(1)).alias("journey_days"),
+        F.collect_set(col_or_null(stops, "state")).alias("_st"),
+        F.collect_set(col_or_null(stops, "zone")).alias("_zn"),
+        F.min_by(lab, end_key).alias("origin"),
+        F.max_by(lab, end_key).alias("destination"),
+    )
+
+    def joined(c):
+        return F.when(F.size(c) > 0, F.array_join(F.array_sort(c), ","))
+
+    return agg.select(
+        "train_number", F.col("_f.train_name").alias("train_name"), F.col("_f.train_type").alias("train_type"),
+        train_label("train_number", "_f.train_name", "_f.train_type").alias("label"),
+        "total_halts", "journey_days",
+        F.size("_st").cast("bigint").alias("states"), F.size("_zn").cast("bigint").alias("zones"),
+        joined(F.col("_st")).alias("state_list"), joined(F.col("_zn")).alias("zone_list"),
+        "origin", "destination",
+    )

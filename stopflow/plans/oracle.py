@@ -199,6 +199,20 @@ ORACLE: dict[str, str] = {
                            "WHERE state IS NOT NULL GROUP BY 1"),
     "route_zones": _with("SELECT train_number, string_agg(DISTINCT zone, ',' ORDER BY zone) AS zones FROM stops "
                          "WHERE zone IS NOT NULL GROUP BY 1"),
+    "train_profiles": _with(
+        "SELECT c.train_number, c.train_name, c.train_type, c.label, s.total_halts, s.journey_days, s.states, s.zones, "
+        "r.state_list, z.zone_list, e.origin, e.destination FROM catalog c "
+        "JOIN (SELECT train_number, count(*) AS total_halts, coalesce(max(day),1) AS journey_days, "
+        "count(DISTINCT state) AS states, count(DISTINCT zone) AS zones FROM stops GROUP BY 1) s USING (train_number) "
+        "JOIN (SELECT train_number, max(CASE WHEN f=1 THEN station_name||' ('||station_code||')' END) AS origin, "
+        "max(CASE WHEN b=1 THEN station_name||' ('||station_code||')' END) AS destination FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence, station_code) AS f, "
+        "row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence DESC, station_code DESC) AS b "
+        "FROM stops) GROUP BY 1) e USING (train_number) "
+        "LEFT JOIN (SELECT train_number, string_agg(DISTINCT state, ',' ORDER BY state) AS state_list FROM stops "
+        "WHERE state IS NOT NULL GROUP BY 1) r USING (train_number) "
+        "LEFT JOIN (SELECT train_number, string_agg(DISTINCT zone, ',' ORDER BY zone) AS zone_list FROM stops "
+        "WHERE zone IS NOT NULL GROUP BY 1) z USING (train_number)", "catalog"),
     "export_clean": _with("SELECT train_number, train_name, train_type, station_code, station_name, arrival, departure, "
                           "stop_sequence, day, stop_duration_mins, zone, state FROM stops"),
     "profile_nulls": _with("SELECT 'arrival' AS column_name, count(CASE WHEN arrival IS NULL OR arrival='' OR arrival='None' THEN 1 END) AS nulls, "

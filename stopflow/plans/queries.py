@@ -437,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "route_summary": lambda spark, d: L.route_summary(stops(spark, d)),
     "route_endpoints": lambda spark, d: L.route_endpoints(stops(spark, d)),
     "route_regions": route_regions,
+    "train_profiles": lambda spark, d: L.train_profiles(stops(spark, d)),
     "route_zones": lambda spark, d: L.route_regions(stops(spark, d), "zone"),
     "export_clean": export_clean,
     "export_csv": export_csv,
