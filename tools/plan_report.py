@@ -54,6 +54,7 @@ def main(argv):
         "station timetable lookup (published stops)": L.station_timetable(stops, "Supplier#000000003", period="Evening"),
         "route itinerary lookup (published stops)": L.route_itinerary(stops, "1102"),
         "halt numbers (skew-safe numbering)": L.route_halt_number(stops),
+        "train profiles (every train card, one shuffle)": L.train_profiles(stops),
         "raw feed derivation": X.raw_stops(spark, sf_dir),
     }
     print("# Physical plans of the headline queries\n")
