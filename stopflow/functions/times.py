@@ -22,9 +22,18 @@ def null_placeholder(c: str | Column, placeholders: list[str] = TIME_PLACEHOLDER
     return F.when(F.lower(t).isin(*placeholders), F.lit(None).cast("string")).otherwise(t)
 
 
+def to_int_truncating(x: Column) -> Column:
+    """Text -> int as the original (non-ANSI) cast read it: surrounding spaces
+    allowed, a decimal fraction truncated (``'8.5'`` -> 8), anything else or an
+    out-of-range value -> null.  The fraction branch is evaluated only when
+    the plain integer cast fails, so clean data pays nothing for it."""
+    frac = x.rlike(r"^\s*[+-]?[0-9]+\.[0-9]*\s*$")
+    return F.coalesce(x.try_cast("int"), F.when(frac, x.try_cast("decimal(38,10)").try_cast("int")))
+
+
 def clock_part(c: str | Column, index: int) -> Column:
     """Integer of the ``index``-th ``:``-separated field, null when absent or not a number."""
-    return F.get(F.split(_col(c), ":"), index).try_cast("int")
+    return to_int_truncating(F.get(F.split(_col(c), ":"), index))
 
 
 def hour_of(c: str | Column) -> Column:

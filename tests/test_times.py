@@ -49,7 +49,13 @@ def test_parse_parts(spark):
     df = spark.createDataFrame([("08:05:00",), ("8",), ("x:1",), (None,), ("8.5:10",)], "t string")
     got = df.select(T.hour_of("t").alias("h"), T.minutes_since_midnight("t").alias("m"), T.hh_mm("t").alias("s")).collect()
     assert [(r.h, r.m, r.s) for r in got] == [(8, 485, "08:05"), (8, None, "8"), (None, None, "x:1"),
-                                              (None, None, None), (None, None, "8.5:1")]
+                                              (None, None, None), (8, 490, "8.5:1")]
+
+
+def test_fraction_truncates_like_the_original_cast(spark):
+    df = spark.createDataFrame([(" 8.9 ",), ("-3.2",), ("1e2",), ("8.5x",), ("99999999999.5",), ("7",)], "t string")
+    got = [r[0] for r in df.select(T.to_int_truncating(df.t)).collect()]
+    assert got == [8, -3, None, None, None, 7]
 
 
 def test_hour_label_and_window(spark):
