@@ -58,15 +58,25 @@ def group_keys(*cols: str) -> list[str]:
 
 
 def conform_stops(raw: DataFrame, aliases: dict[str, list[str]] = ALIASES) -> DataFrame:
-    """Select and rename the resolvable columns; train_number becomes text.
+    """Select and rename the resolvable columns; train_number becomes text,
+    day an int, and a text stop sequence a number.
 
     Fails before any Spark job when a required column is missing.
     """
     mapping = resolve_columns(raw.columns, aliases)
     check_required(mapping, raw.columns)
-    exprs = [F.col(f"`{src}`").alias(tgt) for tgt, src in mapping.items()]
-    out = raw.select(*exprs)
-    return out.withColumn("train_number", F.col("train_number").cast("string"))
+    types = dict(raw.dtypes)
+    exprs = []
+    for tgt, src in mapping.items():
+        c = F.col(f"`{src}`")
+        if tgt == "train_number":
+            c = c.cast("string")
+        elif tgt == "day" and types[src] != "int":
+            c = c.try_cast("int")  # a day number, whatever the source typed it as
+        elif tgt == "stop_sequence" and types[src] == "string":
+            c = c.try_cast("bigint")  # text sequences (CSV) must order numerically
+        exprs.append(c.alias(tgt))
+    return raw.select(*exprs)
 
 
 def col_or_null(df: DataFrame, name: str, dtype: str = "string"):

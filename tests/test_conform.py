@@ -35,3 +35,13 @@ def test_conform_select_and_cast(spark):
     assert out.columns == ["train_number", "train_name", "station_code", "arrival", "departure", "stop_sequence"]
     assert dict(out.dtypes)["train_number"] == "string"
     assert out.first().train_number == "4601"
+
+
+def test_csv_text_numbers_are_typed(spark):
+    df = spark.createDataFrame([("04601", "S1", "08:00", "08:05", "2", "10"), ("04601", "S2", "09:00", "09:05", "2", "9")],
+                               "number string, station string, arrival string, departure string, day string, sno string")
+    out = C.conform_stops(df)
+    assert dict(out.dtypes) == {"train_number": "string", "station_code": "string", "arrival": "string",
+                                "departure": "string", "day": "int", "stop_sequence": "bigint"}
+    assert [r.stop_sequence for r in out.orderBy("stop_sequence").collect()] == [9, 10]
+    assert out.first().train_number == "04601"
