@@ -47,7 +47,13 @@ def busiest_stations(stops: DataFrame, n: int = 20) -> DataFrame:
 
 def stoppage_stats(stops: DataFrame, min_stops: int = MIN_TIMED_STOPS, accuracy: int = 10000) -> DataFrame:
     """Dwell statistics per station over timed stops, for stations with at
-    least ``min_stops`` of them: count, mean (1 decimal), max and p90."""
+    least ``min_stops`` of them: count, mean (1 decimal), max and p90.
+
+    ``percentile_approx`` is a mergeable sketch (partial aggregation, no
+    sort of a hot station's rows) and returns an actual value of the group.
+    It is exact whenever a group has fewer distinct values than
+    ``accuracy``; dwell minutes of valid clock times take at most 1440.
+    """
     keys = group_keys(station_key(stops.columns), station_display(stops.columns))
     dur = F.col("stop_duration_mins")
     return (stops.filter(dur.isNotNull())
