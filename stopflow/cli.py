@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     i = sub.add_parser("inspect", help="profile raw inputs")
     i.add_argument("paths", nargs="+")
     i.add_argument("--out", required=True)
+    i.add_argument("--sampling-ratio", type=float, default=1.0,
+                   help="share of JSON inputs used to infer their schemas (default: all)")
     c = sub.add_parser("clean", help="raw feed -> stops.parquet + clean_stats.json")
     c.add_argument("raw", nargs="?", help="the raw schedule feed (file or folder)")
     c.add_argument("--raw-dir", help="folder of raw files: the largest JSON/CSV is the feed; "
@@ -44,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--stations")
     c.add_argument("--trains")
     c.add_argument("--out", required=True)
+    c.add_argument("--sampling-ratio", type=float, default=1.0,
+                   help="share of a JSON feed used to infer its schema (default: all)")
     a = sub.add_parser("analyse", help="stops.parquet -> result tables + run_summary.json")
     a.add_argument("--out", required=True)
     a.add_argument("--stops", help="defaults to <out>/stops.parquet")
@@ -52,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(args)
     try:
         if args.command == "inspect":
-            ins = inspect_job(spark, args.paths)
+            ins = inspect_job(spark, args.paths, args.sampling_ratio)
             for name, df in ins.nulls.items():
                 df.write.mode("overwrite").parquet(f"{args.out}/inspect/{name}/nulls.parquet")
                 ins.schemas[name].write.mode("overwrite").parquet(f"{args.out}/inspect/{name}/schema.parquet")
@@ -69,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
                 trains = trains or f"{d}/trains.json"
             if not raw:
                 p.error("clean needs a raw feed or --raw-dir")
-            print(json.dumps(clean_job(spark, raw, args.out, stations, trains)))
+            print(json.dumps(clean_job(spark, raw, args.out, stations, trains, sampling_ratio=args.sampling_ratio)))
         else:
             stops = args.stops or f"{args.out}/stops.parquet"
             print(json.dumps(analyse_job(spark, stops, args.out, f"{args.out}/clean_stats.json")))

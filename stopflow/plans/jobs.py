@@ -96,10 +96,15 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: str | None = None,
-              trains_path: str | None = None, raw_schema: T.StructType | None = None) -> dict:
-    """Clean the raw feed, enrich it, publish ``stops.parquet`` and ``clean_stats.json``."""
+              trains_path: str | None = None, raw_schema: T.StructType | None = None,
+              sampling_ratio: float = 1.0) -> dict:
+    """Clean the raw feed, enrich it, publish ``stops.parquet`` and ``clean_stats.json``.
+
+    Give ``raw_schema`` to skip JSON schema inference, or ``sampling_ratio``
+    < 1 to infer it from a sample of a very large feed.
+    """
     _require(raw_path, "raw schedule feed")
-    raw = load_raw(spark, raw_path, raw_schema)
+    raw = load_raw(spark, raw_path, raw_schema, sampling_ratio)
     counted = C.clean_counted(raw)
     stations = trains = st_bound = tr_bound = None
     if stations_path and _exists(stations_path):
