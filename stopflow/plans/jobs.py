@@ -131,7 +131,7 @@ CLEAN_STATS_SCHEMA = "raw_rows long, cleaned_rows long, removed_missing long, re
 
 
 def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_path: str | None = None,
-                timings: dict | None = None, parallel_jobs: int = 4) -> dict:
+                timings: dict | None = None, parallel_jobs: int = 4, approx_rsd: float | None = None) -> dict:
     """Publish busiest stations, dwell statistics, hourly traffic, longest
     trains, one breakdown per dimension column, and the run summary.
 
@@ -141,6 +141,8 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     scanning the stops again.  Each breakdown reads two narrow columns
     (its dimension and the train number).  Independent outputs are
     submitted as concurrent Spark jobs so short stages of one overlap.
+    ``approx_rsd`` switches the distinct-train counts to HyperLogLog++
+    sketches (one mergeable buffer per group) for very large inputs.
     """
     _require(stops_path, "stops table")
     start = time.time()
@@ -157,7 +159,7 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
 
     station_path, train_path = f"{out_dir}/_station_traffic.parquet", f"{out_dir}/_train_lengths.parquet"
     base_jobs = {
-        "_station_traffic": lambda: timed("_station_traffic", lambda: W.write_table(A.station_traffic(stops), station_path)),
+        "_station_traffic": lambda: timed("_station_traffic", lambda: W.write_table(A.station_traffic(stops, approx_rsd), station_path)),
         "_train_lengths": lambda: timed("_train_lengths", lambda: W.write_table(A.train_lengths(stops), train_path)),
         "stoppage_stats": lambda: publish(
             "stoppage_stats", A.stoppage_stats(stops).orderBy(F.col("avg_duration_mins").desc(), "station_code")),
@@ -165,7 +167,7 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     }
     for dim in A.breakdown_dimensions(stops.columns):
         base_jobs[f"breakdown_{dim}"] = (lambda d: lambda: publish(
-            f"breakdown_{d}", A.breakdown(stops, d).orderBy(F.col("total_stops").desc(), d)))(dim)
+            f"breakdown_{d}", A.breakdown(stops, d, approx_rsd).orderBy(F.col("total_stops").desc(), d)))(dim)
     _run_concurrently(base_jobs, parallel_jobs)
 
     station = spark.read.parquet(station_path)
