@@ -40,3 +40,24 @@ def test_hot_group_is_split_across_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert parts >= 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.sampled_from(["HOT", "HOT", "HOT", "a", "b"]), st.none()),
+                          st.integers(0, 5)), min_size=1, max_size=300))
+def test_numbering_matches_python_model(spark, rows):
+    df = spark.createDataFrame(rows, "g string, k int").repartition(7)
+    got = number_within_groups(df, "g", [F.col("k").asc()], "n").collect()
+    by_group = {}
+    for r in got:
+        by_group.setdefault(r.g, []).append((r.k, r.n))
+    for g, pairs in by_group.items():
+        ks = sorted(k for k, _ in pairs)
+        # numbers are exactly 1..size, and ordered consistently with k (ties in any order)
+        assert sorted(n for _, n in pairs) == list(range(1, len(pairs) + 1))
+        assert [k for k, _ in sorted(pairs, key=lambda p: p[1])] == ks
+    assert sum(len(v) for v in by_group.values()) == len(rows)
