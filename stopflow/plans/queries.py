@@ -413,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "breakdown_state": _breakdown("state"),
     "breakdown_train_type": _breakdown("train_type"),
     "breakdown_state_from_counts": breakdown_state_from_counts,
+    "breakdowns_all": lambda spark, d: A.breakdowns(stops(spark, d)),
     "longest_trains_from_counts": longest_trains_from_counts,
     "breakdown_zone_valid": breakdown_zone_valid,
     "breakdown_type_valid": breakdown_type_valid,
