@@ -62,3 +62,18 @@ def profile_datasets(frames: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def profile_columns(df: DataFrame) -> DataFrame:
+    """The per-column inspection report: position, name, type and nullability
+    from the schema, with each column's null-like count and share from one
+    pass over the data (:func:`profile_nulls`).  The schema facts are attached
+    as literal lookups keyed by column name - no join."""
+    fields = df.schema.fields
+    pos = F.create_map(*[x for i, f in enumerate(fields) for x in (F.lit(f.name), F.lit(i))])
+    typ = F.create_map(*[x for f in fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
+    nul = F.create_map(*[x for f in fields for x in (F.lit(f.name), F.lit(f.nullable))])
+    nulls = profile_nulls(df)
+    name = F.col("column_name")
+    return nulls.select(pos[name].alias("position"), name, typ[name].alias("data_type"),
+                        nul[name].alias("nullable"), "nulls", "pct")

@@ -316,6 +316,11 @@ def profile_nulls(spark, d):
     return P.profile_nulls(X.raw_stops(spark, d), ["arrival", "departure"])
 
 
+def profile_schema(spark, d):
+    """The per-column inspection report of the raw feed (schema + null-likes, one pass)."""
+    return P.profile_columns(X.raw_stops(spark, d))
+
+
 def profile_datasets(spark, d):
     return P.profile_datasets({"raw_stops": X.raw_stops(spark, d), "station_meta": X.station_meta(spark, d),
                                "train_meta": X.train_meta(spark, d)})
@@ -445,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "clean_stats_json": clean_stats_json,
     "publish_parquet": publish_parquet,
     "profile_nulls": profile_nulls,
+    "profile_schema": profile_schema,
     "profile_datasets": profile_datasets,
     "profile_sample": profile_sample,
     "dq_report": dq_report,
