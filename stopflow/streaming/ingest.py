@@ -8,14 +8,17 @@ and writes the rows to a Parquet table partitioned by micro-batch (a re-run
 batch overwrites its own partition), with its progress checkpointed in the
 shared folder so a restarted query resumes where it stopped.
 
-Exact de-duplication across all batches needs the whole history (unbounded
-state without an event-time watermark); each micro-batch is de-duplicated
-on its own and the batch ``clean`` job remains the place for a global pass.
+Exact de-duplication across all history would need unbounded state; here
+duplicates are dropped when they arrive within a configurable delay of each
+other (state bounded by an ingestion-time watermark), each micro-batch is
+de-duplicated on its own as well, and the batch ``clean`` job remains the
+place for a global pass.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stopflow.operators import clean as C
@@ -32,11 +35,22 @@ def clean_stream(raw: DataFrame) -> DataFrame:
 def start_clean_stream(spark: SparkSession, landing_dir: str, out_dir: str,
                        stations: DataFrame | None = None, trains: DataFrame | None = None,
                        checkpoint: str | None = None, available_now: bool = False,
-                       max_files_per_trigger: int = 100) -> StreamingQuery:
-    """Start the ingest query; ``available_now`` processes what is there and stops."""
+                       max_files_per_trigger: int = 100, dedup_within: str | None = "1 hour") -> StreamingQuery:
+    """Start the ingest query; ``available_now`` processes what is there and stops.
+
+    ``dedup_within`` drops exact duplicates that arrive within that delay of
+    each other, across micro-batches and restarts: ingestion time serves as
+    event time, and the de-duplication state is bounded by its watermark.
+    """
     raw = (spark.readStream.schema(RAW_STOPS_JSON).option("maxFilesPerTrigger", max_files_per_trigger)
            .json(landing_dir))
     stops = clean_stream(raw)
+    if dedup_within:
+        cols = stops.columns
+        stops = (stops.withColumn("_ingested", F.current_timestamp())
+                 .withWatermark("_ingested", dedup_within)
+                 .dropDuplicatesWithinWatermark(cols)
+                 .drop("_ingested"))
     if stations is not None:
         stops = E.enrich_station(stops, stations)
     if trains is not None:

@@ -46,3 +46,17 @@ def test_restart_resumes_from_checkpoint(spark, tmp_dir):
     got = spark.read.parquet(out)
     assert sorted(r.stop_sequence for r in got.collect()) == [0, 1, 2, 100, 101, 102]
     assert got.select("batch").distinct().count() == 2  # the second run only read the new file
+
+
+def test_duplicates_across_runs_are_dropped(spark, tmp_dir):
+    landing, out, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "stops", "ckpt"))
+    os.makedirs(landing)
+    row = {"number": "5", "trainName": "T", "station": "S1", "station_name": "One", "arrival": "10:00",
+           "departure": "10:05", "day": 1, "id": 1}
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write(json.dumps(row))
+    start_clean_stream(spark, landing, out, checkpoint=ckpt, available_now=True).awaitTermination(120)
+    with open(os.path.join(landing, "b.json"), "w") as fh:  # the same stop again, plus a new one
+        fh.write(json.dumps(row) + "\n" + json.dumps(dict(row, id=2)))
+    start_clean_stream(spark, landing, out, checkpoint=ckpt, available_now=True).awaitTermination(120)
+    assert sorted(r.stop_sequence for r in spark.read.parquet(out).collect()) == [1, 2]
