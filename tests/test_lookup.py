@@ -91,6 +91,6 @@ def test_valid_categories_and_filters(spark):
 
 def test_label_round_trip(spark):
     from stopflow.functions.text import label_number, train_label
-    df = spark.createDataFrame([("15906", "Vivek", None), ("7", None, "")], "n string, m string, t string")
+    df = spark.createDataFrame([("12345", "Night Mail", None), ("7", None, "")], "n string, m string, t string")
     got = df.select(train_label("n", "m", "t").alias("l")).select("l", label_number("l").alias("back")).collect()
-    assert [tuple(r) for r in got] == [("15906 — Vivek (Rail)", "15906"), ("7 — None (Rail)", "7")]
+    assert [tuple(r) for r in got] == [("12345 — Night Mail (Rail)", "12345"), ("7 — None (Rail)", "7")]

@@ -32,7 +32,7 @@ def test_minimal_feed_end_to_end(spark):
     assert (summ["1"].total_halts, summ["1"].journey_days, summ["1"].states) == (25, 1, 0)
     assert L.route_endpoints(stops).count() == 3
     assert L.route_itinerary(stops, "1").count() == 25
-    assert L.route_itinerary(stops, "1", states=["Assam"]).count() == 0
+    assert L.route_itinerary(stops, "1", states=["North"]).count() == 0
     assert L.route_regions(stops).count() == 0
     assert L.station_timetable(stops, "Stn3").count() == 3
     assert L.station_timetable(stops, "Stn3", train_type="EXP").count() == 0
