@@ -70,6 +70,25 @@ def station_train_types(stops: DataFrame) -> DataFrame:
             .agg(F.array_join(F.array_sort(F.collect_set(t)), ",").alias("train_types")))
 
 
+def station_profiles(stops: DataFrame) -> DataFrame:
+    """The station page for every station in one aggregation: a code,
+    services, mean halt (1 decimal), distinct trains and category choices.
+
+    Distinct trains are counted exactly with Spark's two-phase distinct
+    aggregate (a station's trains are never gathered in one list); the
+    category set per station is bounded by the number of categories.
+    """
+    t = col_or_null(stops, "train_type")
+    typ = F.when(t.isNotNull() & (t != ""), t)
+    return stops.groupBy("station_name").agg(
+        F.min(col_or_null(stops, "station_code")).alias("station_code"),
+        F.count(F.lit(1)).alias("services"),
+        F.round(F.avg("stop_duration_mins"), 1).alias("avg_halt_mins"),
+        F.countDistinct("train_number").alias("distinct_trains"),
+        F.array_join(F.array_sort(F.collect_set(typ)), ",").alias("train_types"),
+    )
+
+
 def station_timetable(stops: DataFrame, station_name: str, train_type: str | None = None,
                       min_halt: int = 0, period: str | None = None) -> DataFrame:
     """All halts at one station with the timetable slicers, by arrival (nulls last)."""

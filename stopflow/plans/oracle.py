@@ -169,6 +169,10 @@ ORACLE: dict[str, str] = {
     "distinct_train_types": _with("SELECT DISTINCT train_type FROM stops WHERE train_type IS NOT NULL AND train_type <> ''"),
     "station_train_types": _with("SELECT station_name, string_agg(DISTINCT train_type, ',' ORDER BY train_type) AS train_types "
                                  "FROM stops WHERE train_type IS NOT NULL AND train_type <> '' GROUP BY 1"),
+    "station_profiles": _with("SELECT station_name, min(station_code) AS station_code, count(*) AS services, "
+                              "round(avg(stop_duration_mins),1) AS avg_halt_mins, count(DISTINCT train_number) AS distinct_trains, "
+                              "coalesce(string_agg(DISTINCT CASE WHEN train_type <> '' THEN train_type END, ',' ORDER BY "
+                              "CASE WHEN train_type <> '' THEN train_type END), '') AS train_types FROM stops GROUP BY 1"),
     "catalog_train_types": _with("SELECT DISTINCT train_type FROM catalog WHERE train_type IS NOT NULL AND train_type <> ''",
                                  "catalog"),
     "station_timetable": _with("SELECT * FROM timetable", "timetable"),

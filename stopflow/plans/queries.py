@@ -427,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "distinct_stations": distinct_stations,
     "distinct_train_types": distinct_train_types,
     "station_train_types": lambda spark, d: L.station_train_types(stops(spark, d)),
+    "station_profiles": lambda spark, d: L.station_profiles(stops(spark, d)),
     "catalog_train_types": lambda spark, d: L.distinct_values(_catalog(spark, d), "train_type", drop_blank=True),
     "station_timetable": lambda spark, d: _timetable(spark, d),
     "station_timetable_by_type": lambda spark, d: _timetable(spark, d, train_type="2-HIGH"),
