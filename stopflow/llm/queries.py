@@ -8,11 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from stopflow.session import scratch_path
 
 from .common import table
+from .fingerprint import edited_fingerprints
+from .line_dedup import LINE_DEDUP_SQL, dedup_lines
+from .mixing import MIX_SQL, mix_sources
 from .orc_ids import id_digests, write_ids
 from .secret_scan import scan_versions, span_digests
 from .token_counts import count_tokens
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return span_digests(scan_versions(docs, scratch_path(spark, "blob-ledger")))
@@ -28,5 +43,6 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op7_secret_scan, op8_token_counts, op10_token_id_output)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_fingerprints, op4_source_mix, op7_secret_scan, op8_token_counts,
+                                   op10_token_id_output)}
+ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op4_source_mix": MIX_SQL}
