@@ -1,25 +1,38 @@
 """Encoding of whole texts chunk by chunk with a public tokenizer.
 
 A text is cut where the tokenizer never merges across, each distinct chunk is
-encoded once by the tokenizer itself and kept in a bounded cache, and the
-text's ids are its chunks' ids in order.  Texts whose white space or special
-strings make cutting unsafe go to the tokenizer whole.
+encoded by the tokenizer once and kept in a bounded cache, and the text's ids
+are its chunks' ids in order.  Texts whose white space or special strings make
+cutting unsafe go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from array import array
 
-import numpy as np
-
-# Chunks longer than this are encoded but not kept, and the cache is emptied
+# Chunks longer than this are encoded but not kept, and a cache is emptied
 # once it holds so many: both bound a worker's memory.
 LONGEST_KEPT, MOST_KEPT = 64, 400_000
 
 _SPACED = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+# White space but space and line feed, and the runs that a space can't be split at.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_RUNS = ("  ", "\n\n", " \n", "\n ")
+# Letters (ASCII and Latin-1, each its own NFC form), then punctuation without
+# apostrophes: what pre-tokenizers cut into just these two pieces.
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers show bytes as: printable ones themselves, others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 def load(path: str):
@@ -35,53 +48,65 @@ def words(text: str) -> list[str]:
     return list(filter(None, text.replace("\n", " ").split(" ")))
 
 
+class _Kept(dict):
+    """Values by key, made when first asked for and kept if the key is short."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(key) <= LONGEST_KEPT:
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    ``spaced``: the tokenizer keeps white space and joins one space to the
-    word after it; otherwise it drops white space.
+    ``spaced``: the tokenizer keeps case and white space and joins one space
+    to the word after it; otherwise it lowers case and drops white space.
     """
 
     def __init__(self, path: str, spaced: bool):
-        self.tok, self.spaced, self.kept = load(path), spaced, {}
+        self.tok, self.spaced = load(path), spaced
+        self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-
-    def _chunks(self, text: str) -> list[str]:
+        self.chunks, self.pieces, self.after = _Kept(self._chunk), _Kept(self._piece), _Kept(self._after_space)
+
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii():
+            shown = piece.replace(" ", _LETTERS[32])
+        else:
+            shown = piece.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _after_space(self, part: str) -> bytes:
+        """What stands between two single spaces; a line feed at its start took the place of the first."""
+        return self._chunk("\n") + self._chunk(part[1:]) if part[:1] == "\n" else self._chunk(" " + part)
+
+    def _chunk(self, chunk: str) -> bytes:
+        plain = _PLAIN.fullmatch(chunk)
+        if plain:
+            word, marks = plain.groups()
+            ids = self.pieces[word if self.spaced else word.lower()]
+            return ids + self.pieces[marks] if marks else ids
+        return array("I", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The whole text's ids."""
+        for kept in (self.chunks, self.pieces, self.after):
+            if len(kept) > MOST_KEPT:
+                kept.clear()
         if not self.spaced:
-            return words(text)
-        if _OTHER_SPACE.search(text) or any(s in text for s in self.special):
-            return [text] if text else []
-        return _SPACED.findall(text)
-
-    def _raw(self, chunks: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def encode(self, texts: Iterable[str], batch_chars: int = 1 << 20) -> Iterable[bytes]:
-        """One bytes object per text, in order."""
-        part, size = [], 0
-        for t in texts:
-            part.append(t)
-            size += len(t)
-            if size >= batch_chars:
-                yield from self._encode(part)
-                part, size = [], 0
-        yield from self._encode(part)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        kept = self.kept
-        cut = [self._chunks(t) for t in texts]
-        fresh = list(set().union(*cut).difference(kept)) if cut else []
-        extra = dict(zip(fresh, self._raw(fresh), strict=True)) if fresh else {}
-        if len(kept) + len(extra) > MOST_KEPT:
-            extra = {c: kept[c] if c in kept else extra[c] for c in set().union(*cut)}
-            kept.clear()
-        kept.update(extra)
-        out = [b"".join(map(kept.__getitem__, c)) for c in cut]
-        for c in fresh:
-            if len(c) > LONGEST_KEPT:
-                kept.pop(c, None)
-        return out
+            return b"".join(map(self.chunks.__getitem__, words(text)))
+        if any(s in text for s in (*_OTHER_SPACE, *self.special)):
+            return self._chunk(text)
+        if any(s in text for s in _RUNS):
+            return b"".join(map(self.chunks.__getitem__, _SPACED.findall(text)))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return b"".join([self._chunk(first), *map(self.after.__getitem__, rest)])
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

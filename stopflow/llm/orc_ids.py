@@ -40,7 +40,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaced: b
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 s = b.slice(at, 512)
-                ids = [x + end for x in enc.encode(s.column(1).to_pylist())]
+                ids = [enc.encode(t.as_py()) + end for t in s.column(1)]
                 n = [len(x) // 4 for x in ids]
                 offsets, starts = [0], []
                 for k in n:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stopflow.session import materialize
 
-from .chunks import load, words
+from .chunks import encoder, words
 from .common import text_bytes
 
 _BLOCK = "block long, shard int, payload binary"
@@ -120,14 +120,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, block_bytes
     blocks = materialize(rows.mapInArrow(_blocks(block_bytes, shards), _BLOCK), "pretokens")
 
     def counted(pdf: pd.DataFrame) -> pd.DataFrame:
-        tok = load(tokenizer)
+        enc = encoder(tokenizer, spaced=False)
         lists = [zstandard.ZstdDecompressor().decompress(p).decode().split("\n") for p in pdf.payload]
         known: dict[str, int] = dict.fromkeys(w for x in lists for w in x)
-        names = list(known)
-        for at in range(0, len(names), 20_000):
-            part = names[at:at + 20_000]
-            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = len(e)
+        for w in known:
+            known[w] = len(enc.encode(w)) // 4
         return pd.DataFrame({"block": pdf.block, "shard": pdf["shard"],
                              "payload": [_pack(np.fromiter(map(known.__getitem__, x), np.int32, len(x))) for x in lists]})
 
