@@ -12,6 +12,7 @@ from .fingerprint import edited_fingerprints
 from .line_dedup import LINE_DEDUP_SQL, dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .orc_ids import id_digests, write_ids
+from .packing import pack_documents
 from .secret_scan import scan_versions, span_digests
 from .token_counts import count_tokens
 
@@ -37,6 +38,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -44,5 +49,5 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_fingerprints, op4_source_mix, op7_secret_scan, op8_token_counts,
-                                   op10_token_id_output)}
+                                   op9_best_fit_packing, op10_token_id_output)}
 ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op4_source_mix": MIX_SQL}
