@@ -11,6 +11,7 @@ from .common import table
 from .fingerprint import edited_fingerprints
 from .line_dedup import LINE_DEDUP_SQL, dedup_lines
 from .mixing import MIX_SQL, mix_sources
+from .ngram_join import ngram_components
 from .orc_ids import id_digests, write_ids
 from .packing import pack_documents
 from .secret_scan import scan_versions, span_digests
@@ -29,6 +30,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), words=4, share=(85, 100))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return span_digests(scan_versions(docs, scratch_path(spark, "blob-ledger")))
@@ -48,6 +53,6 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_fingerprints, op4_source_mix, op7_secret_scan, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op7_secret_scan, op8_token_counts,
                                    op9_best_fit_packing, op10_token_id_output)}
 ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op4_source_mix": MIX_SQL}
