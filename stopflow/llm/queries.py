@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stopflow.session import scratch_path
 
 from .common import table
+from .embed_dedup import embedding_duplicates
 from .fingerprint import edited_fingerprints
 from .line_dedup import LINE_DEDUP_SQL, dedup_lines
 from .mixing import MIX_SQL, mix_sources
@@ -22,6 +23,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,6 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op7_secret_scan, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op7_secret_scan, op8_token_counts,
                                    op9_best_fit_packing, op10_token_id_output)}
 ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op4_source_mix": MIX_SQL}

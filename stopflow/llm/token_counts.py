@@ -130,7 +130,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, block_bytes
 
     counts = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(counted, _BLOCK)
 
-    def summed(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def summed(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         ids, null, sizes, indptr, delta, freq = _unpack(left.payload.iloc[0])
         per = [_unpack(p)[0] for p in right.sort_values("shard").payload]
         per = np.concatenate(per).astype(np.int64) if per else np.zeros(0, np.int64)
