@@ -2,18 +2,58 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stopflow.llm.common import importable, table
+from stopflow.llm.line_dedup import dedup_lines
+from stopflow.llm.mixing import mix_sources
+from stopflow.llm.ngram_join import keep_one
+from stopflow.llm.packing import pack_documents
+from stopflow.llm.quality import keep_good
 from stopflow.session import materialize
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the perplexity model of trusted text doesn't reject."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without repeated multi-line passages; n_chars follows the new text."""
+    importable(spark)
+    return dedup_lines(docs).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares at least 0.8 of its five-word shingles."""
+    importable(spark)
+    return keep_one(docs, words=5, share=(4, 5))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that all sources weigh the same, in a global random order."""
+    importable(spark)
+    return mix_sources(docs).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents' pieces in sequences of 1024 tokens."""
+    importable(spark)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix", mix), ("pack", pack)]
+
+# Perplexities, component search and packing have no SQL form; tests/llm
+# compares the stages with brute force.
 ORACLE_SQL = None
-PIPELINE_SQL: dict[str, str] = {}
+PIPELINE_SQL = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each one's rows are written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
@@ -21,5 +61,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir)
+pipeline = run

@@ -200,7 +200,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, sh
 
 
 def ngram_components(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id and x (hash of the text) for every row of ``docs`` (doc_id, text).
 
     Documents link when the Jaccard similarity of their sets of ``words``-word
     shingles (see ``shingle_set``) is at least ``share``; components are exact.
@@ -269,4 +269,25 @@ def ngram_components(docs: DataFrame, words: int = 5, share: tuple[int, int] = (
     named = materialize(named.join(least, "g").select(F.col("c").alias("k"), "component_id"), "components")
     out = members.join(named, (F.col("c") == F.col("k")) & (F.col("n") > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "x")
+
+
+def keep_one(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest doc_id.
+
+    Rows that repeat that doc_id are one document, of which one row stays.
+    Rows without an id go if their component has one, and stay otherwise.
+    Few rows to drop are broadcast after counting them, more are joined by a
+    shuffle, which no id can dominate.
+    """
+    found = materialize(ngram_components(docs, words, share), "components")
+    few = lambda ids: F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    own = F.col("doc_id").cast("long")
+    lost = materialize(found.filter("n_shingles > 0 and not doc_id <=> component_id")
+                       .select(F.col("doc_id").alias("l_id"), F.col("x").alias("l_x")).distinct(), "lost")
+    out = docs.join(few(lost), (F.xxhash64("text") == F.col("l_x")) & own.eqNullSafe(F.col("l_id")), "left_anti")
+    many = materialize(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("many")), "repeated")
+    if not many.count():
+        return out
+    once = out.join(few(many), own == F.col("many"), "left_semi").dropDuplicates(["doc_id"])
+    return out.join(few(many), own == F.col("many"), "left_anti").unionByName(once)

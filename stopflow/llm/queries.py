@@ -15,6 +15,7 @@ from .mixing import MIX_SQL, mix_sources
 from .ngram_join import ngram_components
 from .orc_ids import id_digests, write_ids
 from .packing import pack_documents
+from .quality import classify
 from .secret_scan import scan_versions, span_digests
 from .token_counts import count_tokens
 
@@ -36,7 +37,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_components(table(spark, sf_dir, "documents"), words=4, share=(85, 100))
+    return ngram_components(table(spark, sf_dir, "documents"), words=4, share=(85, 100)).drop("x")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("x")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +63,6 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op7_secret_scan, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op6_quality_classifier, op7_secret_scan, op8_token_counts,
                                    op9_best_fit_packing, op10_token_id_output)}
 ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op4_source_mix": MIX_SQL}
