@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carried(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` as its ``used`` columns and one struct, _rest, of all others, so that no other names can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, (F.struct(*rest) if rest else F.lit(None).cast("string")).alias("_rest"))
+
+
+def restored(names: list[str], *used: str) -> list[Column]:
+    """The columns ``names`` of what ``carried`` made, in their order."""
+    return [F.col(c) if c in used else F.col("_rest")[c].alias(c) for c in names]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it inside a lambda.
 

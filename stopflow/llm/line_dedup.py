@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stopflow.session import materialize
 
-from .common import let
+from .common import carried, let, restored
 
 # Two independent chunkings: the factors of a rolling hash over a line's hash
 # and the one before it.  A chunk ends where that hash, modulo a prime, is
@@ -70,8 +70,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     then gives the result.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*names)
-    keyed = rows.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_x": F.xxhash64("text")})
+    keyed = carried(docs.select(*(f"`{c}`" for c in names if c != "n_chars")), "doc_id", "text")
+    keyed = keyed.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_x": F.xxhash64("text")})
     place = (F.col("_id").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("c.start")).cast("decimal(38,0)")
     spread = (keyed.select("_id", "_x", F.explode(let(split_lines(F.col("text")), _chunks)).alias("c"))
               .select("_id", "_x", "c.*", place.alias("place")))
@@ -80,7 +80,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                          .filter("first < last").select(F.col("h").alias("of"), "first"), "repeated")
     repeated = materialize(spread.join(firsts, F.col("h") == F.col("of"))
                            .select("_id", "_x", "h", "start", "n", (F.col("place") > F.col("first")).alias("later")), "places")
-    texts = keyed.select("_id", "_x", *names)
+    texts = keyed
 
     wanted = repeated.groupBy(F.col("_id").alias("w_id"), F.col("_x").alias("w_x")).agg(
         F.collect_set(F.struct("h", "start", "n")).alias("cs"))
@@ -102,9 +102,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "").alias("text")))))
     out = joined.withColumn("_kept", kept)
     lines = F.greatest(F.coalesce(F.col("_kept.n_lines"), F.lit(0)), F.lit(0))
-    new = {"text": F.col("_kept.text"), "n_chars": F.char_length("_kept.text").cast("long")}
-    return out.select(*(new[c].alias(c) if c in new else F.col(c) for c in names), lines.alias("n_lines"),
-                      F.coalesce(F.col("_kept.n_removed"), F.lit(0)).alias("n_removed"))
+    out = out.select("doc_id", "_rest", F.col("_kept.text").alias("text"), F.char_length("_kept.text").cast("long").alias("n_chars"),
+                     lines.alias("n_lines"), F.coalesce(F.col("_kept.n_removed"), F.lit(0)).alias("n_removed"))
+    return out.select(*restored(names, "doc_id", "text", "n_chars"), "n_lines", "n_removed")
 
 
 _ROLLS_SQL = ", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(ROLLS))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stopflow.session import materialize
 
+from .common import carried, restored
+
 # A rate is met by draws of at most this mean each, so that exp(-mean) stays
 # well within doubles; the counts of independent draws add up.
 DRAW_MEAN = 64.0
@@ -84,14 +86,16 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, epochs
     rates = materialize(rates.select("_source", "_draws", _cdf(F.col("_mean")).alias("_cdf")), "rates")
     if rates.count() <= MOST_BROADCAST:
         rates = F.broadcast(rates)
-    rows = docs.select(*names).join(rates, docs["source"].eqNullSafe(F.col("_source")))
+    rows = carried(docs.select(*(f"`{c}`" for c in names)), "doc_id", "source")
+    rows = rows.join(rates, F.col("source").eqNullSafe(F.col("_source")))
     one = lambda u: F.size(F.filter("_cdf", lambda c: c <= u))
     count = F.aggregate(F.sequence(F.lit(0), F.col("_draws") - 1), F.lit(0),
                         lambda acc, j: acc + one(hash_uniform(F.lit(seed), F.lit("count"), F.col("doc_id"), j)))
     rows = (rows.withColumn("_n", count).filter("_n > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))))
     rows = rows.withColumn("shuffle_key", hash52(F.lit(seed), F.lit("place"), F.col("doc_id"), F.col("copy")))
-    return rows.select(*names, "copy", "shuffle_key").orderBy("shuffle_key", "doc_id", "copy")
+    rows = rows.select("doc_id", "source", "_rest", "copy", "shuffle_key").orderBy("shuffle_key", "doc_id", "copy")
+    return rows.select(*restored(names, "doc_id", "source"), "copy", "shuffle_key")
 
 
 MIX_SQL = """

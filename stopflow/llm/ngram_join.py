@@ -282,12 +282,12 @@ def keep_one(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5)) -
     """
     found = materialize(ngram_components(docs, words, share), "components")
     few = lambda ids: F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    own = F.col("doc_id").cast("long")
-    lost = materialize(found.filter("n_shingles > 0 and not doc_id <=> component_id")
-                       .select(F.col("doc_id").alias("l_id"), F.col("x").alias("l_x")).distinct(), "lost")
-    out = docs.join(few(lost), (F.xxhash64("text") == F.col("l_x")) & own.eqNullSafe(F.col("l_id")), "left_anti")
-    many = materialize(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("many")), "repeated")
+    own = F.col("d.doc_id").cast("long")
+    lost = materialize(found.filter("n_shingles > 0 and not doc_id <=> component_id").select("doc_id", "x").distinct(), "lost")
+    out = docs.alias("d").join(few(lost).alias("l"), (F.xxhash64("d.text") == F.col("l.x")) & own.eqNullSafe(F.col("l.doc_id")), "left_anti")
+    many = materialize(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
     if not many.count():
         return out
-    once = out.join(few(many), own == F.col("many"), "left_semi").dropDuplicates(["doc_id"])
-    return out.join(few(many), own == F.col("many"), "left_anti").unionByName(once)
+    same = own == F.col("m.doc_id")
+    once = out.alias("d").join(few(many).alias("m"), same, "left_semi").dropDuplicates(["doc_id"])
+    return out.alias("d").join(few(many).alias("m"), same, "left_anti").unionByName(once)

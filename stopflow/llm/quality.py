@@ -276,4 +276,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     bad = materialize(bad, "rejected")
     if bad.count() <= MOST_BROADCAST:
         bad = F.broadcast(bad)
-    return docs.join(bad, (F.xxhash64("text") == F.col("bad_x")) & F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.alias("d").join(bad.alias("b"), (F.xxhash64("d.text") == F.col("b.bad_x"))
+                                & F.col("d.doc_id").cast("long").eqNullSafe(F.col("b.bad_id")), "left_anti")
