@@ -15,6 +15,7 @@ import sys
 from stopflow.plans.jobs import analyse_job, clean_job, inspect_job
 from stopflow.session import cluster_conf, get_session
 from stopflow.sources.files import largest_file
+from stopflow.sources.paths import exists
 
 
 def _session(args):
@@ -37,8 +38,6 @@ def main(argv: list[str] | None = None) -> int:
     i = sub.add_parser("inspect", help="profile raw inputs")
     i.add_argument("paths", nargs="+")
     i.add_argument("--out", required=True)
-    i.add_argument("--sampling-ratio", type=float, default=1.0,
-                   help="share of JSON inputs used to infer their schemas (default: all)")
     c = sub.add_parser("clean", help="raw feed -> stops.parquet + clean_stats.json")
     c.add_argument("raw", nargs="?", help="the raw schedule feed (file or folder)")
     c.add_argument("--raw-dir", help="folder of raw files: the largest JSON/CSV is the feed; "
@@ -46,8 +45,6 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--stations")
     c.add_argument("--trains")
     c.add_argument("--out", required=True)
-    c.add_argument("--sampling-ratio", type=float, default=1.0,
-                   help="share of a JSON feed used to infer its schema (default: all)")
     a = sub.add_parser("analyse", help="stops.parquet -> result tables + run_summary.json")
     a.add_argument("--out", required=True)
     a.add_argument("--stops", help="defaults to <out>/stops.parquet")
@@ -56,11 +53,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(args)
     try:
         if args.command == "inspect":
-            ins = inspect_job(spark, args.paths, args.sampling_ratio)
+            ins = inspect_job(spark, args.paths)
             for name, df in ins.nulls.items():
-                df.write.mode("overwrite").parquet(f"{args.out}/inspect/{name}/nulls.parquet")
-                ins.schemas[name].write.mode("overwrite").parquet(f"{args.out}/inspect/{name}/schema.parquet")
-                ins.samples[name].write.mode("overwrite").json(f"{args.out}/inspect/{name}/sample.json")
+                # inputs that share a last part are named by their whole path
+                to = f"{args.out}/inspect/{name.strip('/').replace(':', '').replace('//', '/').replace('/', '__')}"
+                df.write.mode("overwrite").parquet(f"{to}/nulls.parquet")
+                ins.schemas[name].write.mode("overwrite").parquet(f"{to}/schema.parquet")
+                ins.samples[name].write.mode("overwrite").json(f"{to}/sample.json")
             if ins.summary is not None:
                 ins.summary.coalesce(1).write.mode("overwrite").json(f"{args.out}/inspect/summary.json")
             print(json.dumps({"profiled": sorted(ins.nulls), "skipped": ins.skipped}))
@@ -69,11 +68,12 @@ def main(argv: list[str] | None = None) -> int:
             if args.raw_dir:
                 d = args.raw_dir.rstrip("/")
                 raw = raw or largest_file(spark, d, exclude=("stations.json", "trains.json"))
-                stations = stations or f"{d}/stations.json"
-                trains = trains or f"{d}/trains.json"
+                # attributes beside the feed are used if they are there; a path given by hand must exist
+                stations = stations or (f"{d}/stations.json" if exists(spark, f"{d}/stations.json") else None)
+                trains = trains or (f"{d}/trains.json" if exists(spark, f"{d}/trains.json") else None)
             if not raw:
                 p.error("clean needs a raw feed or --raw-dir")
-            print(json.dumps(clean_job(spark, raw, args.out, stations, trains, sampling_ratio=args.sampling_ratio)))
+            print(json.dumps(clean_job(spark, raw, args.out, stations, trains)))
         else:
             stops = args.stops or f"{args.out}/stops.parquet"
             print(json.dumps(analyse_job(spark, stops, args.out, f"{args.out}/clean_stats.json")))

@@ -60,5 +60,6 @@ def label_number(label: str | Column) -> Column:
 
 
 def station_label(name: str | Column, code: str | Column) -> Column:
-    """``"<station_name> (<code>)"``."""
-    return F.concat(_col(name), F.lit(" ("), _col(code), F.lit(")"))
+    """``"<station_name> (<code>)"``; without a name the code stands for it, without a code the name stands alone."""
+    name, code = _col(name), _col(code)
+    return F.when(code.isNull(), name).otherwise(F.concat(F.coalesce(name, code), F.lit(" ("), code, F.lit(")")))

@@ -194,27 +194,34 @@ def breakdown_from_counts(counts: DataFrame, dim: str) -> DataFrame:
     )
 
 
+def _with_raw_rows(summary: DataFrame, raw_rows: DataFrame | int | None) -> DataFrame:
+    """Puts raw_rows first: the number, a one-row table's, or the cleaned count where there is none."""
+    if raw_rows is None:
+        raw = F.col("cleaned_rows")
+    elif isinstance(raw_rows, int):
+        raw = F.lit(raw_rows).cast("bigint")
+    else:  # one row each: a scalar subquery keeps this a plain projection
+        raw = F.coalesce(raw_rows.select(F.col("raw_rows").cast("bigint")).scalar(), F.col("cleaned_rows"))
+    return summary.select(raw.alias("raw_rows"), "*")
+
+
 def run_summary(stops: DataFrame, raw_rows: DataFrame | int | None = None) -> DataFrame:
     """Totals of the cleaned table: rows, distinct trains, distinct stations.
 
     ``raw_rows`` is the raw row count, either a number or a one-row
-    DataFrame (for example the published clean statistics); without it the
-    cleaned count stands in.  Station and train keys are non-null after
-    cleaning, so ``count(DISTINCT)`` equals the number of distinct values.
+    DataFrame (for example the published clean statistics); without it, or
+    with a null one, the cleaned count stands in.  Stops are counted once per
+    (station, train) pair in one pass; both distinct counts then read the
+    pairs, so no stop is expanded into a row per distinct count.
     """
     key = station_key(stops.columns)
-    summary = stops.agg(
-        F.count(F.lit(1)).alias("cleaned_rows"),
-        F.countDistinct("train_number").alias("distinct_trains"),
-        F.countDistinct(key).alias("distinct_stations"),
+    pairs = stops.groupBy(F.col(key).alias("_s"), F.col("train_number").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
+    summary = pairs.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("cleaned_rows"),
+        F.countDistinct("_t").alias("distinct_trains"),
+        F.countDistinct("_s").alias("distinct_stations"),
     )
-    if raw_rows is None:
-        return summary.select(F.col("cleaned_rows").alias("raw_rows"), "*")
-    if isinstance(raw_rows, int):
-        return summary.select(F.lit(raw_rows).cast("bigint").alias("raw_rows"), "*")
-    # One row each: a scalar subquery keeps this a plain projection.
-    raw = raw_rows.select(F.col("raw_rows").cast("bigint")).scalar()
-    return summary.select(raw.alias("raw_rows"), "*")
+    return _with_raw_rows(summary, raw_rows)
 
 
 def summary_from_groups(station_traffic: DataFrame, train_lengths: DataFrame,
@@ -223,14 +230,9 @@ def summary_from_groups(station_traffic: DataFrame, train_lengths: DataFrame,
     (no further pass over the stops): cleaned rows = sum of station stops,
     distinct stations / trains = distinct keys of those tables."""
     skey = station_key(station_traffic.columns)
-    s = station_traffic.agg(F.sum("total_stops").alias("cleaned_rows"),
+    s = station_traffic.agg(F.coalesce(F.sum("total_stops"), F.lit(0)).alias("cleaned_rows"),
                             F.countDistinct(skey).alias("distinct_stations"))
     t = train_lengths.agg(F.countDistinct("train_number").alias("distinct_trains"))
-    cleaned = s.select("cleaned_rows").scalar()
-    out = t.select(cleaned.alias("cleaned_rows"), "distinct_trains",
+    out = t.select(s.select("cleaned_rows").scalar().alias("cleaned_rows"), "distinct_trains",
                    s.select("distinct_stations").scalar().alias("distinct_stations"))
-    if raw_rows is None:
-        return out.select(F.col("cleaned_rows").alias("raw_rows"), "*")
-    if isinstance(raw_rows, int):
-        return out.select(F.lit(raw_rows).cast("bigint").alias("raw_rows"), "*")
-    return out.select(raw_rows.select(F.col("raw_rows").cast("bigint")).scalar().alias("raw_rows"), "*")
+    return _with_raw_rows(out, raw_rows)

@@ -69,7 +69,8 @@ class CleanStats:
 
     def as_dict(self) -> dict[str, int]:
         m = self.observation.get
-        raw, after_filter, cleaned = m["raw_rows"], m["kept_rows"], m["cleaned_rows"]
+        # sums over an empty feed are null
+        raw, after_filter, cleaned = (m[c] or 0 for c in ("raw_rows", "kept_rows", "cleaned_rows"))
         return {
             "raw_rows": raw,
             "cleaned_rows": cleaned,
@@ -128,11 +129,12 @@ def clean_stats_frame(raw: DataFrame) -> DataFrame:
     number of key-complete distinct rows is the de-duplicated count.
     """
     groups = count_copies(raw)
-    kept = F.sum(F.when(F.col("_ok"), F.col("_n")).otherwise(0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))  # noqa: E731  null over an empty feed
+    kept = total(F.when(F.col("_ok"), F.col("_n")).otherwise(0))
     return groups.agg(
-        F.sum("_n").alias("raw_rows"),
+        total("_n").alias("raw_rows"),
         F.count_if(F.col("_ok")).alias("cleaned_rows"),
-        F.sum(F.when(~F.col("_ok"), F.col("_n")).otherwise(0)).alias("removed_missing"),
+        total(F.when(~F.col("_ok"), F.col("_n")).otherwise(0)).alias("removed_missing"),
         (kept - F.count_if(F.col("_ok"))).alias("removed_duplicates"),
     )
 

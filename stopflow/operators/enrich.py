@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
 from stopflow.sources.geojson import flatten_feature_collection
 
 
@@ -56,7 +56,7 @@ def train_dimension_from_geojson(fc: DataFrame) -> DataFrame:
 
 
 def enrich_station(stops: DataFrame, stations: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join state and zone on station_code = station key.
 
     ``bound_by`` (e.g. the attribute rows before de-duplication) makes the
@@ -66,32 +66,32 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
     if "station_code" not in stops.columns:
         return stops
     joined = join_dimension(stops, stations, F.col("station_code") == F.col("_station_key"), "left",
-                            max_broadcast_rows, bound_by)
+                            max_broadcast_bytes, bound_by)
     return joined.drop("_station_key")
 
 
 def enrich_train(stops: DataFrame, trains: DataFrame,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join train_type on train_number = train key (fact side untrimmed)."""
     joined = join_dimension(stops, trains, F.col("train_number") == F.col("_train_key"), "left",
-                            max_broadcast_rows, bound_by)
+                            max_broadcast_bytes, bound_by)
     return joined.drop("_train_key")
 
 
 def enrich(stops: DataFrame, stations: DataFrame | None, trains: DataFrame | None,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
            stations_bound: DataFrame | None = None, trains_bound: DataFrame | None = None) -> DataFrame:
     """Both enrichments; a missing dimension is skipped."""
     out = stops
     if stations is not None:
-        out = enrich_station(out, stations, max_broadcast_rows, stations_bound)
+        out = enrich_station(out, stations, max_broadcast_bytes, stations_bound)
     if trains is not None:
-        out = enrich_train(out, trains, max_broadcast_rows, trains_bound)
+        out = enrich_train(out, trains, max_broadcast_bytes, trains_bound)
     return out
 
 
 def unmatched_keys(stops: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Distinct fact keys with no dimension row (what the left join hides).
 
     The fact keys are de-duplicated first (partial aggregation), then
@@ -99,4 +99,4 @@ def unmatched_keys(stops: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     """
     keys = stops.select(fact_key).filter(F.col(fact_key).isNotNull()).distinct()
     d = dim.select(F.col(dim_key).alias("_k")).filter(F.col("_k").isNotNull())
-    return join_dimension(keys, d, F.col(fact_key) == F.col("_k"), "left_anti", max_broadcast_rows)
+    return join_dimension(keys, d, F.col(fact_key) == F.col("_k"), "left_anti", max_broadcast_bytes)

@@ -7,30 +7,28 @@ from pyspark.sql import functions as F
 
 from stopflow.session import materialize
 
-# A dimension is broadcast only if it has at most this many rows.  The
-# dimensions here are a handful of short strings per row, so the bound keeps
-# the broadcast well under a few hundred MB per executor.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# A dimension is broadcast only if its rows, as text, have at most this many
+# bytes, however few they are.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def byte_size_at_most(df: DataFrame, most: int) -> bool:
+    """True when the rows of ``df`` have at most ``most`` bytes, 16 per value and the length of its text.
 
-    A plain distributed count: one partial count per partition and a
-    one-row final merge (answered from footers for a Parquet scan).  A
-    ``limit(n + 1).count()`` would be no cheaper on a large input: every
-    partition would ship up to ``n + 1`` rows into a single task.
+    One distributed aggregate: a partial sum per partition and a one-row
+    merge.
     """
-    return df.count() <= max_rows
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= most
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None,
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None,
                    landed: bool = False) -> DataFrame:
     """Join a (usually small) dimension onto a fact table.
 
-    The dimension is broadcast when its row count is proven to be within
-    ``max_broadcast_rows``; otherwise it is written once to the shared folder
+    The dimension is broadcast when its rows are proven to have at most
+    ``max_broadcast_bytes``; otherwise it is written once to the shared folder
     and joined by a shuffle join, which AQE may still turn into a broadcast
     from runtime sizes and whose skewed (hot-key) partitions AQE's skew-join
     handling splits into several tasks.
@@ -39,13 +37,13 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     shuffle case the dimension is re-read, so attributes bound to ``dim``
     would not resolve.
 
-    ``bound_by`` is a cheaper frame with at least as many rows as ``dim``
+    ``bound_by`` is a cheaper frame with at least the bytes of ``dim``
     (for example its input before de-duplication): the size check is then
-    a scan-and-count instead of a second computation of the dimension.
-    ``landed=True`` says ``dim`` is already a table read from storage (its
-    count comes from file footers and it is not written again).
+    a scan instead of a second computation of the dimension.
+    ``landed=True`` says ``dim`` is already a table read from storage (it is
+    not written again).
     """
-    if row_count_at_most(dim if bound_by is None else bound_by, max_broadcast_rows):
+    if byte_size_at_most(dim if bound_by is None else bound_by, max_broadcast_bytes):
         return fact.join(F.broadcast(dim), on, how)
     # Too big to broadcast: land the dimension once in the shared folder.  Read
     # back, it enters the join through a plain shuffle (an aggregate feeding

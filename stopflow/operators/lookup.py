@@ -98,6 +98,13 @@ def station_timetable(stops: DataFrame, station_name: str, train_type: str | Non
     return df.orderBy(F.col("arrival").asc_nulls_last(), *existing(df, ["train_number", "stop_sequence"]))
 
 
+def station_matches(stops: DataFrame, station_name: str, train_type: str | None = None,
+                    min_halt: int = 0, period: str | None = None) -> DataFrame:
+    """How many halts of one station the timetable slicers leave: (matched)."""
+    pred = None if period is None else in_arrival_period("arrival", period)
+    return station_filter(stops, station_name, train_type, min_halt, pred).agg(F.count(F.lit(1)).alias("matched"))
+
+
 def station_card(stops: DataFrame) -> DataFrame:
     """Per station name: a code, number of services and mean halt (1 decimal).
 
@@ -146,8 +153,8 @@ def train_search_fallback(catalog: DataFrame, term: str | None = None, train_typ
                           literal: bool = False) -> DataFrame:
     """Like :func:`train_search`, but the whole catalogue when nothing matches.
 
-    The "any match?" test is an ``EXISTS`` scalar subquery (it stops at the
-    first match), not a join.
+    The "any match?" test is an ``EXISTS`` scalar subquery over the catalogue,
+    not a join.
     """
     hits = train_search(catalog, term, train_type, literal)
     if hits is catalog:
@@ -169,11 +176,15 @@ def route_itinerary(stops: DataFrame, train_number: str, states: list[str] | Non
 
 
 def route_halt_number(stops: DataFrame) -> DataFrame:
-    """Every halt with its 1..n position along its train's route."""
-    cols = existing(stops, ROUTE_ORDER)
-    order = [F.col(c).asc() if c == "stop_sequence" else F.col(c).asc_nulls_first() for c in cols]
-    numbered = number_within_groups(stops.select("train_number", *cols), "train_number", order, "halt_no")
-    return numbered.select("train_number", *existing(numbered, ["stop_sequence", "departure"]), "halt_no")
+    """Every halt, with its station and times, and its 1..n position along its train's route.
+
+    Halts that agree in the route order are numbered by the remaining columns,
+    so numbers are the same on every run.
+    """
+    shown = existing(stops, ["stop_sequence", "station_code", "station_name", "arrival", "departure"])
+    first = existing(stops, ROUTE_ORDER)
+    order = [F.col(c).asc() if c == "stop_sequence" else F.col(c).asc_nulls_first() for c in [*first, *(c for c in shown if c not in first)]]
+    return number_within_groups(stops.select("train_number", *shown), "train_number", order, "halt_no")
 
 
 def route_halt_profile(stops: DataFrame, states: list[str] | None = None, zones: list[str] | None = None,

@@ -41,45 +41,66 @@ def _checks_frame(agg_row: DataFrame, checks: list[tuple[str, str]]) -> DataFram
     return stacked.select("c.check_name", (F.col("c.violations") == 0).alias("ok"), "c.violations")
 
 
-def stops_checks(stops: DataFrame) -> DataFrame:
-    """Expectations on the conformed fact table, in one pass."""
+def required_columns_check(df: DataFrame, table: str) -> DataFrame:
+    """How many required columns of ``table`` are missing (from the schema: no scan)."""
+    n = len(missing_columns(df, table))
+    one = df.sparkSession.range(1).select(F.lit(n).alias("n"))
+    return _checks_frame(one, [(f"{table}_required_columns", "n")])
+
+
+def _none(present: Column) -> Column:
+    """1 unless ``present`` counts something."""
+    return F.when(present > 0, 0).otherwise(1)
+
+
+def stops_checks(stops: DataFrame, station_name: str | Column | None = None,
+                 train_number: str | Column | None = None) -> DataFrame:
+    """Expectations on the conformed fact table, in one pass.
+
+    With ``station_name`` or ``train_number`` (literals or scalar subqueries,
+    e.g. the busiest station) the same pass checks that each has a stop.
+    """
     key = station_key(stops.columns)
     dur = F.col("stop_duration_mins")
     h = hour_of("arrival")
-    row = stops.agg(
-        F.when(F.count(F.lit(1)) > 0, 0).otherwise(1).alias("non_empty"),
-        F.count_if(dur < 0).alias("dur_neg"),
-        F.when(F.count(dur) > 0, 0).otherwise(1).alias("dur_present"),
-        F.count_if(F.col("train_number").isNull() | F.col(key).isNull()).alias("keys_null"),
-        F.count_if(F.col("arrival").isNotNull() & ~F.coalesce(h.between(0, 23), F.lit(False))).alias("hour_domain"),
-    )
-    return _checks_frame(row, [
-        ("stops_non_empty", "non_empty"),
-        ("stop_duration_non_negative", "dur_neg"),
-        ("stop_duration_present", "dur_present"),
-        ("keys_not_null", "keys_null"),
-        ("arrival_hour_in_0_23", "hour_domain"),
-    ])
+    aggs = {
+        "stops_non_empty": _none(F.count(F.lit(1))),
+        "stop_duration_non_negative": F.count_if(dur < 0),
+        "stop_duration_present": _none(F.count(dur)),
+        "keys_not_null": F.count_if(F.col("train_number").isNull() | F.col(key).isNull()),
+        "arrival_hour_in_0_23": F.count_if(F.col("arrival").isNotNull() & ~F.coalesce(h.between(0, 23), F.lit(False))),
+    }
+    column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    if station_name is not None:
+        aggs["station_lookup_returns_rows"] = _none(F.count_if(F.col("station_name") == column(station_name)))
+    if train_number is not None:
+        aggs["train_lookup_returns_rows"] = _none(F.count_if(F.col("train_number") == column(train_number)))
+    row = stops.agg(*(a.alias(n) for n, a in aggs.items()))
+    return _checks_frame(row, [(n, n) for n in aggs])
 
 
 def _any(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def positive_counts_check(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """Non-empty, and every counter in ``columns`` strictly positive."""
-    row = df.agg(
-        F.when(F.count(F.lit(1)) > 0, 0).otherwise(1).alias("non_empty"),
-        F.count_if(_any([F.col(c) <= 0 for c in columns])).alias("non_positive"),
-    )
-    return _checks_frame(row, [(f"{table}_non_empty", "non_empty"), (f"{table}_counts_positive", "non_positive")])
+def _not(cond: Column) -> Column:
+    """True where ``cond`` is false or unknown: a missing value passes no check."""
+    return ~F.coalesce(cond, F.lit(False))
+
+
+def positive_counts_check(df: DataFrame, table: str, columns: list[str], non_negative: list[str] | None = None) -> DataFrame:
+    """Non-empty, every counter in ``columns`` present and strictly positive, every one in ``non_negative`` present and not below 0."""
+    bad = {f"{table}_counts_positive": _any([_not(F.col(c) > 0) for c in columns])}
+    if non_negative:
+        bad[f"{table}_values_non_negative"] = _any([_not(F.col(c) >= 0) for c in non_negative])
+    row = df.agg(_none(F.count(F.lit(1))).alias(f"{table}_non_empty"), *(F.count_if(c).alias(n) for n, c in bad.items()))
+    return _checks_frame(row, [(n, n) for n in (f"{table}_non_empty", *bad)])
 
 
 def hour_domain_check(dense: DataFrame) -> DataFrame:
-    """The dense hourly table has exactly the 24 hours 0..23."""
-    row = dense.agg(
-        (F.abs(F.count(F.lit(1)) - 24) + F.count_if(~F.col("hour").between(0, 23))).alias("bad"),
-    )
+    """The dense hourly table has each of the hours 0..23 once, and nothing else."""
+    good = F.count_distinct(F.when(F.col("hour").between(0, 23), F.col("hour")))
+    row = dense.agg((F.lit(24) - good + F.count(F.lit(1)) - good).alias("bad"))
     return _checks_frame(row, [("hourly_traffic_24_hours", "bad")])
 
 
@@ -91,20 +112,17 @@ def lookup_check(stops: DataFrame, station_name_col: str, station_name: str | Co
     """
     stn = station_name if isinstance(station_name, Column) else F.lit(station_name)
     trn = train_number if isinstance(train_number, Column) else F.lit(train_number)
-    row = stops.agg(
-        F.when(F.count_if(F.col(station_name_col) == stn) > 0, 0).otherwise(1).alias("stn"),
-        F.when(F.count_if(F.col("train_number") == trn) > 0, 0).otherwise(1).alias("trn"),
-    )
+    row = stops.agg(_none(F.count_if(F.col(station_name_col) == stn)).alias("stn"), _none(F.count_if(F.col("train_number") == trn)).alias("trn"))
     return _checks_frame(row, [("station_lookup_returns_rows", "stn"), ("train_lookup_returns_rows", "trn")])
 
 
 def metrics_check(metrics: DataFrame, positive: list[str], non_negative: list[str], name: str) -> DataFrame:
-    """A one-row metrics document: all keys present, counters > 0 (or >= 0)."""
+    """A metrics document: exactly one row, all keys present, counters > 0 (or >= 0); nulls count as violations."""
     missing = [c for c in positive + non_negative if c not in metrics.columns]
     if missing:
         raise ValueError(f"{name} lacks {missing}")
-    bad = [F.col(c) <= 0 for c in positive] + [F.col(c) < 0 for c in non_negative]
-    row = metrics.agg(F.count_if(_any(bad)).alias("bad"))
+    bad = [_not(F.col(c) > 0) for c in positive] + [_not(F.col(c) >= 0) for c in non_negative]
+    row = metrics.agg((F.count_if(_any(bad)) + F.abs(F.count(F.lit(1)) - 1)).alias("bad"))
     return _checks_frame(row, [(f"{name}_values_valid", "bad")])
 
 

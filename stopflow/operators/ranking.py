@@ -5,9 +5,9 @@ group to one task; if one train holds a third of all stops, that task does
 a third of the work.  :func:`number_within_groups` gives the same numbers
 without that hot task:
 
-1. a global sort on ``(g, k, row id)`` - range partitioning samples the
-   full key, so a hot group is cut into many contiguous slices (the unique
-   row id lets even a group of identical keys be cut);
+1. a global sort on ``(g, k, all other columns)`` - range partitioning
+   samples the full key, so a hot group is cut into many contiguous slices;
+   rows that agree in every column are interchangeable;
 2. each row gets its position inside its sorted partition; this table is
    written once to the shared checkpoint folder, which pins the positions
    and cuts the lineage (the small offsets table of step 4 is written too,
@@ -26,19 +26,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
 from stopflow.session import materialize
 
 _LOW_BITS = 33  # monotonically_increasing_id puts the partition index above bit 33
 
 
 def number_within_groups(df: DataFrame, group: str, order: list[Column], name: str = "seq_no",
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Add ``name`` = 1..n within each ``group`` in ``order`` (ties broken arbitrarily)."""
+                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Add ``name`` = 1..n within each ``group`` in ``order``; ties go by the remaining columns."""
     cols = df.columns
     pos = F.monotonically_increasing_id()
-    ranked = (df.withColumn("_tie", F.monotonically_increasing_id())
-              .orderBy(F.col(group).asc(), *order, F.col("_tie").asc())
+    ranked = (df.orderBy(F.col(group).asc(), *order, *(F.col(c).asc() for c in cols if c != group))
               .withColumn("_pos", pos)
               .select(*cols, F.shiftright("_pos", _LOW_BITS).alias("_part"),
                       F.col("_pos").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_idx")))
@@ -49,7 +48,7 @@ def number_within_groups(df: DataFrame, group: str, order: list[Column], name: s
                                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")),
                           "group_sequence_offsets")
     on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))
-    joined = join_dimension(ranked, offsets, on, "inner", max_broadcast_rows, landed=True)
+    joined = join_dimension(ranked, offsets, on, "inner", max_broadcast_bytes, landed=True)
     seq = (F.col("_idx") - F.col("_start") + F.col("_before") + 1).cast("int")
     return joined.select(*cols, seq.alias(name))
 

@@ -45,7 +45,7 @@ def stoppage_search(stats: DataFrame, term: str | None, min_stops: int = 50, min
 def stoppage_topn(stats: DataFrame, n: int = 25, min_stops: int = 50, min_avg: float = 10.0,
                   term: str | None = None) -> DataFrame:
     """The ``n`` longest mean dwells among the filtered stations."""
-    keys = [c for c in ("station_code", "station_name") if c in stats.columns][:1]
+    keys = [c for c in ("station_code", "station_name") if c in stats.columns]
     return top_n(stoppage_search(stats, term, min_stops, min_avg), n, "avg_duration_mins", keys)
 
 

@@ -28,19 +28,15 @@ from stopflow.operators import analytics as A
 from stopflow.operators import clean as C
 from stopflow.operators import enrich as E
 from stopflow.operators import profile as P
+from stopflow.operators.conform import station_display, station_key
 from stopflow.schema import STATIONS_GEOJSON, TRAINS_GEOJSON
-from stopflow.session import local_path
 from stopflow.sinks import publish as W
 from stopflow.sources import files as R
+from stopflow.sources.paths import exists
 
 
-def _exists(path: str) -> bool:
-    p = local_path(path)
-    return "://" in p or os.path.exists(p)
-
-
-def _require(path: str, what: str) -> None:
-    if not _exists(path):
+def _require(spark: SparkSession, path: str, what: str) -> None:
+    if not exists(spark, path):
         raise ValueError(f"{what} not found at {path}")
 
 
@@ -55,62 +51,64 @@ class Inspection:
     skipped: list[str] = field(default_factory=list)
 
 
-def inspect_job(spark: SparkSession, paths: list[str], sampling_ratio: float = 1.0) -> Inspection:
-    """Profile each input; unsupported formats are listed in ``skipped``.
+def input_names(paths: list[str]) -> dict[str, str]:
+    """A name for each input: its last part, or the whole path where inputs share a last part."""
+    last = {p: os.path.basename(p.rstrip("/")) for p in paths}
+    return {p: p.rstrip("/") if list(last.values()).count(n) > 1 else n for p, n in last.items()}
 
-    ``sampling_ratio`` < 1 infers JSON schemas from a sample of the input
-    instead of a full extra pass (the profile itself still reads everything).
-    """
+
+def inspect_job(spark: SparkSession, paths: list[str]) -> Inspection:
+    """Profile each input; unsupported formats are listed in ``skipped``, a missing path raises ``ValueError``."""
     out = Inspection()
-    frames = {}
-    for p in paths:
-        name = os.path.basename(p.rstrip("/"))
+    names = input_names(paths)
+    for p in names:
+        _require(spark, p, "input")
+    rows = []
+    for p, name in names.items():
         try:
-            df = R.read_any(spark, p, sampling_ratio=sampling_ratio)
+            df = R.read_any(spark, p)
         except ValueError:
             out.skipped.append(name)
             continue
-        frames[name] = df
         out.schemas[name] = P.profile_schema(spark, df, name)
         out.nulls[name] = P.profile_nulls(df)
         out.samples[name] = P.profile_sample(df, 10)
-    if frames:
-        out.summary = P.profile_datasets(frames)
+        rows.append(P.profile_datasets({name: df}))
+    for r in rows:
+        out.summary = r if out.summary is None else out.summary.unionByName(r)
     return out
 
 
 # --- clean ------------------------------------------------------------------------
 
-def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             sampling_ratio: float = 1.0) -> DataFrame:
+def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The raw feed by extension (a folder without extension is JSON).
 
     With ``schema`` (e.g. :data:`stopflow.schema.RAW_STOPS_JSON`) there is no
-    inference pass; without it JSON columns are inferred from a
-    ``sampling_ratio`` share of the input, and CSV is read as text.
+    inference pass; without it JSON columns are inferred from the whole input,
+    and CSV is read as text.
     """
-    ext = os.path.splitext(path.rstrip("/"))[1].lower()
-    if ext in (".json", ".ndjson", ".geojson") or (not ext and os.path.isdir(local_path(path))):
-        return R.read_json(spark, path, schema, sampling_ratio=sampling_ratio)
     return R.read_any(spark, path, schema)
 
 
 def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: str | None = None,
-              trains_path: str | None = None, raw_schema: T.StructType | None = None,
-              sampling_ratio: float = 1.0) -> dict:
+              trains_path: str | None = None, raw_schema: T.StructType | None = None) -> dict:
     """Clean the raw feed, enrich it, publish ``stops.parquet`` and ``clean_stats.json``.
 
-    Give ``raw_schema`` to skip JSON schema inference, or ``sampling_ratio``
-    < 1 to infer it from a sample of a very large feed.
+    Give ``raw_schema`` to skip JSON schema inference.  A path that is given
+    must exist; records that can't be parsed fail the job.
     """
-    _require(raw_path, "raw schedule feed")
-    raw = load_raw(spark, raw_path, raw_schema, sampling_ratio)
+    _require(spark, raw_path, "raw schedule feed")
+    raw = load_raw(spark, raw_path, raw_schema)
+    for path, what in ((stations_path, "station attributes"), (trains_path, "train attributes")):
+        if path:
+            _require(spark, path, what)
     counted = C.clean_counted(raw)
     stations = trains = st_bound = tr_bound = None
-    if stations_path and _exists(stations_path):
+    if stations_path:
         fc = R.read_feature_collection(spark, stations_path, STATIONS_GEOJSON)
         stations, st_bound = E.station_dimension_from_geojson(fc), fc.select(F.explode("features"))
-    if trains_path and _exists(trains_path):
+    if trains_path:
         fc = R.read_feature_collection(spark, trains_path, TRAINS_GEOJSON)
         trains, tr_bound = E.train_dimension_from_geojson(fc), fc.select(F.explode("features"))
     enriched = E.enrich(counted, stations, trains, stations_bound=st_bound, trains_bound=tr_bound)
@@ -131,7 +129,7 @@ CLEAN_STATS_SCHEMA = "raw_rows long, cleaned_rows long, removed_missing long, re
 
 
 def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_path: str | None = None,
-                timings: dict | None = None, parallel_jobs: int = 4, approx_rsd: float | None = None) -> dict:
+                timings: dict | None = None, parallel_jobs: int = 4) -> dict:
     """Publish busiest stations, dwell statistics, hourly traffic, longest
     trains, one breakdown per dimension column, and the run summary.
 
@@ -141,10 +139,10 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     scanning the stops again.  Each breakdown reads two narrow columns
     (its dimension and the train number).  Independent outputs are
     submitted as concurrent Spark jobs so short stages of one overlap.
-    ``approx_rsd`` switches the distinct-train counts to HyperLogLog++
-    sketches (one mergeable buffer per group) for very large inputs.
+    Dwell statistics have a row per station, so they are sorted and written
+    by all tasks.
     """
-    _require(stops_path, "stops table")
+    _require(spark, stops_path, "stops table")
     start = time.time()
     stops = spark.read.parquet(stops_path)
     timings = {} if timings is None else timings
@@ -157,17 +155,18 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     def publish(name: str, df: DataFrame) -> None:
         timed(name, lambda: W.write_small(df, f"{out_dir}/{name}.parquet"))
 
+    station_keys = A.group_keys(station_key(stops.columns), station_display(stops.columns))
     station_path, train_path = f"{out_dir}/_station_traffic.parquet", f"{out_dir}/_train_lengths.parquet"
     base_jobs = {
-        "_station_traffic": lambda: timed("_station_traffic", lambda: W.write_table(A.station_traffic(stops, approx_rsd), station_path)),
+        "_station_traffic": lambda: timed("_station_traffic", lambda: W.write_table(A.station_traffic(stops), station_path)),
         "_train_lengths": lambda: timed("_train_lengths", lambda: W.write_table(A.train_lengths(stops), train_path)),
-        "stoppage_stats": lambda: publish(
-            "stoppage_stats", A.stoppage_stats(stops).orderBy(F.col("avg_duration_mins").desc(), "station_code")),
+        "stoppage_stats": lambda: timed("stoppage_stats", lambda: W.write_table(
+            A.stoppage_stats(stops).orderBy(F.col("avg_duration_mins").desc(), *station_keys), f"{out_dir}/stoppage_stats.parquet")),
         "hourly_traffic": lambda: publish("hourly_traffic", A.hourly_traffic(stops).orderBy("hour")),
     }
     for dim in A.breakdown_dimensions(stops.columns):
         base_jobs[f"breakdown_{dim}"] = (lambda d: lambda: publish(
-            f"breakdown_{d}", A.breakdown(stops, d, approx_rsd).orderBy(F.col("total_stops").desc(), d)))(dim)
+            f"breakdown_{d}", A.breakdown(stops, d).orderBy(F.col("total_stops").desc(), d)))(dim)
     _run_concurrently(base_jobs, parallel_jobs)
 
     station = spark.read.parquet(station_path)
@@ -182,7 +181,7 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
 
     t0 = time.time()
     raw_rows = None
-    if clean_stats_path and _exists(clean_stats_path):
+    if clean_stats_path and exists(spark, clean_stats_path):
         raw_rows = spark.read.schema(CLEAN_STATS_SCHEMA).json(clean_stats_path)
     row = A.summary_from_groups(station, trains, raw_rows).first().asDict()
     row["pipeline_runtime_seconds"] = elapsed

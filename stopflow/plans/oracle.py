@@ -189,8 +189,9 @@ ORACLE: dict[str, str] = {
                                    "(SELECT 1 FROM catalog x WHERE regexp_matches(lower(coalesce(x.train_name,'')),'zzz'))", "catalog"),
     "route_itinerary": _with("SELECT stop_sequence, station_code, station_name, arrival, departure, stop_duration_mins, day, state, zone "
                              "FROM stops WHERE train_number = '1102'"),
-    "route_halt_number": _with("SELECT train_number, stop_sequence, departure, CAST(row_number() OVER (PARTITION BY train_number "
-                               "ORDER BY stop_sequence, arrival NULLS FIRST, departure NULLS FIRST) AS INT) AS halt_no FROM stops"),
+    "route_halt_number": _with("SELECT train_number, stop_sequence, station_code, station_name, arrival, departure, "
+                               "CAST(row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence, arrival NULLS FIRST, "
+                               "departure NULLS FIRST, station_code NULLS FIRST, station_name NULLS FIRST) AS INT) AS halt_no FROM stops"),
     "route_filtered": _with("SELECT train_number, stop_sequence, state, zone, stop_duration_mins FROM stops "
                             "WHERE state IN ('NATION_1','NATION_12','NATION_13') AND zone IN ('AFRICA','AMERICA','ASIA','EUROPE') "
                             "AND stop_duration_mins >= 10"),
@@ -223,11 +224,10 @@ ORACLE: dict[str, str] = {
         "WHERE zone IS NOT NULL GROUP BY 1) z USING (train_number)", "catalog"),
     "export_clean": _with("SELECT train_number, train_name, train_type, station_code, station_name, arrival, departure, "
                           "stop_sequence, day, stop_duration_mins, zone, state FROM stops"),
-    "profile_nulls": _with("SELECT 'arrival' AS column_name, count(CASE WHEN arrival IS NULL OR arrival='' OR arrival='None' THEN 1 END) AS nulls, "
-                           "round(100.0::DOUBLE*count(CASE WHEN arrival IS NULL OR arrival='' OR arrival='None' THEN 1 END)/count(*),1) AS pct "
-                           "FROM raw_stops UNION ALL SELECT 'departure', count(CASE WHEN departure IS NULL OR departure='' OR "
-                           "departure='None' THEN 1 END), round(100.0::DOUBLE*count(CASE WHEN departure IS NULL OR departure='' OR "
-                           "departure='None' THEN 1 END)/count(*),1) FROM raw_stops"),
+    "profile_nulls": _with(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(CASE WHEN {c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None') THEN 1 END) AS nulls, "
+        f"round(100.0::DOUBLE*count(CASE WHEN {c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None') THEN 1 END)/count(*),1) AS pct FROM raw_stops"
+        for c in ("number", "trainName", "station", "station_name", "arrival", "departure", "day", "id"))),
     "profile_datasets": _with("SELECT 'raw_stops' AS dataset, count(*) AS row_count, CAST(8 AS INT) AS col_count FROM raw_stops "
                               "UNION ALL SELECT 'station_meta', count(*), CAST(3 AS INT) FROM station_meta "
                               "UNION ALL SELECT 'train_meta', count(*), CAST(2 AS INT) FROM train_meta"),
@@ -257,8 +257,22 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT 'train_lookup_returns_rows', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) "
         "FROM stops WHERE train_number = (SELECT train_number FROM longest ORDER BY num_stops DESC, train_number, train_name LIMIT 1) "
         "UNION ALL SELECT 'clean_stats_values_valid', (SELECT count(*) FROM raw_stops) > 0 AND (SELECT count(*) FROM clean) > 0, "
-        "CAST(CASE WHEN (SELECT count(*) FROM raw_stops) > 0 AND (SELECT count(*) FROM clean) > 0 THEN 0 ELSE 1 END AS BIGINT)",
-        "busiest", "dense", "longest"),
+        "CAST(CASE WHEN (SELECT count(*) FROM raw_stops) > 0 AND (SELECT count(*) FROM clean) > 0 THEN 0 ELSE 1 END AS BIGINT) "
+        "UNION ALL SELECT 'run_summary_values_valid', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM stops "
+        "UNION ALL SELECT 'stoppage_stats_non_empty', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM stoppage "
+        "UNION ALL SELECT 'stoppage_stats_counts_positive', count(CASE WHEN num_stops <= 0 THEN 1 END) = 0, count(CASE WHEN num_stops <= 0 THEN 1 END) FROM stoppage "
+        "UNION ALL SELECT 'stoppage_stats_values_non_negative', count(CASE WHEN least(avg_duration_mins, max_duration_mins, p90_duration_mins) < 0 THEN 1 END) = 0, "
+        "count(CASE WHEN least(avg_duration_mins, max_duration_mins, p90_duration_mins) < 0 THEN 1 END) FROM stoppage "
+        "UNION ALL SELECT 'breakdown_zone_non_empty', count(*) > 0, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM bd_zone "
+        "UNION ALL SELECT 'breakdown_zone_counts_positive', count(CASE WHEN total_stops <= 0 OR distinct_trains <= 0 THEN 1 END) = 0, "
+        "count(CASE WHEN total_stops <= 0 OR distinct_trains <= 0 THEN 1 END) FROM bd_zone "
+        "UNION ALL SELECT t || '_required_columns', true, CAST(0 AS BIGINT) FROM (VALUES ('stops'), ('busiest_stations'), ('hourly_traffic'), "
+        "('stoppage_stats'), ('longest_trains')) v(t)",
+        "busiest", "dense", "longest", "stoppage", "bd_zone"),
+    "name_only_analysis": _with("SELECT station_name, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM ("
+                                "SELECT DISTINCT train_number, train_name, station_name, arrival, departure, day, stop_sequence FROM clean_m "
+                                "WHERE train_number IS NOT NULL AND station_name IS NOT NULL) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"),
+    "station_matches": _with("SELECT count(*) AS matched FROM timetable WHERE TRY_CAST(split_part(arrival,':',1) AS INT) BETWEEN 18 AND 23", "timetable"),
     "scan_json": _with("SELECT * FROM raw_stops"),
     # CSV cannot tell an empty string from a missing value: both read back as null.
     "scan_csv": _with("SELECT nullif(number,'') AS number, nullif(trainName,'') AS trainName, nullif(station,'') AS station, "

@@ -26,7 +26,7 @@ from stopflow.operators import slicers as S
 from stopflow.operators.conform import conform_stops
 from stopflow.plans import fixture as X
 from stopflow.schema import RAW_STOPS_JSON
-from stopflow.session import scratch_path
+from stopflow.session import materialize, scratch_path
 from stopflow.sinks import publish as W
 from stopflow.sources import files as R
 from stopflow.sources.geojson import flatten_feature_collection, to_feature_collections
@@ -89,7 +89,7 @@ def scan_json(spark, d):
     """Raw feed landed as line-delimited JSON in the shared folder, read back with its schema."""
     path = scratch_path(spark, "raw_stops_json")
     X.raw_stops(spark, d).write.mode("overwrite").json(path)
-    return R.read_json(spark, path, RAW_STOPS_JSON, multi_line=False)
+    return R.read_json(spark, path, RAW_STOPS_JSON)
 
 
 def scan_csv(spark, d):
@@ -99,10 +99,6 @@ def scan_csv(spark, d):
     return R.read_csv(spark, path)
 
 
-def file_manifest(spark, d):
-    return R.file_manifest(spark, d, "*.parquet")
-
-
 # --- cleaning ---------------------------------------------------------------------
 
 def clean_times(spark, d):
@@ -264,12 +260,12 @@ def run_summary_from_groups(spark, d):
 
 
 def breakdown_state_from_counts(spark, d):
-    """The analyse job's path: a breakdown read off per-train category counts."""
+    """A breakdown read off per-train category counts (one scan for several outputs)."""
     return A.breakdown_from_counts(A.train_category_counts(stops(spark, d)), "state")
 
 
 def longest_trains_from_counts(spark, d):
-    """The analyse job's path: train lengths read off per-train category counts."""
+    """Train lengths read off per-train category counts (one scan for several outputs)."""
     lengths = A.lengths_from_counts(A.train_category_counts(stops(spark, d)))
     return A.top_n(lengths, 20, "num_stops", ["train_number", "train_name"])
 
@@ -313,7 +309,7 @@ def route_regions(spark, d):
 # --- profiling, quality, publishing ------------------------------------------------------
 
 def profile_nulls(spark, d):
-    return P.profile_nulls(X.raw_stops(spark, d), ["arrival", "departure"])
+    return P.profile_nulls(X.raw_stops(spark, d))
 
 
 def profile_schema(spark, d):
@@ -332,23 +328,33 @@ def profile_sample(spark, d):
 
 
 def dq_report(spark, d):
-    """The integrity expectations over the fact table and the derived results."""
-    st = stops(spark, d)
-    busiest = A.busiest_stations(st, 20)
-    longest = A.longest_trains(st, 20)
-    top_station = busiest.select("station_name").limit(1).scalar()
-    top_train = longest.select("train_number").limit(1).scalar()
+    """The integrity expectations over the published tables, each read once."""
+    st = materialize(stops(spark, d), "dq-stops")
+    tables = {"busiest_stations": A.busiest_stations(st, 20), "longest_trains": A.longest_trains(st, 20), "stoppage_stats": A.stoppage_stats(st),
+              "hourly_traffic": A.hourly_traffic_dense(st), "breakdown_zone": A.breakdown(st, "zone")}
+    tables = {name: materialize(df, f"dq-{name}") for name, df in tables.items()}
+    stats = materialize(C.clean_stats_frame(X.raw_stops(spark, d)), "dq-clean-stats")
+    summary = materialize(A.run_summary(st, stats), "dq-run-summary")
+    top_station = tables["busiest_stations"].orderBy(F.desc("total_stops"), "station_code", "station_name").select("station_name").limit(1).scalar()
+    top_train = tables["longest_trains"].orderBy(F.desc("num_stops"), "train_number", "train_name").select("train_number").limit(1).scalar()
     return Q.dq_report(
-        Q.stops_checks(st),
-        Q.positive_counts_check(busiest, "busiest_stations", ["total_stops", "distinct_trains"]),
-        Q.positive_counts_check(longest, "longest_trains", ["num_stops"]),
-        Q.hour_domain_check(A.hourly_traffic_dense(st)),
-        Q.lookup_check(st, "station_name", top_station, top_train),
-        Q.metrics_check(C.clean_stats_frame(X.raw_stops(spark, d)), ["raw_rows", "cleaned_rows"],
-                        ["removed_missing", "removed_duplicates"], "clean_stats"),
+        Q.stops_checks(st, top_station, top_train),
+        Q.positive_counts_check(tables["busiest_stations"], "busiest_stations", ["total_stops", "distinct_trains"]),
+        Q.positive_counts_check(tables["longest_trains"], "longest_trains", ["num_stops"]),
+        Q.positive_counts_check(tables["stoppage_stats"], "stoppage_stats", ["num_stops"], ["avg_duration_mins", "max_duration_mins", "p90_duration_mins"]),
+        Q.positive_counts_check(tables["breakdown_zone"], "breakdown_zone", ["total_stops", "distinct_trains"]),
+        Q.hour_domain_check(tables["hourly_traffic"]),
+        Q.metrics_check(stats, ["raw_rows", "cleaned_rows"], ["removed_missing", "removed_duplicates"], "clean_stats"),
+        Q.metrics_check(summary, ["raw_rows", "cleaned_rows", "distinct_trains", "distinct_stations"], [], "run_summary"),
+        *(Q.required_columns_check(df, name) for name, df in {"stops": st, **tables}.items() if name in Q.REQUIRED_COLUMNS),
     )
 
 
+def name_only_analysis(spark, d):
+    """Busiest stations of a feed that has station names but no codes."""
+    return A.busiest_stations(C.clean_stops(X.raw_stops(spark, d).drop("station")), 20)
+
+
 def export_csv(spark, d):
     """The clean dataset exported as header CSV (export column order), read back as text."""
     path = scratch_path(spark, "export_csv")
@@ -378,7 +384,6 @@ QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_json": scan_json,
     "scan_csv": scan_csv,
-    "file_manifest": file_manifest,
     "clean_times": clean_times,
     "clean_names": clean_names,
     "time_to_minutes": time_to_minutes,
@@ -455,4 +460,6 @@ QUERIES: dict[str, Query] = {
     "profile_datasets": profile_datasets,
     "profile_sample": profile_sample,
     "dq_report": dq_report,
+    "name_only_analysis": name_only_analysis,
+    "station_matches": lambda spark, d: L.station_matches(stops(spark, d), "Supplier#000000003", period="Evening"),
 }

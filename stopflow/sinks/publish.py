@@ -51,18 +51,21 @@ def write_small(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if fmt == "json":
         w.json(path)
     elif fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
         w.parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, columns: list[str] | None = None, single_file: bool = False,
                mode: str = "overwrite") -> None:
-    """CSV with header in the given column order (UTF-8), restricted to existing columns."""
+    """CSV with header in the given column order (UTF-8), restricted to existing columns.
+
+    Quotes inside a field are doubled, so any CSV reader reads them back.
+    """
     out = select_existing(df, columns) if columns else df
     if single_file:
         out = out.coalesce(1)
-    (out.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+    (out.write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

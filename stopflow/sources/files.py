@@ -7,115 +7,90 @@ Pass an explicit schema wherever one is known: it skips the inference pass
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stopflow.sources.paths import data_files, exists, first_line, is_folder, json_layouts
+
 FORMATS = {".json": "json", ".geojson": "json", ".ndjson": "json", ".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
 
 
-def _first_local_file(path: str) -> str | None:
-    """The path itself if it is a local file, else the first data file of a
-    local folder (skipping hidden / underscore files), else None."""
-    p = path[5:] if path.startswith("file:") else path
-    if "://" in p:
-        return None
-    if os.path.isfile(p):
-        return p
-    if os.path.isdir(p):
-        for name in sorted(os.listdir(p)):
-            f = os.path.join(p, name)
-            if not name.startswith((".", "_")) and os.path.isfile(f) and os.path.getsize(f) > 0:
-                return f
-    return None
-
-
-def _first_byte(path: str) -> str | None:
-    """First non-blank character of a local file (or a folder's first data
-    file), or None when it cannot be read from here."""
-    p = _first_local_file(path)
-    if p is None:
-        return None
-    with open(p, "rb") as fh:
-        while chunk := fh.read(4096):
-            s = chunk.lstrip()
-            if s:
-                return chr(s[0])
-    return None
-
-
-def is_json_array(path: str) -> bool:
-    """True when a local file holds one JSON array/object spread over lines.
-
-    A line-delimited file (one object per line) starts with ``{`` and is
-    read splittably; an array ``[`` must be read as one multi-line document.
-    """
-    return _first_byte(path) == "["
+def is_json_array(spark: SparkSession, path: str) -> bool:
+    """True when the first data file of ``path`` holds a JSON array."""
+    files = data_files(spark, path)
+    return bool(files) and first_line(spark, files[0]).startswith(b"[")
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              multi_line: bool | None = None, sampling_ratio: float = 1.0) -> DataFrame:
-    """Read a JSON array file or line-delimited JSON.
-
-    ``multi_line=None`` sniffs the first byte of a local file; line-delimited
-    input (splittable, parallel) is the default for directories and remote
-    paths.  Land large array files once as Parquet or NDJSON: a multi-line
-    document is read by a single task.
+              multi_line: bool | None = None) -> DataFrame:
+    """Read JSON arrays, single documents or line-delimited JSON, also mixed in one folder.
+
+    With ``multi_line=None`` each file's layout is found from its first line,
+    local or remote, and all records of all files come back: line-delimited
+    files are split over tasks, a file of one document or array is read by a
+    task of its own (land large ones once as Parquet or NDJSON).  A record
+    that can't be parsed fails the read; none becomes a row of nulls.
+    Without a schema, a column that the layouts type differently is text.
     """
-    if multi_line is None:
-        multi_line = is_json_array(path)
-    r = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
-    if schema is not None:
-        r = r.schema(schema)
-    elif sampling_ratio < 1.0:
-        r = r.option("samplingRatio", sampling_ratio)  # infer from a sample, not a full pass
-    return r.json(path)
+    def reader(lines_span: bool):
+        r = spark.read.option("multiLine", lines_span).option("mode", "FAILFAST")
+        return r.schema(schema) if schema is not None else r
+
+    if multi_line is not None:
+        return reader(multi_line).json(path)
+    found = json_layouts(spark, path)
+    if not found["document"]:
+        return reader(False).json(path)
+    if not found["lines"]:
+        return reader(True).json(path)
+    a, b = reader(False).json(found["lines"]), reader(True).json(found["document"])
+    kinds = dict(b.dtypes)
+    text = [c for c, kind in a.dtypes if kinds.get(c, kind) != kind]
+    as_text = lambda df: df.withColumns({c: F.col(f"`{c}`").cast("string") for c in text})
+    return as_text(a).unionByName(as_text(b), allowMissingColumns=True)
 
 
 def read_feature_collection(spark: SparkSession, path: str, schema: T.StructType | None = None,
                             multi_line: bool | None = None) -> DataFrame:
-    """Read GeoJSON FeatureCollection documents (one row per document).
-
-    A file holding one pretty-printed collection is read multi-line (one
-    task); a folder of one-collection-per-line files is read in parallel.
-    """
-    if multi_line is None:
-        multi_line = _spans_lines(path)
-    r = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
-
-
-def _spans_lines(path: str) -> bool:
-    """True when a local file's first JSON document continues past its first line."""
-    p = _first_local_file(path)
-    if p is None:
-        return False
-    with open(p, "rb") as fh:
-        for raw in fh:
-            line = raw.strip()
-            if line:
-                return not (line.startswith(b"{") and line.endswith(b"}"))
-    return False
+    """Read GeoJSON FeatureCollection documents (one row per document), each file by its own layout."""
+    return read_json(spark, path, schema, multi_line)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """Read header CSV as text (all columns string unless ``schema`` says otherwise).
 
-    Without a schema only the header line is read for the column names (no
-    type inference pass) and every column is typed as string.
+    Quotes inside quoted fields are doubled, and quoted fields may hold line
+    breaks (``multi_line=False`` says that none do, so that large files can be
+    split).  Every file is read by its own header: files of one folder may
+    order their columns differently.  Without a schema only the header lines
+    are read for the column names (no type inference pass).
     """
-    r = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    def reader():
+        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
+                .option("enforceSchema", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+    if schema is not None or columns is not None:
+        schema = schema or T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in data_files(spark, path):
+        header = next(csv.reader([first_line(spark, f).decode("utf-8-sig")]))
+        by_header.setdefault(tuple(header), []).append(f)
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    out = None
+    for header, files in sorted(by_header.items()):
+        own = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+        part = reader().schema(own).csv(files if len(by_header) > 1 else path)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if schema is None:
-        if columns is None:
-            columns = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return r.schema(schema).csv(path)
+        return out if out is not None else spark.createDataFrame([], "value string").limit(0)
+    if out is None:
+        return spark.createDataFrame([], schema)
+    return out.select(*(F.col(f"`{f.name}`") if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -124,15 +99,16 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             sampling_ratio: float = 1.0) -> DataFrame:
-    """Dispatch on the file extension: json / geojson / ndjson / csv / parquet / pq."""
+def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Dispatch on the file extension: json / geojson / ndjson / csv / parquet / pq (a folder without one is JSON)."""
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
-    fmt = FORMATS.get(ext)
+    fmt = FORMATS.get(ext) or ("json" if not ext and is_folder(spark, path) else None)
     if fmt is None:
         raise ValueError(f"unsupported input format {ext!r} for {path}; expected one of {sorted(FORMATS)}")
+    if not exists(spark, path):
+        raise ValueError(f"nothing found at {path}")
     if fmt == "json":
-        return read_json(spark, path, schema, sampling_ratio=sampling_ratio)
+        return read_json(spark, path, schema)
     if fmt == "csv":
         return read_csv(spark, path, schema)
     return read_parquet(spark, path)

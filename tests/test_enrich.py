@@ -26,7 +26,7 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     base = _stops(spark)
     sm = X.station_meta(spark, SF_SMALL)
     small = E.enrich_station(base, E.station_dimension(sm))
-    big = E.enrich_station(base, E.station_dimension(sm), max_broadcast_rows=0)  # size check fails -> shuffle join
+    big = E.enrich_station(base, E.station_dimension(sm), max_broadcast_bytes=0)  # size check fails -> shuffle join
     plan_small = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan_small
     cols = ["train_number", "stop_sequence", "state", "zone"]

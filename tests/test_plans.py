@@ -17,7 +17,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(Q.QUERIES))
 def test_no_pair_explosion_or_single_task_window(spark, key):
     text = plan(entry.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in text

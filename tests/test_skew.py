@@ -32,7 +32,7 @@ def test_shuffle_join_fallback_splits_the_hot_key(spark):
         trains = E.train_dimension(spark.range(0, 4000).select(F.col("id").cast("string").alias("number"),
                                                                F.lit("EXP").alias("type"))
                                    .unionByName(spark.createDataFrame([("HOT", "SLOW")], "number string, type string")))
-        joined = E.enrich_train(stops, trains, max_broadcast_rows=0)  # size check fails -> shuffle join
+        joined = E.enrich_train(stops, trains, max_broadcast_bytes=0)  # size check fails -> shuffle join
         got = joined.groupBy("train_type").count().orderBy("train_type").collect()
         probe = joined.select("train_number", "train_type", "payload")
         probe.collect()  # run this very DataFrame so its final adaptive plan is recorded

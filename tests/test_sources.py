@@ -22,7 +22,7 @@ def _write(path, text):
 def test_json_array_and_ndjson(spark, tmp_dir):
     arr = _write(os.path.join(tmp_dir, "stops_array.json"), json.dumps(STOPS, indent=2))
     nd = _write(os.path.join(tmp_dir, "stops.ndjson"), "\n".join(json.dumps(s) for s in STOPS))
-    assert R.is_json_array(arr) and not R.is_json_array(nd)
+    assert R.is_json_array(spark, arr) and not R.is_json_array(spark, nd)
     a = R.read_json(spark, arr, RAW_STOPS_JSON)
     b = R.read_json(spark, nd, RAW_STOPS_JSON)
     assert a.count() == b.count() == 10

@@ -1,0 +1,167 @@
+"""Every file of an input is read whole, wherever and however it is laid out; what can't be read fails."""
+
+import csv
+import gzip
+import json
+import os
+
+import pytest
+
+from stopflow.operators import enrich as E
+from stopflow.operators import quality as Q
+from stopflow.operators.joins import byte_size_at_most
+from stopflow.plans.jobs import analyse_job, clean_job, input_names, inspect_job
+from stopflow.schema import RAW_STOPS_JSON, STATIONS_GEOJSON
+from stopflow.sinks.publish import export_csv
+from stopflow.sources import files as R
+from stopflow.sources import paths as S
+
+
+def stops(first, n):
+    return [{"number": str(i), "trainName": "T", "station": f"S{i}", "station_name": f"N{i}", "arrival": "10:00", "departure": "10:05",
+             "day": 1, "id": i} for i in range(first, first + n)]
+
+
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+    return path
+
+
+LAYOUTS = {"array": lambda r: json.dumps(r), "pretty": lambda r: "\n  " + json.dumps(r, indent=2), "lines": lambda r: "\n\n" + "\n".join(map(json.dumps, r))}
+
+
+@pytest.mark.parametrize("order", [("array", "lines", "pretty"), ("lines", "array", "pretty"), ("pretty", "lines", "array")])
+@pytest.mark.parametrize("schema", [RAW_STOPS_JSON, None])
+def test_mixed_json_folder(spark, tmp_dir, order, schema):
+    folder = f"{tmp_dir}/feed"
+    for k, layout in enumerate(order):
+        put(f"{folder}/{k}.json", LAYOUTS[layout](stops(10 * k, 10)))
+    for path in (folder, f"file://{folder}"):
+        df = R.read_json(spark, path, schema)
+        assert sorted(int(r.number) for r in df.collect()) == list(range(30))
+    stats = clean_job(spark, folder, f"{tmp_dir}/out", raw_schema=schema)
+    assert stats == {"raw_rows": 30, "cleaned_rows": 30, "removed_missing": 0, "removed_duplicates": 0}
+
+
+def test_compressed_lines(spark, tmp_dir):
+    with gzip.open(f"{tmp_dir}/feed.json.gz", "wt") as fh:
+        fh.write(LAYOUTS["lines"](stops(0, 5)))
+    assert R.read_json(spark, f"{tmp_dir}/feed.json.gz").count() == 5
+
+
+def test_unreadable_record_fails(spark, tmp_dir):
+    bad = put(f"{tmp_dir}/feed.json", "\n".join(map(json.dumps, stops(0, 2))) + '\n{"number": "3", \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        R.read_json(spark, bad, RAW_STOPS_JSON).collect()
+
+
+@pytest.mark.parametrize("first", ["a", "z"])
+def test_mixed_feature_collections(spark, tmp_dir, first):
+    folder = f"{tmp_dir}/stations"
+    doc = lambda *codes: {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"code": c, "state": "s", "zone": "z"}} for c in codes]}
+    put(f"{folder}/{first}.json", json.dumps(doc("A", "B"), indent=1))
+    put(f"{folder}/m.json", json.dumps(doc("C")) + "\n" + json.dumps(doc("D")))
+    got = E.station_dimension_from_geojson(R.read_feature_collection(spark, folder, STATIONS_GEOJSON))
+    assert sorted(r._station_key for r in got.collect()) == ["A", "B", "C", "D"]
+
+
+def test_missing_paths(spark, tmp_dir):
+    feed = put(f"{tmp_dir}/feed.json", json.dumps(stops(0, 3)))
+    for kw in ({"stations_path": f"{tmp_dir}/none.json"}, {"trains_path": f"file://{tmp_dir}/none.json"}):
+        with pytest.raises(ValueError, match="not found"):
+            clean_job(spark, feed, f"{tmp_dir}/out", **kw)
+    with pytest.raises(ValueError, match="not found"):
+        inspect_job(spark, [feed, f"{tmp_dir}/none.json"])
+    with pytest.raises(ValueError, match="not found"):
+        analyse_job(spark, f"{tmp_dir}/none.parquet", tmp_dir)
+    assert S.exists(spark, f"file://{feed}") and S.is_folder(spark, tmp_dir) and not S.is_folder(spark, feed)
+
+
+def test_inspect_keeps_equal_names_apart(spark, tmp_dir):
+    a, b = put(f"{tmp_dir}/a/stops.ndjson", '{"x": 1}\n{"x": null}'), put(f"{tmp_dir}/b/stops.ndjson", '{"y": "None"}')
+    c = put(f"{tmp_dir}/stations.json", json.dumps({"type": "FeatureCollection", "features": [{"properties": {"code": "S"}}]}, indent=2))
+    assert input_names([a, b, c]) == {a: a, b: b, c: "stations.json"}
+    ins = inspect_job(spark, [a, b, c])
+    assert sorted(tuple(r) for r in ins.summary.collect()) == sorted([(a, 2, 1), (b, 1, 1), ("stations.json", 1, 2)])
+    assert {r.column_name: r.nulls for r in ins.nulls["stations.json"].collect()} == {"type": 0, "features": 0}
+
+
+ODD = [("1", 'say "hi", twice', "line\nbreak"), ("2", "", 'a "" b'), ("3", "plain", "x,y")]
+
+
+def test_csv_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame(ODD, "number string, name string, note string")
+    export_csv(df, f"{tmp_dir}/out.csv", single_file=True)
+    back = R.read_csv(spark, f"{tmp_dir}/out.csv")
+    want = sorted((a, b or None, c) for a, b, c in ODD)
+    assert sorted(tuple(r) for r in back.collect()) == want
+    part = next(f for f in os.listdir(f"{tmp_dir}/out.csv") if f.startswith("part-"))
+    with open(f"{tmp_dir}/out.csv/{part}", newline="", encoding="utf-8") as fh:
+        assert sorted((a, b or None, c) for a, b, c in list(csv.reader(fh))[1:]) == want
+
+
+def test_csv_headers_by_file(spark, tmp_dir):
+    put(f"{tmp_dir}/feed/a.csv", "number,station\n1,A\n")
+    put(f"{tmp_dir}/feed/b.csv", "station,number,day\nB,2,5\n")
+    got = R.read_csv(spark, f"{tmp_dir}/feed")
+    assert sorted((r.number, r.station, r.day or "") for r in got.collect()) == [("1", "A", ""), ("2", "B", "5")]
+    two = R.read_csv(spark, f"{tmp_dir}/feed", columns=["station", "number"])
+    assert two.columns == ["station", "number"] and sorted(map(tuple, two.collect())) == [("A", "1"), ("B", "2")]
+
+
+def test_empty_feed(spark, tmp_dir):
+    spark.createDataFrame([], RAW_STOPS_JSON).write.parquet(f"{tmp_dir}/feed.parquet")
+    stats = clean_job(spark, f"{tmp_dir}/feed.parquet", f"{tmp_dir}/out")
+    assert stats == dict.fromkeys(("raw_rows", "cleaned_rows", "removed_missing", "removed_duplicates"), 0)
+
+
+def test_analyse_without_station_codes(spark, tmp_dir):
+    rows = [{"train_no": str(t), "stationName": f"Stn{s}", "arr": f"{s:02d}:{t:02d}", "dep": f"{s:02d}:{t + 5:02d}"} for t in range(25) for s in range(4)]
+    feed = put(f"{tmp_dir}/feed.json", json.dumps(rows))
+    stats = clean_job(spark, feed, f"{tmp_dir}/out")
+    summary = analyse_job(spark, f"{tmp_dir}/out/stops.parquet", f"{tmp_dir}/out")
+    assert stats["cleaned_rows"] == summary["raw_rows"] == 100 and summary["distinct_stations"] == 4
+    got = spark.read.parquet(f"{tmp_dir}/out/stoppage_stats.parquet")
+    assert got.count() == 4 and "station_code" not in got.columns
+
+
+def test_raw_rows_fall_back(spark, tmp_dir):
+    feed = put(f"{tmp_dir}/feed.json", json.dumps(stops(0, 3)))
+    clean_job(spark, feed, f"{tmp_dir}/out")
+    stats = put(f"{tmp_dir}/stats.json", '{"cleaned_rows": 3}')
+    assert analyse_job(spark, f"{tmp_dir}/out/stops.parquet", f"{tmp_dir}/out", stats)["raw_rows"] == 3
+
+
+def ok(df):
+    return {r.check_name: r.ok for r in df.collect()}
+
+
+def test_checks_can_fail(spark):
+    hours = lambda hs: spark.createDataFrame([(h, 1) for h in hs], "hour int, arrivals long")
+    assert ok(Q.hour_domain_check(hours(range(24))))["hourly_traffic_24_hours"]
+    for bad in ([5] * 24, [*range(23), None], [*range(24), 24], [*range(24), 3], range(23), []):
+        assert not ok(Q.hour_domain_check(hours(bad)))["hourly_traffic_24_hours"]
+    doc = "raw_rows long, removed long"
+    for rows, good in (([(5, 0)], True), ([(None, 0)], False), ([(5, None)], False), ([], False), ([(5, 0)] * 2, False), ([(0, 0)], False), ([(5, -1)], False)):
+        assert ok(Q.metrics_check(spark.createDataFrame(rows, doc), ["raw_rows"], ["removed"], "m"))["m_values_valid"] == good
+    for rows, good in (([(1, 0)], True), ([(None, 0)], False), ([(1, None)], False), ([(1, -2)], False)):
+        found = ok(Q.positive_counts_check(spark.createDataFrame(rows, doc), "t", ["raw_rows"], ["removed"]))
+        assert all(found.values()) == good and found["t_non_empty"]
+    assert not ok(Q.positive_counts_check(spark.createDataFrame([], doc), "t", ["raw_rows"]))["t_non_empty"]
+    assert not ok(Q.required_columns_check(spark.range(1), "stops"))["stops_required_columns"]
+    st = spark.createDataFrame([("1", "S", "N", "08:00", 2)], "train_number string, station_code string, station_name string, arrival string, stop_duration_mins int")
+    found = ok(Q.stops_checks(st, "N", "2"))
+    assert found["station_lookup_returns_rows"] and not found["train_lookup_returns_rows"]
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    wide = spark.range(10).selectExpr("repeat('x', 2000) as a", "id")
+    assert byte_size_at_most(wide, 30_000) and not byte_size_at_most(wide, 20_000)
+    assert byte_size_at_most(spark.range(0), 0)
+    facts = spark.range(100).selectExpr("cast(id % 10 as string) as station_code")
+    dim = wide.selectExpr("cast(id as string) as _station_key", "a as state", "'z' as zone")
+    far = E.enrich_station(facts, dim, max_broadcast_bytes=20_000)
+    assert far.count() == 100 and far.filter("state is null").count() == 0
