@@ -8,7 +8,7 @@ are broadcast when their size is proven small (see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
@@ -55,6 +55,12 @@ def train_dimension_from_geojson(fc: DataFrame) -> DataFrame:
     return dim_dedup(flat, "number").withColumnRenamed("number", "_train_key")
 
 
+def _matches(stops: DataFrame, key: str, dim_key: str) -> Column:
+    """``key`` = ``dim_key``; in a shuffle join rows without a key are spread by a hash of the row, as they match nothing anyway."""
+    spread = F.concat(F.lit("\0"), (F.xxhash64(*stops.columns) % 1024).cast("string"))
+    return (F.coalesce(F.col(key), spread) == F.col(dim_key)) & F.col(key).isNotNull()
+
+
 def enrich_station(stops: DataFrame, stations: DataFrame,
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join state and zone on station_code = station key.
@@ -65,7 +71,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
     """
     if "station_code" not in stops.columns:
         return stops
-    joined = join_dimension(stops, stations, F.col("station_code") == F.col("_station_key"), "left",
+    joined = join_dimension(stops, stations, _matches(stops, "station_code", "_station_key"), "left",
                             max_broadcast_bytes, bound_by)
     return joined.drop("_station_key")
 
@@ -73,7 +79,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
 def enrich_train(stops: DataFrame, trains: DataFrame,
                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join train_type on train_number = train key (fact side untrimmed)."""
-    joined = join_dimension(stops, trains, F.col("train_number") == F.col("_train_key"), "left",
+    joined = join_dimension(stops, trains, _matches(stops, "train_number", "_train_key"), "left",
                             max_broadcast_bytes, bound_by)
     return joined.drop("_train_key")
 

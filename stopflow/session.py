@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # per-station sketches and per-train sets stay in hash maps up to this many
+    # groups a task instead of falling back to a sort at 128
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
