@@ -282,3 +282,20 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: fl
     out = rows.select("vec_id", "k").join(named, F.col("k") == F.col("of"), "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("smallest", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+# All pairs: what the index finds when it misses none.
+EMBEDDING_SQL = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM valid a JOIN valid b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+reached(vec_id, top) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.v FROM reached r JOIN links l ON r.top = l.u)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, r.component_id, v.vec_id = r.component_id AS kept
+FROM embeddings v LEFT JOIN counts c ON v.vec_id = c.u
+JOIN (SELECT vec_id, min(top) AS component_id FROM reached GROUP BY vec_id) r ON v.vec_id = r.vec_id
+"""

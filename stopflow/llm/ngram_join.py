@@ -291,3 +291,21 @@ def keep_one(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5)) -
     same = own == F.col("m.doc_id")
     once = out.alias("d").join(few(many).alias("m"), same, "left_semi").dropDuplicates(["doc_id"])
     return out.alias("d").join(few(many).alias("m"), same, "left_anti").unionByName(once)
+
+
+NGRAM_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                                 ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared JOIN sizes x ON u = x.doc_id JOIN sizes y ON v = y.doc_id WHERE 100 * i >= 85 * (x.n + y.n - i)),
+both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reached(doc_id, top) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.v FROM reached r JOIN both_ways e ON r.top = e.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes n ON d.doc_id = n.doc_id
+JOIN (SELECT doc_id, min(top) AS component_id FROM reached GROUP BY doc_id) c ON d.doc_id = c.doc_id
+"""

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from stopflow.session import scratch_path
 
 from .common import table
-from .embed_dedup import embedding_duplicates
+from .embed_dedup import EMBEDDING_SQL, embedding_duplicates
 from .fingerprint import edited_fingerprints
 from .line_dedup import LINE_DEDUP_SQL, dedup_lines
 from .mixing import MIX_SQL, mix_sources
-from .ngram_join import ngram_components
+from .ngram_join import NGRAM_SQL, ngram_components
 from .orc_ids import id_digests, write_ids
 from .packing import pack_documents
 from .quality import classify
@@ -65,4 +65,7 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op6_quality_classifier, op7_secret_scan, op8_token_counts,
                                    op9_best_fit_packing, op10_token_id_output)}
-ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op4_source_mix": MIX_SQL}
+# Tokenizers, hashes of Spark's own and the language model have no SQL form:
+# those queries are compared with brute force in the tests.
+ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_embedding_dedup": EMBEDDING_SQL, "op4_source_mix": MIX_SQL,
+                          "op5_ngram_join": NGRAM_SQL}

@@ -22,7 +22,8 @@ def test_oracle(spark, name):
     got = QUERIES[name](spark, SMALL)
     cols = sorted(got.columns)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.execute(ORACLE[name])
     names = [d[0] for d in want.description]
     assert sorted(names) == cols
