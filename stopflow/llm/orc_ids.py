@@ -28,7 +28,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaced: b
 
     Every text, whole, becomes its ids and ``end_id``; a null text counts as
     empty.  Rows lie in ascending ``doc_id`` (null first; rows that share an
-    id by text) over the files and within them.  One shuffle: the texts are
+    id by a hash of the text, so many can be split) over the files and within.  One shuffle: the texts are
     dealt by ranges of ``doc_id`` before they are encoded, so that finding
     the ranges doesn't encode anything, and each task streams its range into
     its file.  ``part`` numbers the files in order and ``rel_start`` counts
@@ -55,7 +55,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaced: b
 
     n = partitions or shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    (rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    place = ("doc_id", F.xxhash64("text"))
+    (rows.repartitionByRange(n, *place).sortWithinPartitions(*place, "text")
      .mapInArrow(encoded, _FILE)
      .write.mode("overwrite").option("compression", "zstd")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
