@@ -72,14 +72,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     keyed = carried(docs.select(*(f"`{c}`" for c in names if c != "n_chars")), "doc_id", "text")
     keyed = keyed.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_x": F.xxhash64("text")})
-    place = (F.col("_id").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("c.start")).cast("decimal(38,0)")
+    # made where needed only: fixed-size buffers for hash aggregation, but wide to store and shuffle
+    place = (F.col("_id").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("start")).cast("decimal(38,0)")
     spread = (keyed.select("_id", "_x", F.explode(let(split_lines(F.col("text")), _chunks)).alias("c"))
-              .select("_id", "_x", "c.*", place.alias("place")))
+              .select("_id", "_x", "c.*"))
     spread = materialize(spread, "chunks")
-    firsts = materialize(spread.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-                         .filter("first < last").select(F.col("h").alias("of"), "first"), "repeated")
+    firsts = materialize(spread.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("times"))
+                         .filter("times > 1").select(F.col("h").alias("of"), "first"), "repeated")
     repeated = materialize(spread.join(firsts, F.col("h") == F.col("of"))
-                           .select("_id", "_x", "h", "start", "n", (F.col("place") > F.col("first")).alias("later")), "places")
+                           .select("_id", "_x", "h", "start", "n", (place > F.col("first")).alias("later")), "places")
     texts = keyed
 
     wanted = repeated.groupBy(F.col("_id").alias("w_id"), F.col("_x").alias("w_x")).agg(
