@@ -54,6 +54,20 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return int(docs.agg(F.sum(F.octet_length(column))).first()[0] or 0)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, whose shuffle files go as soon as the table is written, not when garbage is collected."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def range_bounds(df: DataFrame, key: str, n: int) -> list:
     """At most ``n - 1`` ascending cut points that split ``key`` evenly."""
     if n < 2:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from stopflow.session import materialize
 
+from .common import landed
+
 
 # The model is over characters (UTF-16 code units): four units fill a 64-bit
 # key, earliest first, and START stands before a text.
@@ -143,12 +145,14 @@ def kneser_ney(counts: DataFrame, few: bool) -> list[tuple[DataFrame, DataFrame]
     lower order.  Lower orders count the distinct units before a gram.  Three
     discounts per language and order come from the numbers of grams that occur
     once to four times; where these are missing, 0.5, 1 and 1.5 stand in.
+    Each table is written before the next is made from it, so plans stay small.
     """
     levels = [counts]
     for k in range(ORDER - 1, 0, -1):
-        levels.append(levels[-1].select("lang", _low("g", k).alias("g")).groupBy("lang", "g").agg(F.count("*").alias("a")))
+        lower = levels[-1].select("lang", _low("g", k).alias("g")).groupBy("lang", "g").agg(F.count("*").alias("a"))
+        levels.append(landed(lower, f"counts-{k}"))
     tables = []
-    for a in reversed(levels):
+    for k, a in enumerate(reversed(levels), 1):
         n = [F.count(F.when(F.col("a") == i, 1)) for i in range(1, 5)]
         of = a.groupBy("lang").agg(*(x.alias(f"n{i + 1}") for i, x in enumerate(n)))
         y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
@@ -158,11 +162,12 @@ def kneser_ney(counts: DataFrame, few: bool) -> list[tuple[DataFrame, DataFrame]
         of = of.select(F.col("lang").alias("dl"), *each)
         a = a.join(_by_language(of, few), F.col("lang").eqNullSafe(F.col("dl"))).drop("dl")
         a = a.withColumns({"context": F.shiftrightunsigned("g", 16), "d": _discount(F.col("a"))})
-        sums = a.groupBy("lang", "context").agg(F.sum("a").alias("all"), (F.sum("d") / F.sum("a")).alias("rest"))
+        a = landed(a, f"discounts-{k}")
+        sums = landed(a.groupBy("lang", "context").agg(F.sum("a").alias("all"), (F.sum("d") / F.sum("a")).alias("rest")), f"contexts-{k}")
         own = (a.join(sums.select(F.col("lang").alias("sl"), F.col("context").alias("sc"), "all"),
                       F.col("lang").eqNullSafe(F.col("sl")) & (F.col("context") == F.col("sc")))
                .select("lang", "g", (F.greatest(F.col("a") - F.col("d"), F.lit(0.0)) / F.col("all")).alias("own")))
-        tables.append((own, sums.select("lang", "context", "rest")))
+        tables.append((landed(own, f"grams-{k}"), sums.select("lang", "context", "rest")))
     return tables
 
 
@@ -188,7 +193,7 @@ def log_probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame
             at = at.join(lower.select(F.col("lang").alias("pl"), F.col("g").alias("pg"), F.col("p").alias("pp")),
                          F.col("lang").eqNullSafe(F.col("pl")) & (_low("g", k - 1) == F.col("pg")))
             below = F.col("pp")
-        lower = at.select("lang", "g", (F.coalesce("own", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * below).alias("p"))
+        lower = landed(at.select("lang", "g", (F.coalesce("own", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * below).alias("p")), f"probabilities-{k}")
     return lower.select("lang", "g", F.log("p").alias("logp"))
 
 
@@ -204,9 +209,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, block_bytes: int = 32 << 2
     of doc_id, as compressed batches.  A block counts its grams and those of
     its trusted texts; the counts are joined, sharded by (language, gram),
     into the model and with the grams that the blocks hold, and each block
-    gets the log probabilities of its own grams back.  So texts are shuffled
-    once (both uses share the exchange) and never meet the whole model; what
-    moves is each block's distinct grams, which grow with the input.
+    gets the log probabilities of its own grams back.  So texts never meet
+    the whole model; what moves is each block's distinct grams, which grow
+    with the input, and twice the compressed texts, to count and to score.
+    Counts and probabilities are written, so the second pass starts from them
+    and the first one's shuffle files are gone by then.
     """
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.approx_count_distinct("lang").alias("langs")).first()
     blocks, few = max(32, -(-(size.bytes or 0) // block_bytes)), size.langs < MOST_LANGUAGES
@@ -216,9 +223,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame, block_bytes: int = 32 << 2
     key = F.when(F.col("doc_id").isNull(), F.col("x")).otherwise(F.xxhash64("doc_id"))
     blobs = rows.select(block(key), "doc_id", "x", "lang", "text").mapInArrow(_packed, "block int, payload binary")
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
-    held = (blobs.groupBy("block").cogroup(ids.select(block(F.xxhash64("doc_id")), "doc_id").groupBy("block"))
-            .applyInArrow(_counted, _GRAM).repartition("lang", "g"))
-    totals = held.groupBy("lang", "g").agg(F.sum("n").alias("a"))
+    held = landed(blobs.groupBy("block").cogroup(ids.select(block(F.xxhash64("doc_id")), "doc_id").groupBy("block"))
+                  .applyInArrow(_counted, _GRAM), "grams")
+    totals = landed(held.groupBy("lang", "g").agg(F.sum("n").alias("a")), "counts")
     logp = log_probabilities(totals.select("lang", "g"), kneser_ney(totals.filter("a > 0"), few), few)
     answers = (held.join(logp.select(F.col("lang").alias("al"), F.col("g").alias("ag"), "logp"), (F.col("lang") == F.col("al")) & (F.col("g") == F.col("ag")))
                .select("block", "lang", "g", "logp"))
@@ -251,7 +258,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack:
     """
     trusted = trusted_ids(labels)
     half = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(2))
-    scores = materialize(perplexities(docs, trusted.filter(half == 0)), "perplexities")
+    scores = landed(perplexities(docs, trusted.filter(half == 0)), "perplexities")
     ids = trusted.filter(half == 1).select(F.col("doc_id").cast("long").alias("t")).distinct()
     good = materialize(scores.filter("units > 0").join(ids, F.col("doc_id") == F.col("t"), "left_semi").select("lang", "units", "nll"), "unseen")
     few = scores.agg(F.approx_count_distinct("lang").alias("n")).first().n < MOST_LANGUAGES
