@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopflow.session import materialize
-
-from .common import carried, let, restored
+from .common import carried, landed, let, restored
 
 # Two independent chunkings: the factors of a rolling hash over a line's hash
 # and the one before it.  A chunk ends where that hash, modulo a prime, is
@@ -65,9 +63,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     each repeated hash; a chunk in a third of all texts is one row per map
     task.  (2) The places of repeated chunks are joined by hash (written
     tables, so AQE can split hot hashes) and grouped by document.  (3) Texts
-    are shuffled once by document; the bytes of the chunks are compared, and a
-    hash that stands for different bytes removes nothing; the same exchange
-    then gives the result.
+    are shuffled by document to compare the bytes of the chunks: a hash that
+    stands for different bytes removes nothing.  (4) Whole rows are shuffled
+    by document for the result; each step's shuffle files go before the next.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     keyed = carried(docs.select(*(f"`{c}`" for c in names if c != "n_chars")), "doc_id", "text")
@@ -76,10 +74,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     place = (F.col("_id").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("start")).cast("decimal(38,0)")
     spread = (keyed.select("_id", "_x", F.explode(let(split_lines(F.col("text")), _chunks)).alias("c"))
               .select("_id", "_x", "c.*"))
-    spread = materialize(spread, "chunks")
-    firsts = materialize(spread.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("times"))
+    spread = landed(spread, "chunks")
+    firsts = landed(spread.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("times"))
                          .filter("times > 1").select(F.col("h").alias("of"), "first"), "repeated")
-    repeated = materialize(spread.join(firsts, F.col("h") == F.col("of"))
+    repeated = landed(spread.join(firsts, F.col("h") == F.col("of"))
                            .select("_id", "_x", "h", "start", "n", (place > F.col("first")).alias("later")), "places")
     texts = keyed
 
@@ -90,6 +88,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     unequal = (texts.join(wanted, (F.col("_id") == F.col("w_id")) & (F.col("_x") == F.col("w_x")))
                .select(F.explode(bytes_of).alias("c")).select("c.h", "c.b").distinct()
                .groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
+    unequal = landed(unequal, "unequal")
     gone = (repeated.filter("later").join(unequal, "h", "left_anti")
             .groupBy(F.col("_id").alias("w_id"), F.col("_x").alias("w_x")).agg(F.collect_set(F.struct("start", "n")).alias("cs")))
     joined = texts.join(gone, (F.col("_id") == F.col("w_id")) & (F.col("_x") == F.col("w_x")), "left")
