@@ -42,7 +42,13 @@ def _chunks(lines: Column) -> Column:
     return let(hashed, lambda h: F.when(F.size(h) > 0, of(h)))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def _pairs(lines: Column) -> Column:
+    """array<struct<h, start, n>> of every two neighbouring lines."""
+    return F.when(F.size(lines) > 1, F.transform(F.sequence(F.lit(0), F.size(lines) - 2), lambda i: F.struct(
+        F.xxhash64(F.slice(lines, i + 1, F.lit(2))).alias("h"), i.alias("start"), F.lit(2).alias("n"))))
+
+
+def dedup_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` with repeated chunks removed from ``text``; adds n_lines and n_removed.
 
     Lines (see ``split_lines``) are hashed, and a rolling hash over each line
@@ -53,6 +59,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     goes if it lies in a removed chunk of either.  A removed line always has
     an equal one at an earlier place, so no content is lost.
 
+    Only a passage's inner chunks go that way, few or none of a short one's.
+    ``whole`` takes every two neighbouring lines as a chunk instead, so that a
+    repeated passage of two or more lines goes wholly, whatever stands beside
+    it.  Two places of a chunk that share a line don't repeat each other.
+
     A null text stays null; a text may become empty, its row stays.  Rows of
     equal doc_id and text count as one document and are treated alike; rows
     that share a doc_id but not the text keep a chunk that both hold at the
@@ -72,13 +83,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     keyed = keyed.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_x": F.xxhash64("text")})
     # made where needed only: fixed-size buffers for hash aggregation, but wide to store and shuffle
     place = (F.col("_id").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("start")).cast("decimal(38,0)")
-    spread = (keyed.select("_id", "_x", F.explode(let(split_lines(F.col("text")), _chunks)).alias("c"))
+    spread = (keyed.select("_id", "_x", F.explode(let(split_lines(F.col("text")), _pairs if whole else _chunks)).alias("c"))
               .select("_id", "_x", "c.*"))
     spread = landed(spread, "chunks")
+    later = place >= F.col("first") + F.col("n") if whole else place > F.col("first")
     firsts = landed(spread.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("times"))
                          .filter("times > 1").select(F.col("h").alias("of"), "first"), "repeated")
     repeated = landed(spread.join(firsts, F.col("h") == F.col("of"))
-                           .select("_id", "_x", "h", "start", "n", (place > F.col("first")).alias("later")), "places")
+                           .select("_id", "_x", "h", "start", "n", later.alias("later")), "places")
     texts = keyed
 
     wanted = repeated.groupBy(F.col("_id").alias("w_id"), F.col("_x").alias("w_x")).agg(
@@ -129,3 +141,18 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
        coalesce(len(c.ls), 0)::INT AS n_lines, (coalesce(len(c.ls), 0) - coalesce(k.n, 0))::INT AS n_removed
 FROM documents d LEFT JOIN cut c ON d.doc_id = c.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+# Two neighbouring lines go where they stand at an earlier place too, not over a line of their first place.
+PASSAGE_DEDUP_SQL = f"""
+WITH cut AS (
+  SELECT doc_id, list_filter(string_split(regexp_replace(text, '(\\n|[.!?] )', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM cut),
+pairs AS (SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS after, doc_id::HUGEINT * {2**31} + i AS place FROM lines),
+ranked AS (SELECT doc_id, i, place, min(place) OVER (PARTITION BY line, after) AS first FROM pairs WHERE after IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM ranked WHERE place >= first + 2),
+kept AS (SELECT l.doc_id, string_agg(l.line, '' ORDER BY l.i) AS text, count(*) AS n FROM lines l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, d.lang, d.source,
+       length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END)::BIGINT AS n_chars,
+       coalesce(len(c.ls), 0)::INT AS n_lines, (coalesce(len(c.ls), 0) - coalesce(k.n, 0))::INT AS n_removed
+FROM documents d LEFT JOIN cut c ON d.doc_id = c.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

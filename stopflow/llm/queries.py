@@ -10,7 +10,7 @@ from stopflow.session import scratch_path
 from .common import table
 from .embed_dedup import EMBEDDING_SQL, embedding_duplicates
 from .fingerprint import edited_fingerprints
-from .line_dedup import LINE_DEDUP_SQL, dedup_lines
+from .line_dedup import LINE_DEDUP_SQL, PASSAGE_DEDUP_SQL, dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .ngram_join import NGRAM_SQL, ngram_components
 from .orc_ids import id_digests, write_ids
@@ -24,6 +24,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"), whole=True)
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -64,8 +68,8 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op6_quality_classifier, op7_secret_scan, op8_token_counts,
-                                   op9_best_fit_packing, op10_token_id_output)}
+                                   op9_best_fit_packing, op10_token_id_output, op1_passage_dedup)}
 # Tokenizers, hashes of Spark's own and the language model have no SQL form:
 # those queries are compared with brute force in the tests.
 ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_embedding_dedup": EMBEDDING_SQL, "op4_source_mix": MIX_SQL,
-                          "op5_ngram_join": NGRAM_SQL}
+                          "op5_ngram_join": NGRAM_SQL, "op1_passage_dedup": PASSAGE_DEDUP_SQL}

@@ -1,6 +1,7 @@
 """Line dedup, fingerprints, mixing and secrets against brute force."""
 
 import hashlib
+import math
 import re
 import statistics
 
@@ -91,6 +92,48 @@ def test_hash_collision_removes_nothing(spark, monkeypatch):
     assert all(r.n_removed == 0 for r in got)
 
 
+def brute_whole(rows):
+    """Texts without repeated passages of two or more lines, by (doc_id, text) in the order of rows."""
+    number = lambda i: 2**63 - 1 if i is None else i
+    first = {}
+    for i, t in rows:
+        ls = lines_of(t or "")
+        for s in range(len(ls) - 1):
+            first[ls[s], ls[s + 1]] = min(first.get((ls[s], ls[s + 1]), math.inf), number(i) * 2**31 + s)
+    out = []
+    for i, t in rows:
+        ls = lines_of(t or "")
+        gone = {k for s in range(len(ls) - 1) if number(i) * 2**31 + s >= first[ls[s], ls[s + 1]] + 2 for k in (s, s + 1)}
+        out.append(None if t is None else "".join(x for k, x in enumerate(ls) if k not in gone))
+    return out
+
+
+def test_whole_passages_edges(clashing, none):
+    rows = edge_rows()
+    want = brute_whole([(r[0], r[1]) for r in rows])
+    got = ld.dedup_lines(clashing, whole=True).collect()
+    assert sorted((str(r[0]), str(t)) for r, t in zip(rows, want, strict=True)) == sorted((str(r.doc_id), str(r.text)) for r in got)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) and r.c == "theirs" for r in got)
+    assert ld.dedup_lines(none, whole=True).collect() == []
+
+
+def test_whole_passages(spark):
+    """Passages of 2 to 10 lines go wholly from their copies, whatever stands beside them; nothing else goes."""
+    docs, want = [], {}
+    for n in (2, 3, 4, 5, 10):
+        passage = "".join(f"Line {k} of the passage of {n} lines.\n" for k in range(n))
+        for copy in range(8):
+            i = len(docs)
+            before = "".join(f"Before {i} {k}.\n" for k in range(copy % 4))
+            after = "".join(f"After {i} {k}.\n" for k in range(copy // 4))
+            docs.append((i, before + passage + after, "en", "s", 1))
+            want[i] = before + (passage if copy == 0 else "") + after
+    docs.append((len(docs), "Again and again. " * 5, "en", "s", 1))
+    want[len(docs) - 1] = "Again and again. " * 2
+    got = {r.doc_id: r.text for r in ld.dedup_lines(spark.createDataFrame(docs, SCHEMA), whole=True).collect()}
+    assert got == want
+
+
 def shingles(text):
     w = (text or "").lower().split()
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
