@@ -19,6 +19,8 @@ from .common import connected_components
 # calibrated with, cells a vector visits at least and at most, vectors on
 # either side of a block.
 FIT_SAMPLE, QUERIES, LEAST_CELLS, MOST_CELLS, BLOCK = 20_000, 2048, 4, 1024, 1024
+# Below so many queries with links, planted partners count too.
+ENOUGH = 300
 
 _CODED = "k long, label long, home int, probes array<int>, vec binary, size long"
 
@@ -96,13 +98,45 @@ def _unit(raw: list[bytes] | pd.Series, kind: str) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _ranks(index: MultiIndex, x: np.ndarray, cells: np.ndarray, most: int) -> np.ndarray:
+    """The rank of one cell in each vector's order; ``most`` if it isn't among the first ``most``."""
+    out = np.full(len(x), most)
+    for s in range(0, len(x), 128):
+        here = index.traverse(x[s:s + 128], most, prune=False)[0] == cells[s:s + 128, None]
+        out[s:s + 128] = np.where(here.any(1), here.argmax(1), most)
+    return out
+
+
+def _planted(index: MultiIndex, q: np.ndarray, most: int) -> dict[str, np.ndarray]:
+    """Shares of planted links reached by visiting 1, 2, ... ``most`` cells from either side.
+
+    Every query gets partners at the threshold cosine, the farthest that
+    links: one in a random direction and one towards another query, as real
+    vectors don't differ in all directions alike.
+    """
+    rng = np.random.default_rng(5)
+    out = {}
+    for name, other in (("random", rng.normal(size=q.shape)), ("towards others", q[rng.permutation(len(q))])):
+        away = other - (other * q).sum(1, keepdims=True) * q
+        length = np.sqrt((away * away).sum(1))
+        some = length > 1e-6
+        if some.any():
+            x = q[some]
+            partner = index.threshold * x + math.sqrt(max(0, 1 - index.threshold ** 2)) * away[some] / length[some, None]
+            rank = np.minimum(_ranks(index, x, index.home(partner), most), _ranks(index, partner, index.home(x), most))
+            out[name] = np.bincount(rank, minlength=most + 1)[:most].cumsum() / len(x)
+    return out
+
+
 def _calibrated(vectors: DataFrame, index: MultiIndex, queries: list, recall: float, kind: str) -> int:
     """How many cells to visit for ``recall``: a fixed set of queries is compared with all vectors.
 
     Each task returns how many true links of a query lie in the cell of each
-    rank, at most QUERIES times MOST_CELLS + 1 numbers; ``recall`` is to be
-    the mean over the queries that have links, so one large group counts no
-    more than a pair.
+    rank, at most QUERIES times MOST_CELLS + 1 numbers.  ``recall`` is to be
+    the mean over the queries that have links, where one large group counts no
+    more than a pair, and the share of all their links, where it does.  If
+    fewer than ENOUGH queries have links, it is also to be the share of
+    planted ones (see ``_planted``), so it never rests on a handful.
     """
     q = _unit([r.vec for r in queries], kind)
     own, labels = np.array([r.k for r in queries]), np.array([r.label for r in queries])
@@ -134,10 +168,17 @@ def _calibrated(vectors: DataFrame, index: MultiIndex, queries: list, recall: fl
     for r in found:
         table[r["at"] // (most + 1), r["at"] % (most + 1)] = r.n
     table = table[table.sum(1) > 0]
-    if not len(table):
-        return min(LEAST_CELLS, most)
-    reached = (table.cumsum(1) / table.sum(1, keepdims=True)).mean(0)
-    return int(np.clip(np.argmax(reached >= recall) + 1, min(LEAST_CELLS, most), most))
+    shares = {}
+    if len(table):
+        shares["queries"] = (table.cumsum(1) / table.sum(1, keepdims=True)).mean(0)[:most]
+        shares["links"] = (table.sum(0).cumsum() / table.sum())[:most]
+    if len(table) < ENOUGH:
+        shares |= _planted(index, q, most)
+    least = min(LEAST_CELLS, most)
+    if not shares:
+        return least
+    enough = np.min(list(shares.values()), 0) >= recall - 1e-9
+    return max(least, int(np.argmax(enough)) + 1) if enough.any() else most
 
 
 def _coded(index: MultiIndex | None, kind: str):
@@ -214,7 +255,8 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: fl
        their size gives cells of about ``cell_size`` vectors per label.
     3. QUERIES vectors are compared with all vectors; from the ranks of the
        cells that hold their links follows how many cells, nearest first,
-       must be visited for ``recall``.  All rows are indexed.
+       must be visited for ``recall``; planted links count too where few
+       queries have any.  All rows are indexed.
     4. Every vector visits its nearest cells, but those that provably hold no
        link.  Visitors and inhabitants of a cell meet in blocks of about BLOCK
        by BLOCK vectors, whatever the cell's size, and pairs are verified by
@@ -253,7 +295,8 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: fl
         x = _unit([r.vec for r in sample], kind)
         size = max(4, min(4096, math.ceil(math.sqrt(shape.n / max(1, shape.labels) / cell_size))))
         half = x.shape[1] // 2
-        index = MultiIndex(_codebook(x[:, :half], size, 1), _codebook(x[:, half:], size, 2), threshold)
+        fit = x[QUERIES:] if len(x) >= 4 * QUERIES else x  # codewords that were fitted to the queries would lie too near to them
+        index = MultiIndex(_codebook(fit[:, :half], size, 1), _codebook(fit[:, half:], size, 2), threshold)
         index.visits = _calibrated(groups, index, sample[:QUERIES], recall, kind)
 
     coded = materialize(groups.select("k", "label", "vec", "size").mapInArrow(_coded(index, kind), _CODED), "coded")

@@ -150,6 +150,48 @@ def test_embedding_recall_and_hot_cells(spark, monkeypatch):
     assert check_vectors(got, ids, labels, vecs, exact=False) >= 0.97
 
 
+def rare_links(n, pairs, dim, cosine, seed=11):
+    """Random unit vectors of which only the last ``pairs`` and the first as many link, each to one."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=(pairs, dim))
+    away -= (away * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    return np.concatenate([x, cosine * x[:pairs] + math.sqrt(1 - cosine ** 2) * away])
+
+
+def found_share(spark, vecs, **more):
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(vecs)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in ed.embedding_duplicates(df, **more).collect()}
+    return check_vectors(got, np.arange(len(vecs)), np.ones(len(vecs)), vecs, exact=False)
+
+
+@pytest.fixture
+def strange_codebooks(monkeypatch):
+    """Codebooks as of a large table: not fitted to the few vectors of the test."""
+    real, others = ed._codebook, rare_links(8000, 0, 64, 0.935, seed=4)
+    monkeypatch.setattr(ed, "_codebook", lambda x, size, seed: real(others[:, :32] if seed == 1 else others[:, 32:], size, seed, 3))
+
+
+def test_embedding_rare_links(spark, monkeypatch, strange_codebooks):
+    """None or a handful of the queries has a link, on a grid of 129 by 129."""
+    monkeypatch.setattr(ed, "QUERIES", 20)
+    assert found_share(spark, rare_links(600, 60, 64, 0.935), cell_size=0.04) >= 0.97
+
+
+def test_planted_calibration():
+    """On a grid of 256 by 256, what planted partners ask for finds other links too; the least cells don't."""
+    x = rare_links(12_000, 500, 64, 0.94)
+    index = ed.MultiIndex(ed._codebook(x[2000:12_000, :32], 256, 1, 5), ed._codebook(x[2000:12_000, 32:], 256, 2, 5), 0.93)
+    shares = ed._planted(index, x[1000:1500], 1024)
+    visits = int(np.argmax(np.min(list(shares.values()), 0) >= 0.99)) + 1
+    a, b = x[:500], x[12_000:]
+    rank = np.minimum(ed._ranks(index, a, index.home(b), 1024), ed._ranks(index, b, index.home(a), 1024))
+    assert (rank < visits).mean() >= 0.97 and (rank < ed.LEAST_CELLS).mean() < 0.9 and visits < 1024
+
+
 def test_embedding_edges(spark):
     nan, inf = math.nan, math.inf
     rows = [(1, [1.0, 0.0, 0.0, 1.0], 1), (2, [2.0, 0.0, 0.0, 2.0], 1), (3, [1.0, 0.0, 0.0, 1.0], 2), (4, [1.0, 0.0, 0.0, 1.0], None),
