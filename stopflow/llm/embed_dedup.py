@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -22,6 +23,8 @@ FIT_SAMPLE, QUERIES, LEAST_CELLS, MOST_CELLS, BLOCK = 20_000, 2048, 4, 1024, 102
 # Below so many queries with links, planted partners count too.
 ENOUGH = 300
 
+log = logging.getLogger(__name__)
+
 _CODED = "k long, label long, home int, probes array<int>, vec binary, size long"
 
 
@@ -128,8 +131,8 @@ def _planted(index: MultiIndex, q: np.ndarray, most: int) -> dict[str, np.ndarra
     return out
 
 
-def _calibrated(vectors: DataFrame, index: MultiIndex, queries: list, recall: float, kind: str) -> int:
-    """How many cells to visit for ``recall``: a fixed set of queries is compared with all vectors.
+def _calibrated(vectors: DataFrame, index: MultiIndex, queries: list, recall: float, kind: str) -> tuple[int, dict[str, float]]:
+    """How many cells to visit for ``recall``, and what is reached: a fixed set of queries is compared with all vectors.
 
     Each task returns how many true links of a query lie in the cell of each
     rank, at most QUERIES times MOST_CELLS + 1 numbers.  ``recall`` is to be
@@ -176,9 +179,12 @@ def _calibrated(vectors: DataFrame, index: MultiIndex, queries: list, recall: fl
         shares |= _planted(index, q, most)
     least = min(LEAST_CELLS, most)
     if not shares:
-        return least
+        return least, {}
     enough = np.min(list(shares.values()), 0) >= recall - 1e-9
-    return max(least, int(np.argmax(enough)) + 1) if enough.any() else most
+    visits = max(least, int(np.argmax(enough)) + 1) if enough.any() else most
+    reached = {name: float(share[visits - 1]) for name, share in shares.items()}
+    log.info("%d of %d cells, %d of %d queries with links, reached: %s", visits, width, len(table), len(q), reached)
+    return visits, reached
 
 
 def _coded(index: MultiIndex | None, kind: str):
@@ -256,7 +262,9 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: fl
     3. QUERIES vectors are compared with all vectors; from the ranks of the
        cells that hold their links follows how many cells, nearest first,
        must be visited for ``recall``; planted links count too where few
-       queries have any.  All rows are indexed.
+       queries have any.  If MOST_CELLS don't reach it, smaller codebooks make
+       larger cells, until MOST_CELLS are all; the reached recall is logged.
+       All rows are indexed.
     4. Every vector visits its nearest cells, but those that provably hold no
        link.  Visitors and inhabitants of a cell meet in blocks of about BLOCK
        by BLOCK vectors, whatever the cell's size, and pairs are verified by
@@ -296,8 +304,13 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: fl
         size = max(4, min(4096, math.ceil(math.sqrt(shape.n / max(1, shape.labels) / cell_size))))
         half = x.shape[1] // 2
         fit = x[QUERIES:] if len(x) >= 4 * QUERIES else x  # codewords that were fitted to the queries would lie too near to them
-        index = MultiIndex(_codebook(fit[:, :half], size, 1), _codebook(fit[:, half:], size, 2), threshold)
-        index.visits = _calibrated(groups, index, sample[:QUERIES], recall, kind)
+        while True:
+            index = MultiIndex(_codebook(fit[:, :half], size, 1), _codebook(fit[:, half:], size, 2), threshold)
+            index.visits, reached = _calibrated(groups, index, sample[:QUERIES], recall, kind)
+            if size ** 2 <= MOST_CELLS or min(reached.values(), default=1) >= recall - 1e-9:
+                break
+            size //= 2
+            log.info("recall not reached within %d cells, codebooks of %d next", MOST_CELLS, size)
 
     coded = materialize(groups.select("k", "label", "vec", "size").mapInArrow(_coded(index, kind), _CODED), "coded")
     visits = coded.select("k", "label", "home", F.explode("probes").alias("cell"), "vec", "size")

@@ -181,6 +181,12 @@ def test_embedding_rare_links(spark, monkeypatch, strange_codebooks):
     assert found_share(spark, rare_links(600, 60, 64, 0.935), cell_size=0.04) >= 0.97
 
 
+def test_embedding_cells_grow(spark, monkeypatch, strange_codebooks):
+    """Where the most cells that may be visited don't reach the recall, cells become larger."""
+    monkeypatch.setattr(ed, "MOST_CELLS", 4)
+    assert found_share(spark, rare_links(300, 150, 64, 0.935), cell_size=0.04) >= 0.97
+
+
 def test_planted_calibration():
     """On a grid of 256 by 256, what planted partners ask for finds other links too; the least cells don't."""
     x = rare_links(12_000, 500, 64, 0.94)
