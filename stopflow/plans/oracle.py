@@ -106,6 +106,11 @@ ORACLE: dict[str, str] = {
                          "CASE WHEN lower(trim(departure)) IN ('','none','nan','null') THEN NULL ELSE trim(departure) END AS departure FROM raw_stops"),
     "clean_names": _with("SELECT id, CASE WHEN lower(trim(trainName)) IN ('','none') THEN NULL ELSE trim(trainName) END AS train_name, "
                          "CASE WHEN lower(trim(station)) IN ('','none') THEN NULL ELSE trim(station) END AS station_code FROM raw_stops"),
+    "clean_all_names": _with("SELECT id, CASE WHEN lower(trim(trainName)) IN ('','none') THEN NULL ELSE trim(trainName) END AS train_name, "
+                             "CASE WHEN lower(trim(station)) IN ('','none') THEN NULL ELSE trim(station) END AS station_code, "
+                             "CASE WHEN lower(trim(station_name)) IN ('','none') THEN NULL ELSE trim(station_name) END AS station_name FROM raw_stops"),
+    "times_to_minutes": _with("SELECT id, TRY_CAST(split_part(trim(arrival),':',1) AS INT)*60 + TRY_CAST(split_part(trim(arrival),':',2) AS INT) AS arrival_min, "
+                              "TRY_CAST(split_part(trim(departure),':',1) AS INT)*60 + TRY_CAST(split_part(trim(departure),':',2) AS INT) AS departure_min FROM raw_stops"),
     "time_to_minutes": _with("SELECT id, TRY_CAST(split_part(trim(arrival),':',1) AS INT)*60 + TRY_CAST(split_part(trim(arrival),':',2) AS INT) AS arrival_min FROM raw_stops"),
     "conform_stops": _with("SELECT number AS train_number, trainName AS train_name, station AS station_code, station_name, arrival, departure, day, id AS stop_sequence FROM raw_stops"),
     "drop_missing_keys": _with("SELECT number AS train_number, trim(station) AS station_code, id FROM raw_stops "
@@ -120,6 +125,8 @@ ORACLE: dict[str, str] = {
                          "(SELECT count(*) FROM raw_stops WHERE number IS NOT NULL AND lower(trim(station)) NOT IN ('','none')) - "
                          "(SELECT count(*) FROM clean) AS removed_duplicates"),
     "geojson_flatten": _with("SELECT trim(code) AS code, trim(state) AS state, trim(zone) AS zone FROM station_meta WHERE trim(code) <> ''"),
+    "geojson_trains": _with("SELECT trim(number) AS number, trim(type) AS type FROM train_meta WHERE trim(number) <> ''"),
+    "scan_json_array": _with("SELECT * FROM raw_stops"),
     "dim_dedup": _with("SELECT trim(code) AS code, min(trim(state)) AS state, min(trim(zone)) AS zone FROM station_meta "
                        "WHERE trim(code) <> '' GROUP BY 1"),
     "enrich_station": _with("SELECT train_number, stop_sequence, departure, state, zone FROM stops"),
@@ -232,6 +239,8 @@ ORACLE: dict[str, str] = {
                               "UNION ALL SELECT 'station_meta', count(*), CAST(3 AS INT) FROM station_meta "
                               "UNION ALL SELECT 'train_meta', count(*), CAST(2 AS INT) FROM train_meta"),
     "profile_sample": _with("SELECT number, station, arrival, departure, id FROM raw_stops ORDER BY id, number, arrival, departure LIMIT 10"),
+    "profile_sample_all": _with("SELECT * FROM raw_stops ORDER BY id, number NULLS FIRST, trainName NULLS FIRST, station NULLS FIRST, "
+                                "station_name NULLS FIRST, arrival NULLS FIRST, departure NULLS FIRST, day LIMIT 10"),
     "dq_report": _with(
         "SELECT 'stops_non_empty' AS check_name, count(*) > 0 AS ok, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) "
         "AS violations FROM stops UNION ALL "

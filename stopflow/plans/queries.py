@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from stopflow.operators import quality as Q
 from stopflow.operators import slicers as S
 from stopflow.operators.conform import conform_stops
 from stopflow.plans import fixture as X
-from stopflow.schema import RAW_STOPS_JSON
+from stopflow.schema import RAW_STOPS_JSON, TRAINS_GEOJSON
 from stopflow.session import materialize, scratch_path
 from stopflow.sinks import publish as W
 from stopflow.sources import files as R
@@ -92,6 +93,23 @@ def scan_json(spark, d):
     return R.read_json(spark, path, RAW_STOPS_JSON)
 
 
+def scan_json_array(spark, d):
+    """Raw feed landed as files of one JSON array each, read back with its schema."""
+    def arrays(batches):
+        opener = "["
+        for b in batches:
+            lines = []
+            for row in b.column(0).to_pylist():
+                lines.append(opener + row)
+                opener = ","
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["]" if opener == "," else "[]"]})
+
+    path = scratch_path(spark, "raw_stops_json_array")
+    X.raw_stops(spark, d).select(F.to_json(F.struct("*"))).mapInArrow(arrays, "value string").write.mode("overwrite").text(path)
+    return R.read_json(spark, path, RAW_STOPS_JSON)
+
+
 def scan_csv(spark, d):
     """Raw feed landed as header CSV, read back all-text (no type inference)."""
     path = scratch_path(spark, "raw_stops_csv")
@@ -111,11 +129,22 @@ def clean_names(spark, d):
     return raw.select("id", clean_name("trainName").alias("train_name"), clean_name("station").alias("station_code"))
 
 
+def clean_all_names(spark, d):
+    raw = X.raw_stops(spark, d)
+    return raw.select("id", clean_name("trainName").alias("train_name"), clean_name("station").alias("station_code"),
+                      clean_name("station_name").alias("station_name"))
+
+
 def time_to_minutes(spark, d):
     raw = X.raw_stops(spark, d)
     return raw.select("id", minutes_since_midnight(F.trim("arrival")).alias("arrival_min"))
 
 
+def times_to_minutes(spark, d):
+    raw = X.raw_stops(spark, d)
+    return raw.select("id", *(minutes_since_midnight(F.trim(c)).alias(f"{c}_min") for c in ("arrival", "departure")))
+
+
 def q_conform_stops(spark, d):
     return conform_stops(X.raw_stops(spark, d))
 
@@ -153,6 +182,14 @@ def geojson_flatten(spark, d):
     return flatten_feature_collection(docs, {"code": "code", "state": "state", "zone": "zone"}, "code")
 
 
+def geojson_trains(spark, d):
+    """Train features landed as GeoJSON in the shared folder, read back with their schema."""
+    path = scratch_path(spark, "trains_geojson")
+    to_feature_collections(X.train_meta(spark, d)).write.mode("overwrite").json(path)
+    docs = R.read_feature_collection(spark, path, TRAINS_GEOJSON)
+    return flatten_feature_collection(docs, {"number": "number", "type": "type"}, "number")
+
+
 def dim_dedup(spark, d):
     flat = E.trim_attributes(X.station_meta(spark, d), "code", ["state", "zone"])
     return E.dim_dedup(flat, "code")
@@ -327,6 +364,11 @@ def profile_sample(spark, d):
                             10, ["id", "number", "arrival", "departure"])
 
 
+def profile_sample_all(spark, d):
+    raw = X.raw_stops(spark, d)
+    return P.profile_sample(raw, 10, ["id", *(c for c in raw.columns if c != "id")])
+
+
 def dq_report(spark, d):
     """The integrity expectations over the published tables, each read once."""
     st = materialize(stops(spark, d), "dq-stops")
@@ -383,10 +425,13 @@ def publish_parquet(spark, d):
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_json": scan_json,
+    "scan_json_array": scan_json_array,
     "scan_csv": scan_csv,
     "clean_times": clean_times,
     "clean_names": clean_names,
+    "clean_all_names": clean_all_names,
     "time_to_minutes": time_to_minutes,
+    "times_to_minutes": times_to_minutes,
     "conform_stops": q_conform_stops,
     "drop_missing_keys": drop_missing_keys,
     "dedup_exact": dedup_exact,
@@ -396,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "midnight_crossings": midnight_crossings,
     "clean_stats": clean_stats,
     "geojson_flatten": geojson_flatten,
+    "geojson_trains": geojson_trains,
     "dim_dedup": dim_dedup,
     "enrich_station": enrich_station,
     "enrich_train": enrich_train,
@@ -459,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "profile_schema": profile_schema,
     "profile_datasets": profile_datasets,
     "profile_sample": profile_sample,
+    "profile_sample_all": profile_sample_all,
     "dq_report": dq_report,
     "name_only_analysis": name_only_analysis,
     "station_matches": lambda spark, d: L.station_matches(stops(spark, d), "Supplier#000000003", period="Evening"),
