@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from stopflow.session import scratch_path
 
 from .common import table
+from .decontaminate import CONTAMINATION_SQL, contamination
 from .embed_dedup import EMBEDDING_SQL, embedding_duplicates
+from .filter_audit import AUDIT_SQL, filter_audit
 from .fingerprint import edited_fingerprints
+from .hard_negatives import HARD_NEGATIVES_SQL, hard_negatives, shifted_labels
 from .line_dedup import LINE_DEDUP_SQL, PASSAGE_DEDUP_SQL, dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .ngram_join import NGRAM_SQL, ngram_components
@@ -24,7 +27,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
-def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), whole=True)
 
 
@@ -67,9 +70,22 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_digests(spark, path)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_fingerprints, op4_source_mix, op5_ngram_join, op6_quality_classifier, op7_secret_scan, op8_token_counts,
-                                   op9_best_fit_packing, op10_token_id_output, op1_passage_dedup)}
+                                   op9_best_fit_packing, op10_token_id_output, passage_dedup, op11_hard_negatives, op12_decontamination, op13_filter_audit)}
 # Tokenizers, hashes of Spark's own and the language model have no SQL form:
 # those queries are compared with brute force in the tests.
 ORACLE: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_embedding_dedup": EMBEDDING_SQL, "op4_source_mix": MIX_SQL,
-                          "op5_ngram_join": NGRAM_SQL, "op1_passage_dedup": PASSAGE_DEDUP_SQL}
+                          "op5_ngram_join": NGRAM_SQL, "passage_dedup": PASSAGE_DEDUP_SQL,
+                          "op11_hard_negatives": HARD_NEGATIVES_SQL, "op12_decontamination": CONTAMINATION_SQL, "op13_filter_audit": AUDIT_SQL}

@@ -111,7 +111,7 @@ def test_classifier_edges(spark, clashing, none):
 def test_registered():
     names = __spark_entry__.queries()
     assert [n.split("_")[0] for n in sorted(names, key=lambda n: (len(n.split("_")[0]), n)) if n.startswith("op") and n[2].isdigit()] \
-        == [f"op{i}" for i in range(1, 11)]
+        == [f"op{i}" for i in range(1, 14)]
     assert names["pipeline"] is corpus_pipeline.run
 
 
