@@ -6,58 +6,45 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopflow.session import materialize
+from .common import connected_components, landed
+from .spans import word_hashes
 
-from .common import connected_components
-
-# The document-frequency sketch: 2^SKETCH_BITS counters in SLICES rows, of a
-# fixed size whatever the input (16 MB), so it may be broadcast.
-SKETCH_BITS, SLICES = 22, 64
-# Candidate sets are looked up by broadcasting their ids only up to this many.
+# Ids and sets are looked up by broadcasting ids only up to this many.
 MOST_BROADCAST = 1_000_000
-_MOST_WORDS = 400_000
+# Sets are counted by blocks of documents against ranges of hashes, each of
+# about so many shingles.
+BLOCK, SHARD = 1 << 19, 1 << 21
 _SIGNATURE = ("s0", "s1", "s2", "s3")
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_word_hashes = _WordHashes()
-
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The distinct hashes of a text's shingles, ascending.
-
-    Words are runs without ASCII white space, A-Z lower-cased.  Fewer than
-    ``words`` words are one shingle together; none give the empty set.
-    """
-    if len(_word_hashes) > _MOST_WORDS:
-        _word_hashes.clear()
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_word_hashes.__getitem__, found), np.uint64, len(found))
+def _mixed(h: np.ndarray, words: int) -> np.ndarray:
+    """The hash of every run of ``words`` word hashes (of all of them, if fewer), in order."""
     k = min(words, len(h))
-    x = np.full(len(h) - k + 1, k, np.uint64)
+    x = np.full(len(h) - k + 1 if k else 0, k, np.uint64)
     for j in range(k):
         x = (x ^ h[j:len(h) - k + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
         x ^= x >> np.uint64(29)
-    return np.unique(x)
+    return x
 
 
-def _key(shingles: np.ndarray) -> int:
-    """A signed 64-bit key of a whole set."""
-    return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The distinct hashes of each text's shingles, ascending.
+
+    Words are runs without ASCII white space, A-Z lower-cased.  Fewer than
+    ``words`` words are one shingle together; none give the empty set.
+    """
+    texts = texts if pa.types.is_large_string(texts.type) else texts.cast(pa.large_string())
+    texts = texts.fill_null("") if texts.null_count else texts
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    h, at = word_hashes(np.frombuffer(texts.buffers()[2] or b"", np.uint8), bounds)
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        s = np.sort(_mixed(h[a:b], words))
+        yield s[np.append(True, s[1:] != s[:-1])] if len(s) else s
 
 
 def _least_shared(total: np.ndarray | Column, share: tuple[int, int]):
@@ -74,74 +61,99 @@ def _prefix_length(n: int, share: tuple[int, int]) -> int:
     return n + num * n // -den + 1
 
 
-_PROFILE = ("doc_id long, x long, n long, c long, s0 long, s1 long, s2 long, s3 long, slice int, counts binary")
+_SET = "block long, digest binary, content binary, n long, s0 long, s1 long, s2 long, s3 long, shingles binary"
 
 
-def _profiles(words: int):
-    """Per document its set's size, key and parity signature; per task a part of the frequency sketch."""
+def _sets(words: int):
+    """Of each distinct text its set with a digest, size and parity signature, in blocks of about BLOCK shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << SKETCH_BITS, np.uint32)
-        kinds = [pa.int64()] * 8 + [pa.int32(), pa.binary()]
-        names = [c.split()[0] for c in _PROFILE.split(", ")]
+        block, held = TaskContext.get().partitionId() << 32, 0
         for b in batches:
             rows = []
-            for doc_id, x, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                s = shingle_set(text.as_py(), words)
-                np.add.at(seen, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            for content, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1), words), strict=True):
+                if held > BLOCK:
+                    block, held = block + 1, 0
+                held += len(s)
+                raw = s.tobytes()
                 odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
                 sig = np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
-                rows.append((doc_id, x, len(s), _key(s), *sig, None, None))
-            cols = list(zip(*rows, strict=True)) or [()] * 10
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
-        parts = [zstandard.ZstdCompressor(level=1).compress(x.tobytes()) for x in np.split(seen, SLICES)]
-        none = [None] * SLICES
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([none] * 8 + [range(SLICES), parts], kinds, strict=True)], names=names)
+                rows.append((block, blake2b(raw, digest_size=16).digest(), content, len(s), *sig, raw))
+            cols = list(zip(*rows, strict=True)) or [()] * 9
+            kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             names=[c.split()[0] for c in _SET.split(", ")])
     return run
 
 
-def _added(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros((1 << SKETCH_BITS) // SLICES, np.uint32)
-    for p in pdf.counts:
-        total += np.frombuffer(zstandard.ZstdDecompressor().decompress(p), np.uint32)
-    return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "counts": [zstandard.ZstdCompressor(level=1).compress(total.tobytes())]})
-
+def _joined(column: pa.Array | pa.ChunkedArray, kind: type = np.uint64) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
-def _frequencies(profiles: DataFrame) -> np.ndarray:
-    """The summed sketch (a fixed 16 MB): how many documents have a shingle in each counter."""
-    parts = profiles.filter("slice is not null").select("slice", "counts", (F.rand(7) * 64).cast("int").alias("g"))
-    once = parts.groupBy("slice", "g").applyInPandas(_added, "slice int, counts binary")
-    rows = once.groupBy("slice").applyInPandas(_added, "slice int, counts binary").orderBy("slice").collect()
-    return np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.counts)), np.uint32) for r in rows]) \
-        if rows else np.zeros(1 << SKETCH_BITS, np.uint32)
 
+def _by_shard(shards: int):
+    """The distinct shingles of each block, cut into equal ranges of hashes, with the number of sets that have them."""
+    width = (1 << 64) // shards
 
-def _prefixes(words: int, share: tuple[int, int], frequencies):
-    """The rarest shingles of each set: (token, c, pos, n); order by frequency, then hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.frombuffer(frequencies.value, np.uint32)
+        cuts = np.array([k * width for k in range(1, shards)], np.uint64)
         for b in batches:
-            cols = [[], [], [], []]
-            for text in b.column(0):
-                s = shingle_set(text.as_py(), words)
-                p = _prefix_length(len(s), share)
-                if p < 1:
-                    continue
-                seen = df[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                head = s[np.lexsort((s, seen))[:p]]
-                for col, x in zip(cols, (head.view(np.int64), np.full(p, _key(s)), np.arange(p), np.full(p, len(s))), strict=True):
-                    col.append(x)
-            kinds = (np.int64, np.int64, np.int32, np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*c, []]).astype(k) if not c else np.concatenate(c).astype(k))
-                                              for c, k in zip(cols, kinds, strict=True)], names=["token", "c", "pos", "n"])
+            blocks = b.column(0).to_numpy()
+            out = [[], [], [], []]
+            for block in np.unique(blocks):
+                s = np.sort(_joined(b.column(1).filter(pa.array(blocks == block))))
+                first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
+                s, seen = s[first], np.diff(np.append(first, len(s))).astype(np.uint32)
+                ends = [0, *np.searchsorted(s, cuts).tolist(), len(s)]
+                for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                    if x < y:
+                        for col, v in zip(out, (int(block), k, s[x:y].tobytes(), seen[x:y].tobytes()), strict=True):
+                            col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                                             names=["block", "shard", "shingles", "seen"])
     return run
 
 
-def _sets(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(t.as_py(), words) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(map(_key, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["c", "shingles"])
+def _counted(rows: pa.Table) -> pa.Table:
+    """Of one range of hashes, the shingles of each block that several sets have, and how many have them."""
+    s, seen = _joined(rows.column("shingles")), _joined(rows.column("seen"), np.uint32)
+    order = np.argsort(s, kind="stable")
+    starts = np.flatnonzero(np.append(True, s[order][1:] != s[order][:-1])) if len(s) else np.zeros(0, np.int64)
+    total = np.add.reduceat(seen[order].astype(np.int64), starts) if len(s) else np.zeros(0, np.int64)
+    df = np.empty(len(s), np.int64)
+    df[order] = np.repeat(total, np.diff(np.append(starts, len(s))))
+    sizes = [len(x) // 8 for x in rows.column("shingles").to_pylist()]
+    out = [[], [], []]
+    for block, b in zip(rows.column("block").to_pylist(), np.cumsum(sizes).tolist(), strict=True):
+        a = b - sizes[len(out[0])]
+        often = df[a:b] > 1
+        for col, v in zip(out, (block, s[a:b][often].tobytes(), np.minimum(df[a:b][often], 2**32 - 1).astype(np.uint32).tobytes()), strict=True):
+            col.append(v)
+    return pa.table([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["of", "common", "times"])
+
+
+def _prefixes(share: tuple[int, int]):
+    """The rarest shingles of each set of a block, without those that no other set has: (token, c, pos, n).
+
+    ``pos`` counts all shingles, in the order of frequency, then hash.
+    """
+    def run(sets: pa.Table, counts: pa.Table) -> pa.Table:
+        common, times = _joined(counts.column("common")), _joined(counts.column("times"), np.uint32)
+        order = np.argsort(common)
+        common, times = common[order], times[order]
+        out = [[], [], [], []]
+        for c, raw in zip(sets.column("c").to_pylist(), sets.column("shingles").to_pylist(), strict=True) if len(common) else ():
+            s = np.frombuffer(raw, np.uint64)
+            p = _prefix_length(len(s), share)
+            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+            met = common[at] == s
+            alone = len(s) - int(met.sum())
+            if p <= alone:
+                continue
+            often, df = s[met], times[at[met]]
+            head = often[np.lexsort((often, df))[:p - alone]]
+            for col, x in zip(out, (head.view(np.int64), np.full(len(head), c), np.arange(alone, p), np.full(len(head), len(s))), strict=True):
+                col.append(x)
+        kinds = (np.int64, np.int64, np.int32, np.int64)
+        return pa.table([pa.array(np.concatenate([np.zeros(0, k), *c]).astype(k)) for c, k in zip(out, kinds, strict=True)], names=["token", "c", "pos", "n"])
     return run
 
 
@@ -165,132 +177,149 @@ def _verify(share: tuple[int, int]):
     return run
 
 
-def _filtered(pairs: DataFrame, facts: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Distinct (a, b) that pass the length, positional and suffix filters.
+def _few(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+
+
+def _possible(na: Column, nb: Column, pa_: Column, pb: Column, apart: Column, share: tuple[int, int]) -> Column:
+    """The length, positional and suffix filters for sets that share a shingle at positions pa_ and pb.
 
-    ``pairs`` has a, b, pa, pb: positions of a common prefix shingle.  The
-    smallest positions of a pair belong to its first common shingle; none
-    before it is shared.  The parity signatures bound how many shingles are
-    in only one of the sets, in the whole of both suffixes.
+    If it is the first one shared, none before it is.  The parity signatures
+    (``apart`` of their bits differ) bound how many shingles are in only one
+    of the whole sets.
     """
     num, den = share
-    first = pairs.groupBy("a", "b").agg(F.min("pa").alias("pa"), F.min("pb").alias("pb"))
-    own = lambda x: facts.select(F.col("c").alias(f"c{x}"), F.col("n").alias(f"n{x}"), *(F.col(s).alias(f"{s}{x}") for s in _SIGNATURE))
-    both = first.join(own("a"), F.col("a") == F.col("ca")).join(own("b"), F.col("b") == F.col("cb"))
-    need = _least_shared(F.col("na") + F.col("nb"), share)
-    apart = sum((F.bit_count(F.col(f"{s}a").bitwiseXOR(F.col(f"{s}b"))) for s in _SIGNATURE), F.lit(0))
-    return both.filter((F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-                       & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need)
-                       & (apart <= F.col("na") + F.col("nb") - 2 * need)).select("a", "b")
-
-
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, share: tuple[int, int], name: str) -> DataFrame:
-    """The pairs (u, v) that are similar enough by their whole sets, each verified once."""
-    pairs = materialize(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes.select("c", "at"), "c").select("at")
-    ids = materialize(ids, f"{name}-wanted")
-    if ids.count() <= MOST_BROADCAST:
-        ids = F.broadcast(ids)
-    # copies of a text are merged before their shuffle and after it
-    texts = docs.join(ids, F.xxhash64("text") == F.col("at"), "left_semi").select("text").distinct()
-    sets = materialize(texts.mapInArrow(_sets(words), "c long, shingles binary"), f"{name}-sets")
-    side = lambda x: sets.select(F.col("c").alias(f"c{x}"), F.col("shingles").alias(f"set_{x}"))
+    need = _least_shared(na + nb, share)
+    return ((F.least(na, nb) * den >= F.greatest(na, nb) * num) & (F.least(na - pa_, nb - pb) >= need) & (apart <= na + nb - 2 * need))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], name: str) -> DataFrame:
+    """The pairs (u, v) of ``pairs`` (a, b) that are similar enough by their whole sets."""
+    ids = landed(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), f"{name}-wanted")
+    wanted = landed(sets.join(_few(ids), F.col("rid") == F.col("at"), "left_semi").select("rid", "shingles"), f"{name}-sets")
+    side = lambda x: wanted.select(F.col("rid").alias(f"c{x}"), F.col("shingles").alias(f"set_{x}"))
     both = pairs.join(side("b"), F.col("b") == F.col("cb")).join(side("a"), F.col("a") == F.col("ca"))
-    return materialize(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(share), "u long, v long"), f"{name}-links")
+    return landed(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(share), "u long, v long"), f"{name}-links")
+
+
+def _content(text: Column) -> Column:
+    """128 bits of a text's SHA-256: what texts are told apart by."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
+def _grouped(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """doc_id, n, component_id, x and g (a number of each component, null without shingles) for every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = rows.filter("text is not null").select("text").distinct().select(_content(F.col("text")).alias("content"), "text")
+    sets = landed(texts.mapInArrow(_sets(words), _SET).filter("n > 0").withColumn("rid", F.monotonically_increasing_id()), "sets")
+    by_set = sets.groupBy("digest").agg(F.min("rid").alias("c"))
+    of_text = landed(sets.select("digest", "content", "n").join(by_set, "digest").select("content", "c", "n"), "classes")
+    facts = sets.select(F.col("rid").alias("k"), F.col("n").alias("kn"), *_SIGNATURE)
+
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    shards = max(1, -(-total // SHARD))
+    parts = sets.select("block", "shingles").mapInArrow(_by_shard(shards), "block long, shard int, shingles binary, seen binary")
+    counts = landed(parts.groupBy("shard").applyInArrow(_counted, "of long, common binary, times binary"), "frequencies")
+    first = landed(of_text.select("c").distinct(), "first")
+    prefix = (sets.select("block", F.col("rid").alias("c"), "shingles").groupBy("block").cogroup(counts.groupBy("of"))
+              .applyInArrow(_prefixes(share), "token long, c long, pos int, n long"))
+    prefix = landed(prefix.join(first.select(F.col("c").alias("f")), F.col("c") == F.col("f"), "left_semi"), "prefix")
+
+    common = (prefix.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("c", "pos").alias("rep"), F.min("pos").alias("rep_pos"))
+              .filter("lo <> hi").select(F.col("token").alias("t"), "rep", "rep_pos"))
+    shared = landed(prefix.join(common, F.col("token") == F.col("t")).join(facts, F.col("c") == F.col("k"))
+                    .select("token", "c", "pos", "n", "rep", "rep_pos", *_SIGNATURE), "shared")
+
+    apart = lambda a, b: sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in _SIGNATURE), F.lit(0))
+    pair = [F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")]
+    met = lambda a, b: _possible(F.col("x.n"), F.col("y.n"), F.col(a), F.col(b), apart("x", "y"), share)
+    reps = facts.select(F.col("k").alias("c"), F.col("kn").alias("n"), *_SIGNATURE)
+    star = (shared.filter("c <> rep").alias("x").join(reps.alias("y"), F.col("x.rep") == F.col("y.c"))
+            .filter(met("x.pos", "x.rep_pos")).select(*pair).distinct())
+    star = landed(star, "star-pairs")
+    links = _links(star, sets, share, "star")
+    vertices = shared.select(F.col("c").alias("id")).distinct()
+    group = landed(connected_components(vertices, links), "groups")
+
+    near = landed(shared.drop("rep", "rep_pos").join(group.select("id", F.col("component_id").alias("g")), F.col("c") == F.col("id")).drop("id"), "grouped")
+    mixed = near.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token")
+    near = landed(near.join(mixed, "token", "left_semi"), "mixed")
+    across = (near.alias("x").join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c"))
+                                   & (F.col("x.g") != F.col("y.g")) & met("x.pos", "y.pos")).select(*pair).distinct())
+    # a pair that the star has rejected is in two components still, and not looked at again
+    across = landed(across.join(star, ["a", "b"], "left_anti"), "across-pairs")
+    more = _links(across, sets, share, "across")
+    group = connected_components(vertices, links.unionByName(more))
+
+    named = landed(of_text.select("content", "c", "n").join(group, F.col("c") == F.col("id"), "left")
+                   .select(F.col("content").alias("of"), "n", F.coalesce("component_id", "c").alias("g")), "named")
+    members = rows.select("doc_id", F.xxhash64("text").alias("x"), _content(F.col("text")).alias("content"))
+    members = landed(members.join(named, F.col("content") == F.col("of"), "left").select("doc_id", "x", "n", "g"), "members")
+    least = landed(members.filter("g is not null").groupBy("g").agg(F.min("doc_id").alias("component_id")).select(F.col("g").alias("at"), "component_id"), "least")
+    out = members.join(least, F.col("g") == F.col("at"), "left")
+    return out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+                      F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "x", "g")
 
 
 def ngram_components(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
     """doc_id, n_shingles, component_id and x (hash of the text) for every row of ``docs`` (doc_id, text).
 
     Documents link when the Jaccard similarity of their sets of ``words``-word
-    shingles (see ``shingle_set``) is at least ``share``; components are exact.
-
-    1. Equal sets form a class (64-bit keys of whole sets); classes, not
-       copies, are compared.
-    2. Shingles are ordered by document frequency, rarest first, from a
-       sketch of fixed size counted over all documents; any order is exact.
-    3. A class's prefix holds the rarest shingles of which a linked set must
-       have one.  Prefix shingles that only one class has are dropped by a
-       partial aggregation; a hot one sends a row per task.
+    shingles (see ``shingle_sets``) is at least ``share``; components are exact.
+
+    1. Copies of a text are merged, then equal sets (128-bit digests of whole
+       sets) form a class; classes, not copies, are compared.
+    2. Every shingle is counted over all distinct texts: blocks of documents
+       hand their distinct shingles to ranges of hashes and get back the
+       numbers of those that more than one text has.
+    3. A class's prefix holds its rarest shingles, of which a linked set must
+       have one.  Those that no other text has take their places in it but
+       need no row, so only texts that are near copies in most parts have
+       any.  A shingle common to many texts stands last and is in a prefix
+       only where little else is.
     4. First every class meets, per prefix shingle, only the class that has
        it earliest, the one with fewest rarer shingles of its own.  Length,
        positional and suffix filters thin the pairs, each left is verified
        once on whole sets, and links are merged into components.
     5. Then only pairs in different components that share a prefix shingle
-       remain; they go through the same filters and verification.  Pairs
-       inside a component need not be looked at, so a group of near copies
-       costs a star, not its square, and no link between components is lost.
+       remain, without those rejected before; they go through the same
+       filters and verification.  Pairs inside a component need not be looked
+       at, so a group of near copies costs a star, not its square, and no
+       link between components is lost.
 
     Null, empty and blank texts have n_shingles 0 and link with nothing.
     Repeated rows and ids stay; a null doc_id stays null and is no
     component's smallest id (a component without ids has a null id).  Other
     columns are ignored; an empty table gives an empty one.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = materialize(rows.select("doc_id", F.xxhash64("text").alias("x"), "text").mapInArrow(_profiles(words), _PROFILE), "profiles")
-    members = profiles.filter("slice is null")
-    classes = materialize(members.filter("n > 0").groupBy("c").agg(
-        F.min("doc_id").alias("least"), F.min("x").alias("at"), F.max("n").alias("n"), *(F.max(s).alias(s) for s in _SIGNATURE)), "classes")
-
-    frequencies = docs.sparkSession.sparkContext.broadcast(_frequencies(profiles).tobytes())
-    prefix = rows.select("text").mapInArrow(_prefixes(words, share, frequencies), "token long, c long, pos int, n int")
-    common = (prefix.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("c", "pos").alias("rep"), F.min("pos").alias("rep_pos"))
-              .filter("lo <> hi").select(F.col("token").alias("t"), "rep", "rep_pos"))
-    shared = materialize(prefix.join(common, F.col("token") == F.col("t")).select("token", "c", "pos", "rep", "rep_pos").distinct(), "shared")
-
-    first = F.col("c") < F.col("rep")
-    star = shared.filter("c <> rep").select(
-        F.least("c", "rep").alias("a"), F.greatest("c", "rep").alias("b"),
-        F.when(first, F.col("pos")).otherwise(F.col("rep_pos")).alias("pa"), F.when(first, F.col("rep_pos")).otherwise(F.col("pos")).alias("pb"))
-    links = _links(_filtered(star, classes, share), rows, classes, words, share, "star")
-    vertices = shared.select(F.col("c").alias("id")).distinct()
-    group = materialize(connected_components(vertices, links), "groups")
-
-    near = shared.join(group, F.col("c") == F.col("id")).select("token", "c", "pos", F.col("component_id").alias("g"))
-    near = materialize(near, "grouped")
-    mixed = near.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("token")
-    near = materialize(near.join(mixed, "token", "left_semi").join(
-        classes.select(F.col("c").alias("k"), F.col("n"), *_SIGNATURE), F.col("c") == F.col("k")).drop("k"), "mixed")
-    x, y = near.alias("x"), near.alias("y")
-    col = lambda side, name: F.col(f"{side}.{name}")
-    need = _least_shared(col("x", "n") + col("y", "n"), share)
-    apart = sum((F.bit_count(col("x", s).bitwiseXOR(col("y", s))) for s in _SIGNATURE), F.lit(0))
-    num, den = share
-    across = x.join(y, (col("x", "token") == col("y", "token")) & (col("x", "c") < col("y", "c")) & (col("x", "g") != col("y", "g"))
-                    & (F.least(col("x", "n"), col("y", "n")) * den >= F.greatest(col("x", "n"), col("y", "n")) * num)
-                    & (apart <= col("x", "n") + col("y", "n") - 2 * need))
-    across = across.select(col("x", "c").alias("a"), col("y", "c").alias("b"), col("x", "pos").alias("pa"), col("y", "pos").alias("pb"))
-    more = _links(_filtered(across, classes, share), rows, classes, words, share, "across")
-    group = connected_components(vertices, links.unionByName(more))
-
-    named = classes.join(group, F.col("c") == F.col("id"), "left").select("c", "least", F.coalesce("component_id", "c").alias("g"))
-    named = materialize(named, "named")
-    least = named.groupBy("g").agg(F.min("least").alias("component_id"))
-    named = materialize(named.join(least, "g").select(F.col("c").alias("k"), "component_id"), "components")
-    out = members.join(named, (F.col("c") == F.col("k")) & (F.col("n") > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "x")
+    found = _grouped(docs, words, share)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "x")
 
 
 def keep_one(docs: DataFrame, words: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id.
 
-    Rows that repeat that doc_id are one document, of which one row stays.
-    Rows without an id go if their component has one, and stay otherwise.
-    Few rows to drop are broadcast after counting them, more are joined by a
-    shuffle, which no id can dominate.
+    Rows that share a doc_id but are in different components are different
+    documents, and each component keeps its own.  In a component, rows of the
+    smallest doc_id whose texts differ are told apart by xxhash64 of the
+    text, the smallest stays; rows that repeat doc_id and text are one
+    document, of which one row stays.  Rows without an id come last.  Rows
+    without shingles (null, empty and blank texts) all stay.  Few rows to
+    drop are broadcast after counting them, more are joined by a shuffle,
+    which no id can dominate.
     """
-    found = materialize(ngram_components(docs, words, share), "components")
-    few = lambda ids: F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    own = F.col("d.doc_id").cast("long")
-    lost = materialize(found.filter("n_shingles > 0 and not doc_id <=> component_id").select("doc_id", "x").distinct(), "lost")
-    out = docs.alias("d").join(few(lost).alias("l"), (F.xxhash64("d.text") == F.col("l.x")) & own.eqNullSafe(F.col("l.doc_id")), "left_anti")
-    many = materialize(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
-    if not many.count():
+    found = landed(_grouped(docs, words, share).filter("g is not null").select("doc_id", "x", "g"), "components")
+    own = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("d"), F.col("x").alias("x"))
+    best = landed(found.groupBy("g").agg(F.min(own).alias("best")).select(F.col("g").alias("of"), "best"), "best")
+    lost = found.join(best, F.col("g") == F.col("of")).filter(own != F.col("best")).select("doc_id", "x")
+    lost = landed(lost.distinct(), "lost")
+    mine = (F.xxhash64("d.text") == F.col("l.x")) & F.col("d.doc_id").cast("long").eqNullSafe(F.col("l.doc_id"))
+    out = docs.alias("d").join(_few(lost).alias("l"), mine, "left_anti")
+    many = landed(found.groupBy("doc_id", "x").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "x"), "repeated")
+    if not many.limit(1).count():
         return out
-    same = own == F.col("m.doc_id")
-    once = out.alias("d").join(few(many).alias("m"), same, "left_semi").dropDuplicates(["doc_id"])
-    return out.alias("d").join(few(many).alias("m"), same, "left_anti").unionByName(once)
+    once = out.alias("d").join(_few(many).alias("l"), mine, "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.alias("d").join(_few(many).alias("l"), mine, "left_anti").unionByName(once)
 
 
 NGRAM_SQL = r"""

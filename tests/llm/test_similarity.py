@@ -4,11 +4,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 from stopflow.llm import embed_dedup as ed
 from stopflow.llm import ngram_join as nj
+from stopflow.llm import spans as sp
 from stopflow.llm.common import connected_components
 from stopflow.llm.queries import QUERIES
 
@@ -92,10 +94,67 @@ def test_keep_one(clashing, none):
     assert got.columns == clashing.columns
     ids = sorted(str(r.doc_id) for r in got.collect())
     # 1, 2, 11, 12 share a text, 8 holds it beside another; 3 comes with two texts, one of them also without an id
-    assert ids == sorted(map(str, [1, 3, 4, 5, 6, 7, 8, 9, 10, 13, None, None]))
+    assert ids == sorted(map(str, [1, 3, 3, 4, 5, 6, 7, 8, 9, 10, 13, None, None]))
     assert nj.keep_one(none).collect() == []
 
 
+def test_keep_one_of_shared_ids(spark):
+    """Rows of one id in several components are documents of their own; copies and near copies of them go."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, a), (2, c), (1, a + " end"), (None, c), (None, "no id"), (None, "no id"), (3, ""), (3, ""), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in nj.keep_one(docs).collect()]
+    near = [r for r in got if r in ((1, a), (1, a + " end"))]
+    assert len(near) == 1
+    want = [near[0], (1, b), (2, c), (None, "no id"), (3, ""), (3, ""), (3, None)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_candidates_grow_with_the_input(spark, monkeypatch):
+    """Texts of a common passage and their own words, some with a near copy: five times the texts, five times the pairs looked at."""
+    landed, seen = nj.landed, {}
+
+    def counted(df, name):
+        out = landed(df, name)
+        seen[name] = seen.get(name, 0) + (out.count() if name.endswith("-pairs") else 0)
+        return out
+    monkeypatch.setattr(nj, "landed", counted)
+
+    def pairs(n):
+        rnd = random.Random(n)
+        passages = [[f"p{k}x{i}" for i in range(40)] for k in range(3)]
+        texts = []
+        for k in range(n):
+            w = [*rnd.choice(passages), *(f"u{k}x{i}" for i in range(60)), *rnd.choice(passages)]
+            texts.append(" ".join(w))
+            if k % 4 == 0:
+                texts.append(" ".join([*w[:50], "edit", *w[50:]]))
+        seen.clear()
+        rows = list(enumerate(texts))
+        check_join(nj.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows, 5, (4, 5))
+        return sum(seen.values())
+    small, large = pairs(40), pairs(200)
+    assert small >= 10 and large <= 5 * small + 10
+
+
+@pytest.mark.parametrize("slab", [8, 64, 4 << 20])
+def test_shingle_sets(monkeypatch, slab):
+    """As many distinct shingles as by brute force, equal for equal ones, whatever stands beside a text."""
+    monkeypatch.setattr(sp, "SLAB", slab)
+    monkeypatch.setattr(sp, "LONG", 20)
+    rnd = random.Random(slab)
+    texts = ["", None, " \n", "one", "ONE", "\u00c9 \u00e9", "x" * 300, "a " * 100] + [
+        "".join(rnd.choice("aAbB\u00e9\U0001f600 \n\x0b\xa0") for _ in range(rnd.randrange(200))) for _ in range(200)]
+    texts += [t and t.upper() if (t or "").isascii() else t for t in texts]
+    got = [frozenset(s.tolist()) for s in nj.shingle_sets(pa.array(texts, pa.string()), 3)]
+    want = [frozenset(s) for s in sets_of(list(enumerate(texts)), 3)]
+    assert [len(s) for s in got] == [len(s) for s in want]
+    names = {}
+    for g, w in zip(got, want, strict=True):
+        assert names.setdefault(w, g) == g
+    assert len(set(names.values())) == len(names)
+
+
 def test_prefix_length():
     """No linked, different pair of sets can avoid the prefix."""
     for share in ((85, 100), (4, 5), (1, 2)):
