@@ -94,7 +94,7 @@ def scan_json(spark, d):
 
 
 def scan_json_array(spark, d):
-    """Raw feed landed as files of one JSON array each, read back with its schema."""
+    """Raw feed landed as files of one JSON array each, read back with its schema in ranges of 256 KB."""
     def arrays(batches):
         opener = "["
         for b in batches:
@@ -107,14 +107,14 @@ def scan_json_array(spark, d):
 
     path = scratch_path(spark, "raw_stops_json_array")
     X.raw_stops(spark, d).select(F.to_json(F.struct("*"))).mapInArrow(arrays, "value string").write.mode("overwrite").text(path)
-    return R.read_json(spark, path, RAW_STOPS_JSON)
+    return R.read_json(spark, path, RAW_STOPS_JSON, split_bytes=256 << 10)
 
 
 def scan_csv(spark, d):
-    """Raw feed landed as header CSV, read back all-text (no type inference)."""
+    """Raw feed landed as header CSV, read back all-text (no type inference) in ranges of 256 KB."""
     path = scratch_path(spark, "raw_stops_csv")
     W.export_csv(X.raw_stops(spark, d), path)
-    return R.read_csv(spark, path)
+    return R.read_csv(spark, path, split_bytes=256 << 10)
 
 
 # --- cleaning ---------------------------------------------------------------------

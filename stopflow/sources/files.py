@@ -7,14 +7,15 @@ Pass an explicit schema wherever one is known: it skips the inference pass
 
 from __future__ import annotations
 
-import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopflow.sources.paths import data_files, exists, first_line, is_folder, json_layouts
+from stopflow.sources.paths import data_files, exists, first_line, is_folder
+from stopflow.sources.ranges import array_records, csv_records, parsed_csv, parsed_json
+from stopflow.sources.sniff import found_files, header_names
 
 FORMATS = {".json": "json", ".geojson": "json", ".ndjson": "json", ".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
 
@@ -25,15 +26,35 @@ def is_json_array(spark: SparkSession, path: str) -> bool:
     return bool(files) and first_line(spark, files[0]).startswith(b"[")
 
 
+def _split_bytes(spark: SparkSession, given: int | None) -> int:
+    return given or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """The union by name; a column that the parts type differently is text."""
+    kinds: dict[str, set[str]] = {}
+    for df in parts:
+        for c, kind in df.dtypes:
+            kinds.setdefault(c, set()).add(kind)
+    text = {c for c, of in kinds.items() if len(of) > 1}
+    out = None
+    for df in parts:
+        df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in df.columns if c in text})
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              multi_line: bool | None = None) -> DataFrame:
+              multi_line: bool | None = None, split_bytes: int | None = None) -> DataFrame:
     """Read JSON arrays, single documents or line-delimited JSON, also mixed in one folder.
 
-    With ``multi_line=None`` each file's layout is found from its first line,
-    local or remote, and all records of all files come back: line-delimited
-    files are split over tasks, a file of one document or array is read by a
-    task of its own (land large ones once as Parquet or NDJSON).  A record
-    that can't be parsed fails the read; none becomes a row of nulls.
+    With ``multi_line=None`` each file's layout is found from its beginning
+    by a task of its own, local or remote, and all records of all files come
+    back.  Line-delimited files are split over tasks.  So are array files of
+    more than ``split_bytes`` (default: the session's scan split size), cut
+    into records by ``ranges.array_records`` and written once to the shared
+    folder; smaller ones and single documents are read by a task each.  A
+    record that can't be parsed fails the read; none becomes a row of nulls.
     Without a schema, a column that the layouts type differently is text.
     """
     def reader(lines_span: bool):
@@ -42,16 +63,18 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
 
     if multi_line is not None:
         return reader(multi_line).json(path)
-    found = json_layouts(spark, path)
-    if not found["document"]:
-        return reader(False).json(path)
-    if not found["lines"]:
-        return reader(True).json(path)
-    a, b = reader(False).json(found["lines"]), reader(True).json(found["document"])
-    kinds = dict(b.dtypes)
-    text = [c for c, kind in a.dtypes if kinds.get(c, kind) != kind]
-    as_text = lambda df: df.withColumns({c: F.col(f"`{c}`").cast("string") for c in text})
-    return as_text(a).unionByName(as_text(b), allowMissingColumns=True)
+    if not exists(spark, path):
+        raise ValueError(f"nothing found at {path}")
+    limit = _split_bytes(spark, split_bytes)
+    by_kind: dict[str, list[str]] = {}
+    for f in found_files(spark, path, "json"):
+        kind = f.kind if f.kind == "lines" else "large" if f.kind == "array" and f.size > limit else "document"
+        by_kind.setdefault(kind, []).append(f.path)
+    alone = len(by_kind) < 2
+    parts = [reader(kind == "document").json(path if alone else by_kind[kind]) for kind in ("lines", "document") if kind in by_kind]
+    if "large" in by_kind:
+        parts.append(parsed_json(array_records(spark, by_kind["large"], limit), schema))
+    return _together(parts) if parts else reader(False).json(path)
 
 
 def read_feature_collection(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -61,30 +84,40 @@ def read_feature_collection(spark: SparkSession, path: str, schema: T.StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+             columns: list[str] | None = None, multi_line: bool | None = None, split_bytes: int | None = None) -> DataFrame:
     """Read header CSV as text (all columns string unless ``schema`` says otherwise).
 
     Quotes inside quoted fields are doubled, and quoted fields may hold line
-    breaks (``multi_line=False`` says that none do, so that large files can be
-    split).  Every file is read by its own header: files of one folder may
-    order their columns differently.  Without a schema only the header lines
-    are read for the column names (no type inference pass).
+    breaks.  With ``multi_line=None`` files of more than ``split_bytes``
+    (default: the session's scan split size) are cut into records by
+    ``ranges.csv_records`` in many tasks, and smaller ones are read by a task
+    each; ``multi_line=False`` says that no field holds a line break, so that
+    Spark's reader may split all, and ``True`` that none shall be split.
+    Every file is read by its own header, found by a task: files of one
+    folder may order their columns differently.  Without a schema only the
+    headers are read for the column names (no type inference pass).
     """
     def reader():
-        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
+        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line is not False)
                 .option("enforceSchema", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
+    if not exists(spark, path):
+        raise ValueError(f"nothing found at {path}")
     if schema is not None or columns is not None:
         schema = schema or T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in data_files(spark, path):
-        header = next(csv.reader([first_line(spark, f).decode("utf-8-sig")]))
-        by_header.setdefault(tuple(header), []).append(f)
+    limit = _split_bytes(spark, split_bytes) if multi_line is None else None
+    by_header: dict[tuple[tuple[str, ...], str], list[str]] = {}
+    for f in found_files(spark, path, "csv"):
+        large = limit is not None and f.size > limit
+        by_header.setdefault((header_names(f.kind), "small" if not large else "returns" if f.kind.endswith("\r") else "feeds"), []).append(f.path)
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     out = None
-    for header, files in sorted(by_header.items()):
+    for (header, size), files in sorted(by_header.items()):
         own = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
-        part = reader().schema(own).csv(files if len(by_header) > 1 else path)
+        if size != "small":
+            part = parsed_csv(csv_records(spark, files, limit, size == "returns"), own)
+        else:
+            part = reader().schema(own).csv(files if len(by_header) > 1 else path)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if schema is None:
         return out if out is not None else spark.createDataFrame([], "value string").limit(0)

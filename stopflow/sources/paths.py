@@ -6,9 +6,6 @@ stores, so a path means here what it means to a reader.
 
 from __future__ import annotations
 
-import json
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import SparkSession
 
 # A first line of this many bytes without an end is one document on one line.
@@ -63,29 +60,3 @@ def first_line(spark: SparkSession, path: str) -> bytes:
         return got.strip()
     finally:
         stream.close()
-
-
-def _whole(line: bytes) -> bool:
-    if len(line) >= LONGEST_FIRST_LINE:
-        return True
-    try:
-        return isinstance(json.loads(line), dict)
-    except ValueError:
-        return False
-
-
-def json_layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The files of ``path`` by layout: ``lines`` (a document a line) or ``document`` (one, over lines, or an array).
-
-    Each file is judged by itself: a folder may mix both.  Only first lines
-    are read, some files at a time.
-    """
-    files = data_files(spark, path)
-
-    def layout(f: str) -> str:
-        line = first_line(spark, f)
-        return "lines" if not line.startswith(b"[") and _whole(line) else "document"
-
-    with ThreadPoolExecutor(8) as pool:
-        found = list(pool.map(layout, files))
-    return {kind: [f for f, k in zip(files, found, strict=True) if k == kind] for kind in ("lines", "document")}
