@@ -66,20 +66,18 @@ def stoppage_stats(stops: DataFrame, min_stops: int = MIN_TIMED_STOPS, accuracy:
 
 
 def stoppage_stats_sql(spark, stops: DataFrame, min_stops: int = MIN_TIMED_STOPS) -> DataFrame:
-    """The same statistics written as Spark SQL over a temporary view."""
+    """The same statistics written as Spark SQL, which names no view of the caller's session."""
     keys = group_keys(station_key(stops.columns), station_display(stops.columns))
-    view = "stops_for_stoppage"
-    stops.createOrReplaceTempView(view)
     k = ", ".join(f"`{c}`" for c in keys)
     return spark.sql(f"""
         SELECT {k}, COUNT(*) AS num_stops,
                ROUND(AVG(stop_duration_mins), 1) AS avg_duration_mins,
                MAX(stop_duration_mins) AS max_duration_mins,
                PERCENTILE_APPROX(stop_duration_mins, 0.9) AS p90_duration_mins
-        FROM {view}
+        FROM {{stops}}
         WHERE stop_duration_mins IS NOT NULL
         GROUP BY {k}
-        HAVING COUNT(*) >= {int(min_stops)}""")
+        HAVING COUNT(*) >= {int(min_stops)}""", stops=stops)
 
 
 def hourly_traffic(stops: DataFrame) -> DataFrame:
@@ -104,17 +102,15 @@ def hourly_traffic_dense(stops: DataFrame) -> DataFrame:
 
 
 def longest_trains_sql(spark, stops: DataFrame, n: int = 20) -> DataFrame:
-    """Longest trains written as Spark SQL over a temporary view."""
+    """Longest trains written as Spark SQL, which names no view of the caller's session."""
     keys = group_keys("train_number", train_display(stops.columns))
-    view = "stops_for_longest"
-    stops.createOrReplaceTempView(view)
     k = ", ".join(f"`{c}`" for c in keys)
     return spark.sql(f"""
         SELECT {k}, COUNT(*) AS num_stops
-        FROM {view}
+        FROM {{stops}}
         GROUP BY {k}
         ORDER BY num_stops DESC, {k}
-        LIMIT {int(n)}""")
+        LIMIT {int(n)}""", stops=stops)
 
 
 def train_lengths(stops: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Enrichment: attach station and train attributes to stops.
 
 Both are left outer equi-joins on a dimension that is first made unique on
-its key, so enrichment never changes the number of stops.  The dimensions
+its key, so enrichment never changes the number of stops; a dimension that
+still has several rows for a key fails the job and names the key
+(:func:`stopflow.operators.joins.unique_on`).  The dimensions
 are broadcast when their size is proven small (see
 :func:`stopflow.operators.joins.join_dimension`).
 """
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
+from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension, unique_on
 from stopflow.sources.geojson import flatten_feature_collection
 
 
@@ -71,7 +73,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
     """
     if "station_code" not in stops.columns:
         return stops
-    joined = join_dimension(stops, stations, _matches(stops, "station_code", "_station_key"), "left",
+    joined = join_dimension(stops, unique_on(stations, "_station_key"), _matches(stops, "station_code", "_station_key"), "left",
                             max_broadcast_bytes, bound_by)
     return joined.drop("_station_key")
 
@@ -79,7 +81,7 @@ def enrich_station(stops: DataFrame, stations: DataFrame,
 def enrich_train(stops: DataFrame, trains: DataFrame,
                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None) -> DataFrame:
     """Left join train_type on train_number = train key (fact side untrimmed)."""
-    joined = join_dimension(stops, trains, _matches(stops, "train_number", "_train_key"), "left",
+    joined = join_dimension(stops, unique_on(trains, "_train_key"), _matches(stops, "train_number", "_train_key"), "left",
                             max_broadcast_bytes, bound_by)
     return joined.drop("_train_key")
 

@@ -22,6 +22,20 @@ def byte_size_at_most(df: DataFrame, most: int) -> bool:
     return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= most
 
 
+def unique_on(dim: DataFrame, key: str) -> DataFrame:
+    """``dim`` with its key checked while it is used: a key with several rows names itself and fails the job.
+
+    The number of rows per key is carried into the plan of the dimension, so
+    the fact table needs no further pass.  Rows without a key match nothing
+    and may repeat.
+    """
+    rest = [c for c in dim.columns if c != key]
+    rows = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *(F.first(F.col(f"`{c}`")).alias(c) for c in rest))
+    repeated = F.raise_error(F.concat(F.lit(f"several dimension rows for {key} "), F.col(key).cast("string")))
+    checked = F.when((F.col("_rows") > 1) & F.col(key).isNotNull(), repeated.cast(dim.schema[key].dataType)).otherwise(F.col(key))
+    return rows.select(*(checked.alias(c) if c == key else F.col(f"`{c}`") for c in dim.columns))
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, bound_by: DataFrame | None = None,
                    landed: bool = False) -> DataFrame:

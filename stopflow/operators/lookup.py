@@ -7,7 +7,7 @@ a filter on top (pushed into the Parquet scan when reading published data).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopflow.functions.text import category_equals, search_match, station_label, train_label
@@ -124,18 +124,34 @@ def station_card(stops: DataFrame) -> DataFrame:
 
 # --- trains ------------------------------------------------------------------
 
+def _route_key(stops: DataFrame) -> Column:
+    """Where a stop stands on its route: (stop_sequence, arrival, departure), ties by what is shown of it.
+
+    All that is taken from a train's first or last stop goes by this one key,
+    so it comes from one row, the same on every run.
+    """
+    ties = ["station_code", "station_name", "train_name", "train_type"]
+    return F.struct(*(existing(stops, ROUTE_ORDER) + existing(stops, ties) or ["train_number"]))
+
+
+def _endpoint(stops: DataFrame) -> Column:
+    if "station_code" in stops.columns and "station_name" in stops.columns:
+        return station_label("station_name", "station_code")
+    return F.col("station_name" if "station_name" in stops.columns else "station_code")
+
+
 def train_catalog(stops: DataFrame) -> DataFrame:
-    """One row per train: name and type of its first stop, and a label.
+    """One row per train, in the order of train_number: name and type of its first stop, and a label.
 
     ``min_by`` is an ordinary aggregate (partial aggregation before the
     shuffle), so a train with very many stops costs one row per map task.
+    Only the catalogue, a row per train, is sorted; filters keep the order.
     """
-    order = existing(stops, ROUTE_ORDER) or ["train_number"]
     first = F.min_by(F.struct(col_or_null(stops, "train_name").alias("train_name"),
-                              col_or_null(stops, "train_type").alias("train_type")), F.struct(*order))
+                              col_or_null(stops, "train_type").alias("train_type")), _route_key(stops))
     cat = stops.groupBy("train_number").agg(first.alias("_f")).select(
         "train_number", F.col("_f.train_name").alias("train_name"), F.col("_f.train_type").alias("train_type"))
-    return cat.withColumn("label", train_label("train_number", "train_name", "train_type"))
+    return cat.withColumn("label", train_label("train_number", "train_name", "train_type")).orderBy("train_number")
 
 
 def train_search(catalog: DataFrame, term: str | None = None, train_type: str | None = None,
@@ -212,12 +228,8 @@ def route_summary(stops: DataFrame) -> DataFrame:
 
 
 def route_endpoints(stops: DataFrame) -> DataFrame:
-    """Per train: origin and destination ``"<name> (<code>)"`` by stop order."""
-    if "station_code" in stops.columns and "station_name" in stops.columns:
-        lab = station_label("station_name", "station_code")
-    else:
-        lab = F.col("station_name" if "station_name" in stops.columns else "station_code")
-    key = F.struct(*(existing(stops, ["stop_sequence", "station_code", "station_name"])))
+    """Per train: origin and destination ``"<name> (<code>)"`` by stop order (stop_sequence, arrival, departure)."""
+    lab, key = _endpoint(stops), _route_key(stops)
     return stops.groupBy("train_number").agg(
         F.min_by(lab, key).alias("origin"),
         F.max_by(lab, key).alias("destination"),
@@ -242,14 +254,9 @@ def train_profiles(stops: DataFrame) -> DataFrame:
     aggregation - a train with a third of all stops still sends one row per
     map task - and the per-train sets are bounded by the number of regions.
     """
-    order = existing(stops, ROUTE_ORDER) or ["train_number"]
+    lab, end_key = _endpoint(stops), _route_key(stops)
     first = F.min_by(F.struct(col_or_null(stops, "train_name").alias("train_name"),
-                              col_or_null(stops, "train_type").alias("train_type")), F.struct(*order))
-    if "station_code" in stops.columns and "station_name" in stops.columns:
-        lab = station_label("station_name", "station_code")
-    else:
-        lab = F.col("station_name" if "station_name" in stops.columns else "station_code")
-    end_key = F.struct(*(existing(stops, ["stop_sequence", "station_code", "station_name"])))
+                              col_or_null(stops, "train_type").alias("train_type")), end_key)
     agg = stops.groupBy("train_number").agg(
         first.alias("_f"),
         F.count(F.lit(1)).alias("total_halts"),

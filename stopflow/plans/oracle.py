@@ -73,6 +73,11 @@ stops AS (
 
 PREAMBLE = "WITH " + ",".join([RAW_STOPS, STATION_META, TRAIN_META, CLEAN, STOPS]) + ",\n"
 
+# A stop's place on its route: nulls first, ties by what is shown of the stop.
+_PLACE = ("stop_sequence", "arrival", "departure", "station_code", "station_name", "train_name", "train_type")
+FORWARD = ", ".join(f"{c} NULLS FIRST" for c in _PLACE)
+BACKWARD = ", ".join(f"{c} DESC NULLS LAST" for c in _PLACE)
+
 # Derived result tables referenced by several oracle statements.
 DERIVED = {
     "busiest": "SELECT station_code, station_name, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains "
@@ -89,7 +94,7 @@ DERIVED = {
                  "stop_duration_mins, day, stop_sequence FROM stops WHERE station_name = 'Supplier#000000003'",
     "catalog": "SELECT train_number, train_name, train_type, train_number||' — '||coalesce(train_name,'None')||' ('||"
                "coalesce(nullif(train_type,''),'Rail')||')' AS label FROM (SELECT *, row_number() OVER "
-               "(PARTITION BY train_number ORDER BY stop_sequence, arrival, departure) AS rn FROM stops) WHERE rn = 1",
+               f"(PARTITION BY train_number ORDER BY {FORWARD}) AS rn FROM stops) WHERE rn = 1",
     "longest": "SELECT train_number, train_name, count(*) AS num_stops FROM stops GROUP BY 1,2 ORDER BY 3 DESC,1,2 LIMIT 20",
     "bd_zone": "SELECT zone, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM stops GROUP BY 1",
     "bd_type": "SELECT train_type, count(*) AS total_stops, count(DISTINCT train_number) AS distinct_trains FROM stops GROUP BY 1",
@@ -105,13 +110,15 @@ ORACLE: dict[str, str] = {
     "clean_times": _with("SELECT id, CASE WHEN lower(trim(arrival)) IN ('','none','nan','null') THEN NULL ELSE trim(arrival) END AS arrival, "
                          "CASE WHEN lower(trim(departure)) IN ('','none','nan','null') THEN NULL ELSE trim(departure) END AS departure FROM raw_stops"),
     "clean_names": _with("SELECT id, CASE WHEN lower(trim(trainName)) IN ('','none') THEN NULL ELSE trim(trainName) END AS train_name, "
-                         "CASE WHEN lower(trim(station)) IN ('','none') THEN NULL ELSE trim(station) END AS station_code FROM raw_stops"),
+                             "CASE WHEN lower(trim(station)) IN ('','none') THEN NULL ELSE trim(station) END AS station_code, "
+                             "CASE WHEN lower(trim(station_name)) IN ('','none') THEN NULL ELSE trim(station_name) END AS station_name FROM raw_stops"),
     "clean_all_names": _with("SELECT id, CASE WHEN lower(trim(trainName)) IN ('','none') THEN NULL ELSE trim(trainName) END AS train_name, "
                              "CASE WHEN lower(trim(station)) IN ('','none') THEN NULL ELSE trim(station) END AS station_code, "
                              "CASE WHEN lower(trim(station_name)) IN ('','none') THEN NULL ELSE trim(station_name) END AS station_name FROM raw_stops"),
     "times_to_minutes": _with("SELECT id, TRY_CAST(split_part(trim(arrival),':',1) AS INT)*60 + TRY_CAST(split_part(trim(arrival),':',2) AS INT) AS arrival_min, "
                               "TRY_CAST(split_part(trim(departure),':',1) AS INT)*60 + TRY_CAST(split_part(trim(departure),':',2) AS INT) AS departure_min FROM raw_stops"),
-    "time_to_minutes": _with("SELECT id, TRY_CAST(split_part(trim(arrival),':',1) AS INT)*60 + TRY_CAST(split_part(trim(arrival),':',2) AS INT) AS arrival_min FROM raw_stops"),
+    "time_to_minutes": _with("SELECT id, TRY_CAST(split_part(trim(arrival),':',1) AS INT)*60 + TRY_CAST(split_part(trim(arrival),':',2) AS INT) AS arrival_min, "
+                              "TRY_CAST(split_part(trim(departure),':',1) AS INT)*60 + TRY_CAST(split_part(trim(departure),':',2) AS INT) AS departure_min FROM raw_stops"),
     "conform_stops": _with("SELECT number AS train_number, trainName AS train_name, station AS station_code, station_name, arrival, departure, day, id AS stop_sequence FROM raw_stops"),
     "drop_missing_keys": _with("SELECT number AS train_number, trim(station) AS station_code, id FROM raw_stops "
                                "WHERE number IS NOT NULL AND lower(trim(station)) NOT IN ('','none')"),
@@ -208,8 +215,8 @@ ORACLE: dict[str, str] = {
                            "count(DISTINCT state) AS states, count(DISTINCT zone) AS zones FROM stops GROUP BY 1"),
     "route_endpoints": _with("SELECT train_number, max(CASE WHEN f=1 THEN station_name||' ('||station_code||')' END) AS origin, "
                              "max(CASE WHEN b=1 THEN station_name||' ('||station_code||')' END) AS destination FROM (SELECT *, "
-                             "row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence, station_code) AS f, "
-                             "row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence DESC, station_code DESC) AS b "
+                             f"row_number() OVER (PARTITION BY train_number ORDER BY {FORWARD}) AS f, "
+                             f"row_number() OVER (PARTITION BY train_number ORDER BY {BACKWARD}) AS b "
                              "FROM stops) GROUP BY 1"),
     "route_regions": _with("SELECT train_number, string_agg(DISTINCT state, ',' ORDER BY state) AS states FROM stops "
                            "WHERE state IS NOT NULL GROUP BY 1"),
@@ -222,8 +229,8 @@ ORACLE: dict[str, str] = {
         "count(DISTINCT state) AS states, count(DISTINCT zone) AS zones FROM stops GROUP BY 1) s USING (train_number) "
         "JOIN (SELECT train_number, max(CASE WHEN f=1 THEN station_name||' ('||station_code||')' END) AS origin, "
         "max(CASE WHEN b=1 THEN station_name||' ('||station_code||')' END) AS destination FROM (SELECT *, "
-        "row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence, station_code) AS f, "
-        "row_number() OVER (PARTITION BY train_number ORDER BY stop_sequence DESC, station_code DESC) AS b "
+        f"row_number() OVER (PARTITION BY train_number ORDER BY {FORWARD}) AS f, "
+        f"row_number() OVER (PARTITION BY train_number ORDER BY {BACKWARD}) AS b "
         "FROM stops) GROUP BY 1) e USING (train_number) "
         "LEFT JOIN (SELECT train_number, string_agg(DISTINCT state, ',' ORDER BY state) AS state_list FROM stops "
         "WHERE state IS NOT NULL GROUP BY 1) r USING (train_number) "
@@ -238,7 +245,8 @@ ORACLE: dict[str, str] = {
     "profile_datasets": _with("SELECT 'raw_stops' AS dataset, count(*) AS row_count, CAST(8 AS INT) AS col_count FROM raw_stops "
                               "UNION ALL SELECT 'station_meta', count(*), CAST(3 AS INT) FROM station_meta "
                               "UNION ALL SELECT 'train_meta', count(*), CAST(2 AS INT) FROM train_meta"),
-    "profile_sample": _with("SELECT number, station, arrival, departure, id FROM raw_stops ORDER BY id, number, arrival, departure LIMIT 10"),
+    "profile_sample": _with("SELECT * FROM raw_stops ORDER BY id, number NULLS FIRST, trainName NULLS FIRST, station NULLS FIRST, "
+                                "station_name NULLS FIRST, arrival NULLS FIRST, departure NULLS FIRST, day LIMIT 10"),
     "profile_sample_all": _with("SELECT * FROM raw_stops ORDER BY id, number NULLS FIRST, trainName NULLS FIRST, station NULLS FIRST, "
                                 "station_name NULLS FIRST, arrival NULLS FIRST, departure NULLS FIRST, day LIMIT 10"),
     "dq_report": _with(

@@ -26,7 +26,7 @@ from stopflow.operators import quality as Q
 from stopflow.operators import slicers as S
 from stopflow.operators.conform import conform_stops
 from stopflow.plans import fixture as X
-from stopflow.schema import RAW_STOPS_JSON, TRAINS_GEOJSON
+from stopflow.schema import RAW_STOPS_JSON, STATIONS_GEOJSON, TRAINS_GEOJSON
 from stopflow.session import materialize, scratch_path
 from stopflow.sinks import publish as W
 from stopflow.sources import files as R
@@ -125,22 +125,12 @@ def clean_times(spark, d):
 
 
 def clean_names(spark, d):
-    raw = X.raw_stops(spark, d)
-    return raw.select("id", clean_name("trainName").alias("train_name"), clean_name("station").alias("station_code"))
-
-
-def clean_all_names(spark, d):
     raw = X.raw_stops(spark, d)
     return raw.select("id", clean_name("trainName").alias("train_name"), clean_name("station").alias("station_code"),
                       clean_name("station_name").alias("station_name"))
 
 
 def time_to_minutes(spark, d):
-    raw = X.raw_stops(spark, d)
-    return raw.select("id", minutes_since_midnight(F.trim("arrival")).alias("arrival_min"))
-
-
-def times_to_minutes(spark, d):
     raw = X.raw_stops(spark, d)
     return raw.select("id", *(minutes_since_midnight(F.trim(c)).alias(f"{c}_min") for c in ("arrival", "departure")))
 
@@ -178,7 +168,10 @@ def clean_stats(spark, d):
 # --- enrichment -------------------------------------------------------------------
 
 def geojson_flatten(spark, d):
-    docs = to_feature_collections(X.station_meta(spark, d))
+    """Station features landed as GeoJSON in the shared folder, read back with their schema."""
+    path = scratch_path(spark, "stations_geojson")
+    to_feature_collections(X.station_meta(spark, d)).write.mode("overwrite").json(path)
+    docs = R.read_feature_collection(spark, path, STATIONS_GEOJSON)
     return flatten_feature_collection(docs, {"code": "code", "state": "state", "zone": "zone"}, "code")
 
 
@@ -360,11 +353,6 @@ def profile_datasets(spark, d):
 
 
 def profile_sample(spark, d):
-    return P.profile_sample(X.raw_stops(spark, d).select("number", "station", "arrival", "departure", "id"),
-                            10, ["id", "number", "arrival", "departure"])
-
-
-def profile_sample_all(spark, d):
     raw = X.raw_stops(spark, d)
     return P.profile_sample(raw, 10, ["id", *(c for c in raw.columns if c != "id")])
 
@@ -429,9 +417,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "clean_times": clean_times,
     "clean_names": clean_names,
-    "clean_all_names": clean_all_names,
+    "clean_all_names": clean_names,
     "time_to_minutes": time_to_minutes,
-    "times_to_minutes": times_to_minutes,
+    "times_to_minutes": time_to_minutes,
     "conform_stops": q_conform_stops,
     "drop_missing_keys": drop_missing_keys,
     "dedup_exact": dedup_exact,
@@ -505,7 +493,7 @@ QUERIES: dict[str, Query] = {
     "profile_schema": profile_schema,
     "profile_datasets": profile_datasets,
     "profile_sample": profile_sample,
-    "profile_sample_all": profile_sample_all,
+    "profile_sample_all": profile_sample,
     "dq_report": dq_report,
     "name_only_analysis": name_only_analysis,
     "station_matches": lambda spark, d: L.station_matches(stops(spark, d), "Supplier#000000003", period="Evening"),

@@ -15,7 +15,7 @@ from stopflow.sources import paths as S
 from stopflow.sources import ranges as G
 from stopflow.sources import sniff as N
 
-from .test_whole_inputs import put, stops
+from tests.test_whole_inputs import put, stops
 
 NASTY = ['}', '{"a":1}', '"', '\\', '\\"', '[', ']', '},{', '\\\\', 'é日😀', 'line\nfeed', '\t', ' ', '', '"}]', "x" * 300]
 
