@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from .common import landed, let
 
-# Fingerprint and window tables of the benchmark are broadcast up to this many
-# bytes of text, counted first; beyond it the same joins run as shuffles.
+# The benchmark's windows are broadcast up to this many bytes of text, counted
+# first; beyond it the same join runs as a shuffle.
 MOST_BROADCAST_BYTES = 16 << 20
+# The bitmap of the benchmark's fingerprints has 64 bits for each of them,
+# within these bounds (2 MB at most); a fuller one lets more through, and loses none.
+FEWEST_BITS, MOST_BITS = 1 << 16, 1 << 24
 
 _UPPER = "".join(map(chr, range(0x41, 0x5B)))
 _BREAKS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
@@ -69,6 +72,35 @@ def benchmark_windows(benchmark: DataFrame, window: int = 10) -> DataFrame:
     return rows.distinct()
 
 
+def _bitmap(windows: DataFrame, lengths: list[int]) -> list[int]:
+    """The fingerprints of the benchmark as bits of longs: at most MOST_BITS of them."""
+    if not lengths:
+        return []
+    found = windows.select("words", "len").distinct().select("len", F.explode(fingerprints(F.split("words", " "), lengths)).alias("r"))
+    found = landed(found.filter("r.len = len").select("r.f").distinct(), "benchmark-fingerprints")
+    n = min(MOST_BITS, max(FEWEST_BITS, 1 << (64 * found.count()).bit_length()))
+    at = F.pmod("f", F.lit(n))
+    rows = (found.groupBy(F.floor(at / 64).cast("int").alias("k"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))).alias("bits")).collect())
+    out = [0] * (n // 64)
+    for r in rows:
+        out[r.k] = r.bits
+    return out
+
+
+def _suspects(ws: Column, lengths: list[int], bits: list[int]) -> Column:
+    """array<struct<len, start, words>> of the windows whose fingerprint is in the bitmap."""
+    table = F.from_json(F.lit(str(bits)), "array<bigint>")  # a constant, folded once
+
+    def known(f: Column) -> Column:
+        at = F.pmod(f, F.lit(64 * len(bits)))
+        return F.get(table, F.floor(at / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))) != 0
+
+    return F.flatten(F.transform(F.filter(fingerprints(ws, lengths), lambda r: known(r["f"])), lambda r: F.transform(
+        F.sequence(r["a"], r["b"] - 1), lambda i: F.struct(
+            r["len"].alias("len"), i.alias("start"), F.array_join(F.slice(ws, i + 1, r["len"]), " ").alias("words")))))
+
+
 def _bounded(df: DataFrame, size: Column) -> DataFrame:
     """``df``, to be broadcast if its rows are counted to be small."""
     total = df.agg(F.sum(size + 32).alias("b")).first().b or 0
@@ -87,10 +119,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
        k half the window, one row per run of windows that share it.  A window
        in a document and in the benchmark has the same words, so the same
        least hash: no shared window can be missed.
-    2. Documents' fingerprints meet those of the benchmark; one row per
-       document without fingerprints carries its number of words along.
-    3. The windows that matching fingerprints stand for are cut from the
-       texts and joined to the benchmark's by their words, not by a hash.
+    2. Documents' fingerprints meet those of the benchmark in a bitmap, while
+       the text is at hand; of most texts nothing passes.  One row per
+       document carries its number of words along.
+    3. The windows that matching fingerprints stand for leave the text as
+       words and are joined to the benchmark's by them, not by a hash.
     4. Found windows are extended: overlapping and touching ones merge into
        spans.  Windows with the same set of items (number, sum and exclusive
        or of the items' hashes) are one class, so a passage that many items
@@ -99,33 +132,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     Null, empty and blank texts have no words.  Rows of equal doc_id and text
     are treated alike, each giving a row; a null doc_id stays null.  Rows
     that share an item_id are one item.  Either table may be empty; other
-    columns are ignored.  Tables of the benchmark are broadcast behind a
-    check of their bytes; other joins are shuffles on document and text hash.
+    columns are ignored.  Each text is read once and never shuffled.  The benchmark's
+    windows are broadcast behind a check of their bytes.
     """
     windows = landed(benchmark_windows(benchmark, window), "windows")
     lengths = sorted(r.len for r in windows.select("len").distinct().collect())  # at most ``window`` numbers
-    least = lambda: fingerprints(F.split("words", " "), lengths)
-    wanted = (windows.select("words", "len").distinct().select("len", F.explode(least()).alias("r")) if lengths else
-              windows.select("len", F.lit(None).cast("struct<len:int,f:bigint,a:int,b:int>").alias("r")))
-    wanted = landed(wanted.filter("r.len = len").select(F.col("len").alias("w_len"), F.col("r.f").alias("w_f")).distinct(), "wanted")
+    bits = _bitmap(windows, lengths)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("x"), "text")
-    one = F.struct(F.lit(0).alias("len"), F.lit(None).cast("long").alias("f"), F.lit(0).alias("a"))
-    per_text = let(text_words(F.col("text")), lambda ws: F.concat(
-        F.array(F.struct(*(one[c].alias(c) for c in ("len", "f", "a")), F.size(ws).alias("b"))),
-        *([fingerprints(ws, lengths)] if lengths else [])))
-    spread = rows.select("doc_id", "x", F.explode(per_text).alias("r")).select("doc_id", "x", "r.*")
-    met = spread.join(_bounded(wanted, F.lit(16)), (F.col("len") == F.col("w_len")) & (F.col("f") == F.col("w_f")), "left")
-    met = landed(met.filter("len = 0 or w_f is not null").select("doc_id", "x", "len", "a", "b"), "fingerprints")
-    every = met.filter("len = 0").select("doc_id", "x", F.col("b").cast("long").alias("n_words"))
-
+    spread = rows.select("doc_id", "x", F.explode(let(text_words(F.col("text")), lambda ws: F.concat(
+        F.array(F.struct(F.lit(0).alias("len"), F.size(ws).alias("start"), F.lit(None).cast("string").alias("words"))),
+        *([_suspects(ws, lengths, bits)] if lengths else [])))).alias("w")).select("doc_id", "x", "w.*")
+    met = landed(spread, "suspects")
+    every = met.filter("len = 0").select("doc_id", "x", F.col("start").cast("long").alias("n_words"))
     same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("x") == F.col("o_x"))
     owner = [F.col("doc_id").alias("o_id"), F.col("x").alias("o_x")]
-    places = landed(met.filter("len > 0").groupBy(*owner).agg(F.collect_set(F.struct("len", "a", "b")).alias("runs")), "runs")
-    cut = let(text_words(F.col("text")), lambda ws: F.flatten(F.transform("runs", lambda r: F.transform(
-        F.sequence(r["a"], r["b"] - 1), lambda i: F.struct(
-            i.alias("start"), r["len"].alias("len"), F.array_join(F.slice(ws, i + 1, r["len"]), " ").alias("words"))))))
-    found = rows.join(places, same).select("doc_id", "x", F.explode(cut).alias("w")).select("doc_id", "x", "w.*").distinct()
+    found = met.filter("len > 0").distinct()
 
     number = F.xxhash64("item")
     classes = windows.groupBy("words", "len").agg(F.count("*").alias("n"), F.sum(number.cast("decimal(38,0)")).alias("s"), F.bit_xor(number).alias("o"))

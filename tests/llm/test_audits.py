@@ -12,29 +12,10 @@ import pytest
 from stopflow.llm import decontaminate as dc
 from stopflow.llm import filter_audit as fa
 from stopflow.llm import hard_negatives as hn
-from stopflow.llm.queries import ORACLE, QUERIES
 
 from .conftest import CLASH, SMALL, edge_rows
 
 
-def against_sql(spark, name):
-    """A query's rows on the smallest tables, and its SQL's."""
-    con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "labels"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
-    want = con.execute(ORACLE[name])
-    columns = [d[0] for d in want.description]
-    got = QUERIES[name](spark, SMALL)
-    assert got.columns == columns
-    return sorted(map(tuple, got.collect())), sorted(want.fetchall())
-
-
-@pytest.mark.parametrize("name", ["op11_hard_negatives", "op12_decontamination", "op13_filter_audit"])
-def test_sql(spark, name):
-    got, want = against_sql(spark, name)
-    assert got == want and len(got)
-
-
 # --- hard negatives
 
 
