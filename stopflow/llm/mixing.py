@@ -32,9 +32,13 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epoch
     Size is in code points.  The mixture has ``epochs`` times the input's
     size; a source's share of it is its weight over the sum of the weights of
     the sources present.  Without ``weights`` all sources weigh the same;
-    with them, unlisted sources weigh 0.  A null source is a source of its
-    own (weight key None).  Sources without any text keep ``epochs`` copies.
+    with them, unlisted sources weigh 0, and if all that are present do, every
+    source with text has rate 0.  A negative weight is an error.  A null
+    source is a source of its own (weight key None).  Sources without any
+    text keep ``epochs`` copies.
     """
+    if any(w < 0 for w in (weights or {}).values()):
+        raise ValueError(f"negative weights: {weights}")
     by = docs.groupBy("source").agg(F.count("*").alias("n_docs"),
                                     F.sum(F.coalesce(F.char_length("text"), F.lit(0))).cast("long").alias("size"))
     if weights is None:
@@ -44,10 +48,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epoch
         for name, value in weights.items():
             weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight)
     by = materialize(by.withColumn("weight", weight), "sources")
-    all_of = by.agg(F.sum("weight").alias("weights"), F.sum("size").alias("total"))
-    share = F.col("weight") / F.col("weights") * F.col("total") * F.lit(float(epochs))
+    of_all = lambda c: by.agg(F.sum(c)).scalar()
+    share = F.try_divide(F.col("weight"), of_all("weight")) * of_all("size") * F.lit(float(epochs))
     rate = F.when(F.col("size") > 0, share / F.col("size")).otherwise(F.lit(float(epochs)))
-    return by.crossJoin(F.broadcast(all_of)).select("source", "n_docs", "size", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    return by.select("source", "n_docs", "size", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def _cdf(mean: Column) -> Column:
@@ -71,29 +75,31 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, epochs
     Rows come out in the order of ``shuffle_key``, a hash of (seed, doc_id,
     copy), over all partitions; ties by doc_id and copy.
 
-    Rows that share a doc_id draw the same count; a null doc_id is hashed as
-    ``null``.  Null texts count 0 code points.  Input columns named copy or
-    shuffle_key are replaced.  An empty table gives an empty one.
+    Rows that share a doc_id draw the same count; rows without one are told
+    apart by a hash of their text.  Null texts count 0 code points.  Input
+    columns named copy or shuffle_key are replaced.  An empty table gives an
+    empty one, as do weights of 0 for all sources present that have text.
 
     The join on source broadcasts the table of sources after counting its
     rows; a longer one is joined by AQE's choice, which splits hot sources.
     Only the global sort moves texts.
     """
     names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.coalesce(F.xxhash64("text").cast("string"), F.lit(""))))
     rates = source_rates(docs, weights, epochs)
     draws = F.greatest(F.ceil(F.col("rate") / DRAW_MEAN), F.lit(1)).cast("int")
     rates = rates.select(F.col("source").alias("_source"), draws.alias("_draws"), (F.col("rate") / draws).alias("_mean"))
     rates = materialize(rates.select("_source", "_draws", _cdf(F.col("_mean")).alias("_cdf")), "rates")
     if rates.count() <= MOST_BROADCAST:
         rates = F.broadcast(rates)
-    rows = carried(docs.select(*(f"`{c}`" for c in names)), "doc_id", "source")
+    rows = carried(docs.select(*(f"`{c}`" for c in names)).withColumn("_key", own), "doc_id", "source", "_key")
     rows = rows.join(rates, F.col("source").eqNullSafe(F.col("_source")))
     one = lambda u: F.size(F.filter("_cdf", lambda c: c <= u))
     count = F.aggregate(F.sequence(F.lit(0), F.col("_draws") - 1), F.lit(0),
-                        lambda acc, j: acc + one(hash_uniform(F.lit(seed), F.lit("count"), F.col("doc_id"), j)))
+                        lambda acc, j: acc + one(hash_uniform(F.lit(seed), F.lit("count"), F.col("_key"), j)))
     rows = (rows.withColumn("_n", count).filter("_n > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))))
-    rows = rows.withColumn("shuffle_key", hash52(F.lit(seed), F.lit("place"), F.col("doc_id"), F.col("copy")))
+    rows = rows.withColumn("shuffle_key", hash52(F.lit(seed), F.lit("place"), F.col("_key"), F.col("copy")))
     rows = rows.select("doc_id", "source", "_rest", "copy", "shuffle_key").orderBy("shuffle_key", "doc_id", "copy")
     return rows.select(*restored(names, "doc_id", "source"), "copy", "shuffle_key")
 
