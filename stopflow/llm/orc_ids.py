@@ -38,9 +38,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaced: b
         enc, end = encoder(tokenizer, spaced), end_id.to_bytes(4, "little")
         part, before = TaskContext.get().partitionId(), 0
         for b in batches:
+            each = enc.encode_many(b.column(1))
             for at in range(0, b.num_rows, 512):
                 s = b.slice(at, 512)
-                ids = [enc.encode(t.as_py()) + end for t in s.column(1)]
+                ids = [next(each) + end for _ in range(s.num_rows)]
                 n = [len(x) // 4 for x in ids]
                 offsets, starts = [0], []
                 for k in n:

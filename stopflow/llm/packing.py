@@ -29,8 +29,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int
         enc, end = encoder(tokenizer, spaced), end_id.to_bytes(4, "little")
         for b in batches:
             rows = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = enc.encode(text.as_py()) + end
+            for doc_id, ids in zip(b.column(0).to_pylist(), enc.encode_many(b.column(1)), strict=True):
+                ids += end
                 n, at, piece = len(ids) // 4, 0, 0
                 while at < n:
                     size = min(n - at, (n - at) % capacity or capacity)

@@ -1,15 +1,18 @@
 """Token counts, token-ID files and packing against the tokenizers library itself."""
 
 import math
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from stopflow.llm import chunks
 from stopflow.llm.chunks import Encoder
 from stopflow.llm.orc_ids import id_digests, read_ids, write_ids
 from stopflow.llm.packing import _after, _openers, pack_documents, successor_sweep
@@ -44,6 +47,23 @@ def test_encoder_equals_library(path, spaced):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path,spaced", [(WORD, False), (BYTE, True)])
+def test_texts_encoded_together(path, spaced, texts, monkeypatch):
+    """Groups of texts give each text the library's ids: nulls, safe and unsafe ones side by side, slices, one text a group."""
+    rnd = random.Random(7)
+    alphabet = "aAbZ\u00e9\u00c9.,!<' \n\n\t\0 \u00a0\u65e5"
+    some = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(60))) for _ in range(300)]
+    some += ["", " ", "\n", "a  b", "plain words, here.\nAnd there", "\0a b", "a \0", "<|endoftext|> x", *list(texts.values())[:50]]
+    want = [np.asarray(x, "<u4").tobytes() for x in ids_of(path, some)]
+    for size in (1, 500, chunks.GROUP_BYTES):
+        monkeypatch.setattr(chunks, "GROUP_BYTES", size)
+        enc = Encoder(path, spaced)
+        assert list(enc.encode_many(pa.array(some))) == want
+        assert list(enc.encode_many(pa.array([None, *some, None]).slice(5, 40))) == want[4:44]
+    assert list(enc.encode_many(pa.array([None, "x"], pa.large_string()))) == [b"", enc.encode("x")]
+    assert list(enc.encode_many(pa.array([], pa.string()))) == []
+
+
 def test_counts(spark, texts):
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in QUERIES["op8_token_counts"](spark, SMALL).collect()}
     want = {i: (len(t.encode()), len(x), len(x) > 2048) for (i, t), x in zip(texts.items(), ids_of(WORD, texts.values()), strict=True)}
