@@ -171,3 +171,29 @@ def test_pack_stage(stages):
     ids = list(zip((i for i, _ in rows), ids_of(public_tokenizers.path("byte_bpe_50k.json"), [t for _, t in rows]), strict=True))
     least = math.ceil(sum(len(x) + 1 for _, x in ids) / 1024)
     assert check_packing(new.collect(), ids, 2, 1024) <= 1.02 * least + 1
+
+
+def test_pipeline_of_nothing(spark, none, tmp_dir):
+    """Empty tables go through all stages."""
+    none.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    got = corpus_pipeline.run(spark, tmp_dir)
+    assert got.collect() == [] and "sequence_id" in got.columns
+
+
+def test_pipeline_of_edges(spark, clashing, tmp_dir):
+    """Nulls, repeated rows and ids, empty texts and clashing names (one with a dot) go through all stages; columns stay until the last."""
+    from pyspark.sql import functions as F
+
+    docs = clashing.withColumn("a.b", F.lit("dotted"))
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (9, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, tmp_dir).write.parquet(f"{tmp_dir}/{name}")
+        new = spark.read.parquet(f"{tmp_dir}/{name}")
+        assert new.columns == docs.columns and new.count() > 0
+        docs = new
+    left = docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, tmp_dir).collect()
+    assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed) >= left
