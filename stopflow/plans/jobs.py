@@ -31,6 +31,7 @@ from stopflow.operators import profile as P
 from stopflow.operators.conform import station_display, station_key
 from stopflow.schema import STATIONS_GEOJSON, TRAINS_GEOJSON
 from stopflow.sinks import publish as W
+from stopflow.sinks import versions as V
 from stopflow.sources import files as R
 from stopflow.sources.paths import exists
 
@@ -92,9 +93,12 @@ def load_raw(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: str | None = None,
-              trains_path: str | None = None, raw_schema: T.StructType | None = None) -> dict:
+              trains_path: str | None = None, raw_schema: T.StructType | None = None, versioned: bool = False) -> dict:
     """Clean the raw feed, enrich it, publish ``stops.parquet`` and ``clean_stats.json``.
 
+    With ``versioned`` the stops are published as the next version of a table
+    (:mod:`stopflow.sinks.versions`), so a run that ends early leaves the one
+    before readable; the analyse job reads either form.
     Give ``raw_schema`` to skip JSON schema inference.  A path that is given
     must exist; records that can't be parsed fail the job.
     """
@@ -117,7 +121,10 @@ def clean_job(spark: SparkSession, raw_path: str, out_dir: str, stations_path: s
     # cluster each file by station, bloom-filter the equality keys.
     cluster = [c for c in ("station_name", "train_number") if c in stops.columns]
     blooms = [c for c in ("train_number", "station_code") if c in stops.columns]
-    W.write_table(stops, f"{out_dir}/stops.parquet", cluster_by=cluster, bloom_filter_columns=blooms)
+    if versioned:
+        V.publish_version(stops, f"{out_dir}/stops.parquet", cluster_by=cluster, bloom_filter_columns=blooms)
+    else:
+        W.write_table(stops, f"{out_dir}/stops.parquet", cluster_by=cluster, bloom_filter_columns=blooms)
     metrics = stats.as_dict()
     W.write_metrics(spark, metrics, f"{out_dir}/clean_stats.json")
     return metrics
@@ -144,7 +151,7 @@ def analyse_job(spark: SparkSession, stops_path: str, out_dir: str, clean_stats_
     """
     _require(spark, stops_path, "stops table")
     start = time.time()
-    stops = spark.read.parquet(stops_path)
+    stops = V.read_version(spark, stops_path) if V.versions(spark, stops_path) else spark.read.parquet(stops_path)
     timings = {} if timings is None else timings
 
     def timed(name: str, fn) -> None:

@@ -296,6 +296,7 @@ ORACLE: dict[str, str] = {
                       "nullif(station_name,'') AS station_name, nullif(arrival,'') AS arrival, nullif(departure,'') AS departure, "
                       "CAST(day AS VARCHAR) AS day, CAST(id AS VARCHAR) AS id FROM raw_stops"),
     "publish_parquet": _with("SELECT * FROM stops"),
+    "publish_versions": _with("SELECT * FROM stops"),
     # CSV carries text only, and an empty field reads back as null.
     "export_csv": _with("SELECT " + ", ".join(
         f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in

@@ -29,6 +29,7 @@ from stopflow.plans import fixture as X
 from stopflow.schema import RAW_STOPS_JSON, STATIONS_GEOJSON, TRAINS_GEOJSON
 from stopflow.session import materialize, scratch_path
 from stopflow.sinks import publish as W
+from stopflow.sinks import versions as V
 from stopflow.sources import files as R
 from stopflow.sources.geojson import flatten_feature_collection, to_feature_collections
 
@@ -410,6 +411,15 @@ def publish_parquet(spark, d):
     return spark.read.parquet(path)
 
 
+def publish_versions(spark, d):
+    """The raw feed's clean stops published over an earlier version of fewer columns, the current version read back."""
+    path = scratch_path(spark, "stops_versions")
+    table = stops(spark, d)
+    V.publish_version(table.drop("state", "zone"), path)
+    V.publish_version(table, path, cluster_by=["station_name"])
+    return V.read_version(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_json": scan_json,
@@ -489,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "export_csv": export_csv,
     "clean_stats_json": clean_stats_json,
     "publish_parquet": publish_parquet,
+    "publish_versions": publish_versions,
     "profile_nulls": profile_nulls,
     "profile_schema": profile_schema,
     "profile_datasets": profile_datasets,

@@ -12,24 +12,25 @@ from pyspark.sql import SparkSession
 LONGEST_FIRST_LINE = 64 << 20
 
 
-def _open(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """The filesystem that holds ``path``, and the path in it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, at = _open(spark, path)
+    fs, at = filesystem(spark, path)
     return fs.exists(at)
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    fs, at = _open(spark, path)
+    fs, at = filesystem(spark, path)
     return fs.exists(at) and fs.getFileStatus(at).isDirectory()
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The non-empty data files that a reader of ``path`` reads, in order (hidden and underscore names left out)."""
-    fs, at = _open(spark, path)
+    fs, at = filesystem(spark, path)
     if not fs.exists(at):
         raise ValueError(f"nothing found at {path}")
     out = []
@@ -45,7 +46,7 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
 
 def first_line(spark: SparkSession, path: str) -> bytes:
     """The first non-blank line of a (possibly compressed) file, or its first LONGEST_FIRST_LINE bytes."""
-    fs, at = _open(spark, path)
+    fs, at = filesystem(spark, path)
     codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(at)
     stream, got = fs.open(at), b""
     if codec is not None:
