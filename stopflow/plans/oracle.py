@@ -123,6 +123,7 @@ ORACLE: dict[str, str] = {
     "drop_missing_keys": _with("SELECT number AS train_number, trim(station) AS station_code, id FROM raw_stops "
                                "WHERE number IS NOT NULL AND lower(trim(station)) NOT IN ('','none')"),
     "dedup_exact": _with("SELECT DISTINCT * FROM raw_stops"),
+    "dedup_batches": _with("SELECT DISTINCT * FROM raw_stops"),
     "clean_stops": _with("SELECT * FROM clean"),
     "stop_duration": _with("SELECT train_number, stop_sequence, arrival, departure, stop_duration_mins FROM clean"),
     "midnight_crossings": _with("SELECT train_number, stop_sequence, station_code, stop_duration_mins FROM clean "
