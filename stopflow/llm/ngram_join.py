@@ -18,7 +18,10 @@ from .spans import word_hashes
 MOST_BROADCAST = 1_000_000
 # Sets are counted by blocks of documents against ranges of hashes, each of
 # about so many shingles.
-BLOCK, SHARD = 1 << 19, 1 << 21
+BLOCK, SHARD = 1 << 19, 1 << 20
+# The search for candidates keeps so many bytes of each shingle's hash; pairs
+# are verified on whole hashes.
+KEPT = 5
 _SIGNATURE = ("s0", "s1", "s2", "s3")
 
 
@@ -47,6 +50,23 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
         yield s[np.append(True, s[1:] != s[:-1])] if len(s) else s
 
 
+def _short(s: np.ndarray) -> np.ndarray:
+    """The first KEPT bytes of each hash of a set, ascending and distinct."""
+    v = s >> np.uint64(64 - 8 * KEPT)
+    return v[np.append(True, v[1:] != v[:-1])] if len(v) else v
+
+
+def _pack(v: np.ndarray) -> bytes:
+    """Numbers of KEPT bytes."""
+    return np.ascontiguousarray(v, "<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // KEPT, 8), np.uint8)
+    out[:, :KEPT] = np.frombuffer(raw, np.uint8).reshape(-1, KEPT)
+    return out.view("<u8").ravel()
+
+
 def _least_shared(total: np.ndarray | Column, share: tuple[int, int]):
     """The least intersection of two linked sets of ``total`` elements together."""
     num, den = share
@@ -61,7 +81,7 @@ def _prefix_length(n: int, share: tuple[int, int]) -> int:
     return n + num * n // -den + 1
 
 
-_SET = "block long, digest binary, content binary, n long, s0 long, s1 long, s2 long, s3 long, shingles binary"
+_SET = "block long, digest binary, content binary, n long, size long, s0 long, s1 long, s2 long, s3 long, shingles binary"
 
 
 def _sets(words: int):
@@ -74,24 +94,24 @@ def _sets(words: int):
                 if held > BLOCK:
                     block, held = block + 1, 0
                 held += len(s)
-                raw = s.tobytes()
-                odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+                v = _short(s)
+                odd = np.bincount((v & np.uint64(255)).astype(np.int64), minlength=256) & 1
                 sig = np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
-                rows.append((block, blake2b(raw, digest_size=16).digest(), content, len(s), *sig, raw))
-            cols = list(zip(*rows, strict=True)) or [()] * 9
-            kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5, pa.binary()]
+                rows.append((block, blake2b(s.tobytes(), digest_size=16).digest(), content, len(s), len(v), *sig, _pack(v)))
+            cols = list(zip(*rows, strict=True)) or [()] * 10
+            kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 6, pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                              names=[c.split()[0] for c in _SET.split(", ")])
     return run
 
 
-def _joined(column: pa.Array | pa.ChunkedArray, kind: type = np.uint64) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+def _joined(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return _unpack(b"".join(column.to_pylist()))
 
 
 def _by_shard(shards: int):
-    """The distinct shingles of each block, cut into equal ranges of hashes, with the number of sets that have them."""
-    width = (1 << 64) // shards
+    """The distinct shingles of each block, cut into equal ranges of hashes, with the number of its sets that have them (65,535 at most)."""
+    width = (1 << 8 * KEPT) // shards
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.array([k * width for k in range(1, shards)], np.uint64)
@@ -101,11 +121,11 @@ def _by_shard(shards: int):
             for block in np.unique(blocks):
                 s = np.sort(_joined(b.column(1).filter(pa.array(blocks == block))))
                 first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
-                s, seen = s[first], np.diff(np.append(first, len(s))).astype(np.uint32)
+                s, seen = s[first], np.minimum(np.diff(np.append(first, len(s))), 2**16 - 1).astype(np.uint16)
                 ends = [0, *np.searchsorted(s, cuts).tolist(), len(s)]
                 for k, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
                     if x < y:
-                        for col, v in zip(out, (int(block), k, s[x:y].tobytes(), seen[x:y].tobytes()), strict=True):
+                        for col, v in zip(out, (int(block), k, _pack(s[x:y]), seen[x:y].tobytes()), strict=True):
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
                                              names=["block", "shard", "shingles", "seen"])
@@ -113,19 +133,19 @@ def _by_shard(shards: int):
 
 
 def _counted(rows: pa.Table) -> pa.Table:
-    """Of one range of hashes, the shingles of each block that several sets have, and how many have them."""
-    s, seen = _joined(rows.column("shingles")), _joined(rows.column("seen"), np.uint32)
+    """Of one range of hashes, the shingles of each block that several sets have, and how many have them (65,535 at most: any order is exact)."""
+    s, seen = _joined(rows.column("shingles")), np.frombuffer(b"".join(rows.column("seen").to_pylist()), np.uint16)
     order = np.argsort(s, kind="stable")
     starts = np.flatnonzero(np.append(True, s[order][1:] != s[order][:-1])) if len(s) else np.zeros(0, np.int64)
     total = np.add.reduceat(seen[order].astype(np.int64), starts) if len(s) else np.zeros(0, np.int64)
     df = np.empty(len(s), np.int64)
     df[order] = np.repeat(total, np.diff(np.append(starts, len(s))))
-    sizes = [len(x) // 8 for x in rows.column("shingles").to_pylist()]
+    sizes = [len(x) // KEPT for x in rows.column("shingles").to_pylist()]
     out = [[], [], []]
     for block, b in zip(rows.column("block").to_pylist(), np.cumsum(sizes).tolist(), strict=True):
         a = b - sizes[len(out[0])]
         often = df[a:b] > 1
-        for col, v in zip(out, (block, s[a:b][often].tobytes(), np.minimum(df[a:b][often], 2**32 - 1).astype(np.uint32).tobytes()), strict=True):
+        for col, v in zip(out, (block, _pack(s[a:b][often]), np.minimum(df[a:b][often], 2**16 - 1).astype(np.uint16).tobytes()), strict=True):
             col.append(v)
     return pa.table([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["of", "common", "times"])
 
@@ -136,12 +156,12 @@ def _prefixes(share: tuple[int, int]):
     ``pos`` counts all shingles, in the order of frequency, then hash.
     """
     def run(sets: pa.Table, counts: pa.Table) -> pa.Table:
-        common, times = _joined(counts.column("common")), _joined(counts.column("times"), np.uint32)
+        common, times = _joined(counts.column("common")), np.frombuffer(b"".join(counts.column("times").to_pylist()), np.uint16)
         order = np.argsort(common)
         common, times = common[order], times[order]
         out = [[], [], [], []]
         for c, raw in zip(sets.column("c").to_pylist(), sets.column("shingles").to_pylist(), strict=True) if len(common) else ():
-            s = np.frombuffer(raw, np.uint64)
+            s = _unpack(raw)
             p = _prefix_length(len(s), share)
             at = np.minimum(np.searchsorted(common, s), len(common) - 1)
             met = common[at] == s
@@ -157,6 +177,15 @@ def _prefixes(share: tuple[int, int]):
     return run
 
 
+def _whole(words: int):
+    """Whole hashes of each text's set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [s.tobytes() for s in shingle_sets(b.column(1), words)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["of", "shingles"])
+    return run
+
+
 def _verify(share: tuple[int, int]):
     """Keeps the pairs whose whole sets are similar enough."""
     cuts = (np.arange(1, 16, dtype=np.uint64) << np.uint64(60))
@@ -193,11 +222,15 @@ def _possible(na: Column, nb: Column, pa_: Column, pb: Column, apart: Column, sh
     return ((F.least(na, nb) * den >= F.greatest(na, nb) * num) & (F.least(na - pa_, nb - pb) >= need) & (apart <= na + nb - 2 * need))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], name: str) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, sets: DataFrame, words: int, share: tuple[int, int], name: str) -> DataFrame:
     """The pairs (u, v) of ``pairs`` (a, b) that are similar enough by their whole sets."""
-    ids = landed(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), f"{name}-wanted")
-    wanted = landed(sets.join(_few(ids), F.col("rid") == F.col("at"), "left_semi").select("rid", "shingles"), f"{name}-sets")
-    side = lambda x: wanted.select(F.col("rid").alias(f"c{x}"), F.col("shingles").alias(f"set_{x}"))
+    ids = landed(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), f"{name}-ids")
+    wanted = landed(sets.select("rid", "content").join(_few(ids), F.col("rid") == F.col("at"), "left_semi"), f"{name}-wanted")
+    # copies of a text are merged before their shuffle and after it
+    own = texts.join(_few(wanted.select(F.col("content").alias("c"))), F.col("content") == F.col("c"), "left_semi").distinct()
+    whole = landed(own.mapInArrow(_whole(words), "of binary, shingles binary").join(wanted, F.col("of") == F.col("content"))
+                   .select("rid", "shingles"), f"{name}-sets")
+    side = lambda x: whole.select(F.col("rid").alias(f"c{x}"), F.col("shingles").alias(f"set_{x}"))
     both = pairs.join(side("b"), F.col("b") == F.col("cb")).join(side("a"), F.col("a") == F.col("ca"))
     return landed(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(share), "u long, v long"), f"{name}-links")
 
@@ -210,11 +243,11 @@ def _content(text: Column) -> Column:
 def _grouped(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """doc_id, n, component_id, x and g (a number of each component, null without shingles) for every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = rows.filter("text is not null").select("text").distinct().select(_content(F.col("text")).alias("content"), "text")
-    sets = landed(texts.mapInArrow(_sets(words), _SET).filter("n > 0").withColumn("rid", F.monotonically_increasing_id()), "sets")
+    texts = rows.filter("text is not null").select(_content(F.col("text")).alias("content"), "text")
+    sets = landed(texts.distinct().mapInArrow(_sets(words), _SET).filter("n > 0").withColumn("rid", F.monotonically_increasing_id()), "sets")
     by_set = sets.groupBy("digest").agg(F.min("rid").alias("c"))
     of_text = landed(sets.select("digest", "content", "n").join(by_set, "digest").select("content", "c", "n"), "classes")
-    facts = sets.select(F.col("rid").alias("k"), F.col("n").alias("kn"), *_SIGNATURE)
+    facts = sets.select(F.col("rid").alias("k"), F.col("size").alias("kn"), *_SIGNATURE)
 
     total = sets.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // SHARD))
@@ -237,7 +270,7 @@ def _grouped(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     star = (shared.filter("c <> rep").alias("x").join(reps.alias("y"), F.col("x.rep") == F.col("y.c"))
             .filter(met("x.pos", "x.rep_pos")).select(*pair).distinct())
     star = landed(star, "star-pairs")
-    links = _links(star, sets, share, "star")
+    links = _links(star, texts, sets, words, share, "star")
     vertices = shared.select(F.col("c").alias("id")).distinct()
     group = landed(connected_components(vertices, links), "groups")
 
@@ -248,7 +281,7 @@ def _grouped(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
                                    & (F.col("x.g") != F.col("y.g")) & met("x.pos", "y.pos")).select(*pair).distinct())
     # a pair that the star has rejected is in two components still, and not looked at again
     across = landed(across.join(star, ["a", "b"], "left_anti"), "across-pairs")
-    more = _links(across, sets, share, "across")
+    more = _links(across, texts, sets, words, share, "across")
     group = connected_components(vertices, links.unionByName(more))
 
     named = landed(of_text.select("content", "c", "n").join(group, F.col("c") == F.col("id"), "left")
@@ -270,8 +303,8 @@ def ngram_components(docs: DataFrame, words: int = 5, share: tuple[int, int] = (
     1. Copies of a text are merged, then equal sets (128-bit digests of whole
        sets) form a class; classes, not copies, are compared.
     2. Every shingle is counted over all distinct texts: blocks of documents
-       hand their distinct shingles to ranges of hashes and get back the
-       numbers of those that more than one text has.
+       hand their distinct shingles (40 bits of each hash) to ranges of hashes
+       and get back the numbers of those that more than one text has.
     3. A class's prefix holds its rarest shingles, of which a linked set must
        have one.  Those that no other text has take their places in it but
        need no row, so only texts that are near copies in most parts have
@@ -280,7 +313,8 @@ def ngram_components(docs: DataFrame, words: int = 5, share: tuple[int, int] = (
     4. First every class meets, per prefix shingle, only the class that has
        it earliest, the one with fewest rarer shingles of its own.  Length,
        positional and suffix filters thin the pairs, each left is verified
-       once on whole sets, and links are merged into components.
+       once on whole sets of 64-bit hashes, and links are merged into
+       components.
     5. Then only pairs in different components that share a prefix shingle
        remain, without those rejected before; they go through the same
        filters and verification.  Pairs inside a component need not be looked
