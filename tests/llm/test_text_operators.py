@@ -23,7 +23,7 @@ def test_oracle(spark, name):
     got = QUERIES[name](spark, SMALL)
     cols = sorted(got.columns)
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.execute(ORACLE[name])
     names = [d[0] for d in want.description]
@@ -36,6 +36,14 @@ def lines_of(text):
     return [x for x in re.split(r"(?<=\n)|(?<=[.!?] )", text) if x]
 
 
+def test_split_lines(spark):
+    """The plain replacements cut where the regular expression does, marks in the text included."""
+    texts = ["", None, "\n", "a. b! c? d.e\nf\n\n", "a. \nb", "...  ?! ", "mark \1 a. b\n\1", ". \1. ", "é. 日本\n\U0001f600! x", *(r[1] for r in edge_rows())]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    got = {r.k: r.ls for r in df.select("k", ld.split_lines(F.col("text")).alias("ls")).collect()}
+    assert [got[k] for k in range(len(texts))] == [None if t is None else lines_of(t) for t in texts]
+
+
 def brute_dedup(rows):
     """Texts after removal, by (doc_id, text) in the order of rows."""
     seen = {}
@@ -194,6 +202,26 @@ def test_mix_weights(spark):
     assert abs(big.count() - 800) < 150
 
 
+def test_mix_zero_weights(spark, clashing):
+    """Weights that leave nothing give no rows but those of sources without text; negative ones are refused."""
+    for weights in ({"zz": 1.0}, {}, {"s1": 0.0}):
+        rates = {r.source: r.rate for r in source_rates(clashing, weights).collect()}
+        assert set(rates.values()) == {0.0}
+        assert mix_sources(clashing, weights).collect() == []
+    docs = spark.createDataFrame([(1, "a b", "en", "s", 3), (2, "", "en", "t", 0)], SCHEMA)
+    assert {r.doc_id for r in mix_sources(docs, {"zz": 1.0}, epochs=30.0).collect()} == {2}
+    with pytest.raises(ValueError, match="negative"):
+        source_rates(docs, {"s": -1.0})
+
+
+def test_mix_without_ids(spark):
+    """Rows without an id draw counts of their own, so weights hold for them too."""
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.format_string("%05d", "id")).alias("text"),
+                                    F.lit("en").alias("lang"), F.concat(F.lit("s"), (F.col("id") % 2).cast("string")).alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    got = {r.source: r.n for r in mix_sources(docs, {"s0": 0.25, "s1": 0.75}).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert abs(got["s0"] - 1000) < 5 * 1000**0.5 and abs(got["s1"] - 3000) < 5 * 3000**0.5
+
+
 def test_mix_edges(clashing, none):
     a, b = mix_sources(clashing).collect(), mix_sources(clashing.repartition(7)).collect()
     assert [r.shuffle_key for r in a] == sorted(r.shuffle_key for r in a)
