@@ -67,13 +67,15 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
         raise ValueError(f"nothing found at {path}")
     limit = _split_bytes(spark, split_bytes)
     by_kind: dict[str, list[str]] = {}
+    large_bytes = 0
     for f in found_files(spark, path, "json"):
         kind = f.kind if f.kind == "lines" else "large" if f.kind == "array" and f.size > limit else "document"
         by_kind.setdefault(kind, []).append(f.path)
+        large_bytes += f.size if kind == "large" else 0
     alone = len(by_kind) < 2
     parts = [reader(kind == "document").json(path if alone else by_kind[kind]) for kind in ("lines", "document") if kind in by_kind]
     if "large" in by_kind:
-        parts.append(parsed_json(array_records(spark, by_kind["large"], limit), schema))
+        parts.append(parsed_json(array_records(spark, by_kind["large"], limit, large_bytes), schema))
     return _together(parts) if parts else reader(False).json(path)
 
 
@@ -107,15 +109,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         schema = schema or T.StructType([T.StructField(c, T.StringType()) for c in columns])
     limit = _split_bytes(spark, split_bytes) if multi_line is None else None
     by_header: dict[tuple[tuple[str, ...], str], list[str]] = {}
+    sizes: dict[tuple[tuple[str, ...], str], int] = {}
     for f in found_files(spark, path, "csv"):
         large = limit is not None and f.size > limit
-        by_header.setdefault((header_names(f.kind), "small" if not large else "returns" if f.kind.endswith("\r") else "feeds"), []).append(f.path)
+        layout = (header_names(f.kind), "small" if not large else "returns" if f.kind.endswith("\r") else "feeds")
+        by_header.setdefault(layout, []).append(f.path)
+        sizes[layout] = sizes.get(layout, 0) + f.size
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     out = None
     for (header, size), files in sorted(by_header.items()):
         own = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
         if size != "small":
-            part = parsed_csv(csv_records(spark, files, limit, size == "returns"), own)
+            part = parsed_csv(csv_records(spark, files, limit, size == "returns", sizes[header, size]), own)
         else:
             part = reader().schema(own).csv(files if len(by_header) > 1 else path)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)

@@ -16,6 +16,9 @@ task of its own:
 Spark's own text reader makes the ranges: it is told to end a line at the
 byte that may end a record, so the ranges fall right for local and remote
 files alike.  A compressed file, which can't be split, is one range.
+
+A task takes many ranges, one after the other, if they are small: how many
+tasks there are follows the session's scan split size, not the ranges'.
 """
 
 from __future__ import annotations
@@ -57,9 +60,16 @@ def split_size(spark: SparkSession, split_bytes: int):
                 spark.conf.set(k, v)
 
 
-def _segments(spark: SparkSession, files: list[str], end: str) -> DataFrame:
-    return (spark.read.option("lineSep", end).text(files)
+def tasks_for(spark: SparkSession, size: int, split_bytes: int) -> int:
+    """Tasks to read ``size`` bytes: of the session's scan split size each, but no fewer than two a core while ranges of ``split_bytes`` last."""
+    usual = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(-(-size // max(usual, split_bytes)), min(-(-size // split_bytes), 2 * spark.sparkContext.defaultParallelism), 1)
+
+
+def _segments(spark: SparkSession, files: list[str], end: str, tasks: int | None = None) -> DataFrame:
+    rows = (spark.read.option("lineSep", end).text(files)
             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")))
+    return rows if tasks is None else rows.coalesce(tasks)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch]]:
@@ -276,10 +286,11 @@ def _states(summary: DataFrame) -> DataFrame:
 
 
 def _records(spark: SparkSession, files: list[str], end: str, split_bytes: int, summed: Callable, cut: Callable,
-             check: Callable[[DataFrame], None], name: str) -> DataFrame:
+             check: Callable[[DataFrame], None], name: str, size: int | None) -> DataFrame:
     """One row, text, per record of the files; and the last rest of each file with ended false."""
+    tasks = None if size is None else tasks_for(spark, size, split_bytes)
     with split_size(spark, split_bytes):
-        segments = _segments(spark, files, end)
+        segments = _segments(spark, files, end, tasks)
         states = materialize(_states(segments.mapInArrow(summed, _SUMMARY)), f"{name}-ranges")
         if (n := states.count()) > MOST_RANGES:
             raise ValueError(f"{n} ranges of {split_bytes} bytes; at most {MOST_RANGES} are read at once, so give a larger split_bytes")
@@ -302,13 +313,14 @@ def _closed(states: DataFrame) -> None:
         raise ValueError(f"malformed JSON array, not closed: {', '.join(r.file for r in odd)}")
 
 
-def array_records(spark: SparkSession, files: list[str], split_bytes: int) -> DataFrame:
+def array_records(spark: SparkSession, files: list[str], split_bytes: int, size: int | None = None) -> DataFrame:
     """One row, value, with a JSON object as one line for each element of the arrays in ``files``.
 
+    With ``size``, the files' bytes, tasks take many small ranges; else one each.
     An element that is no object and text outside the elements give a value
     that can't be parsed; an array that is not closed is an error.
     """
-    rows = _records(spark, files, "}", split_bytes, _sum_json, _cut_json, _closed, "json")
+    rows = _records(spark, files, "}", split_bytes, _sum_json, _cut_json, _closed, "json", size)
     text = F.regexp_replace(F.col("text"), "^[\\uFEFF\\s,]+", "")
     ended = F.when(F.startswith(text, F.lit("{")), F.translate(text, "\n\r", "  ")).otherwise(F.concat(F.lit("malformed: "), text))
     closing = F.regexp_like("text", F.lit(r"^\s*\]\s*\}$"))
@@ -316,14 +328,15 @@ def array_records(spark: SparkSession, files: list[str], split_bytes: int) -> Da
         rows.filter(~F.col("ended") & ~closing).select(F.concat(F.lit("malformed: "), F.col("text")).alias("value")))
 
 
-def csv_records(spark: SparkSession, files: list[str], split_bytes: int, returns: bool = False) -> DataFrame:
+def csv_records(spark: SparkSession, files: list[str], split_bytes: int, returns: bool = False, size: int | None = None) -> DataFrame:
     """One row, value, for each record of the CSV ``files`` but their header; a record may span lines.
 
+    With ``size``, the files' bytes, tasks take many small ranges; else one each.
     With ``returns`` lines end in a carriage return and a line feed, and such
     ends inside quotes become line feeds, as in Spark's own reader.  A last
     record whose quotes are not closed comes as it stands.
     """
-    rows = _records(spark, files, "\n", split_bytes, _sum_csv, _cut_csv, lambda states: None, "csv")
+    rows = _records(spark, files, "\n", split_bytes, _sum_csv, _cut_csv, lambda states: None, "csv", size)
     text = F.regexp_replace(F.replace("text", F.lit("\r\n"), F.lit("\n")) if returns else F.col("text"), "\r$", "")
     return rows.select(text.alias("value")).filter(F.col("value") != "")
 
