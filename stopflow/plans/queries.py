@@ -427,7 +427,7 @@ def dedup_batches(spark, d):
 def publish_versions(spark, d):
     """The raw feed's clean stops published over an earlier version of fewer columns, the current version read back."""
     path = scratch_path(spark, "stops_versions")
-    table = stops(spark, d)
+    table = materialize(stops(spark, d), "versions-stops", "zstd")  # computed once for both versions
     V.publish_version(table.drop("state", "zone"), path)
     V.publish_version(table, path, cluster_by=["station_name"])
     return V.read_version(spark, path)
