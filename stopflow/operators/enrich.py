@@ -58,8 +58,14 @@ def train_dimension_from_geojson(fc: DataFrame) -> DataFrame:
 
 
 def _matches(stops: DataFrame, key: str, dim_key: str) -> Column:
-    """``key`` = ``dim_key``; in a shuffle join rows without a key are spread by a hash of the row, as they match nothing anyway."""
-    spread = F.concat(F.lit("\0"), (F.xxhash64(*stops.columns) % 1024).cast("string"))
+    """``key`` = ``dim_key``; in a shuffle join rows without a key are spread by a hash of the row, as they match nothing anyway.
+
+    Of a row that has them, its place in the feed and its other key are
+    hashed: a hash of all columns would carry those through the join's
+    shuffle that nothing reads afterwards.
+    """
+    narrow = [c for c in ("stop_sequence", "train_number", "station_code") if c in stops.columns and c != key]
+    spread = F.concat(F.lit("\0"), (F.xxhash64(*(narrow if "stop_sequence" in narrow else stops.columns)) % 1024).cast("string"))
     return (F.coalesce(F.col(key), spread) == F.col(dim_key)) & F.col(key).isNotNull()
 
 

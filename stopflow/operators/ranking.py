@@ -8,48 +8,76 @@ without that hot task:
 1. a global sort on ``(g, k, all other columns)`` - range partitioning
    samples the full key, so a hot group is cut into many contiguous slices;
    rows that agree in every column are interchangeable;
-2. each row gets its position inside its sorted partition; this table is
-   written once to the shared checkpoint folder, which pins the positions
-   and cuts the lineage (the small offsets table of step 4 is written too,
-   so its size check reads file footers);
-3. per (group, partition) slice: first position and row count - a small
-   table (about one row per group plus one per partition);
-4. within each group the slices are ordered by partition, and a running
-   sum of slice sizes gives each slice's offset (a hot group has at most
-   one slice per partition, so this window is small);
-5. the slice offsets join back on (group, partition), which is evenly
-   spread because the hot group is split across partitions.
+2. each row gets its position inside its group's slice of its partition, and
+   whether that slice is the partition's first, and the row its last; this
+   table is written once to the shared checkpoint folder, which pins the
+   positions and cuts the lineage;
+3. only the first slice of a partition can go on from earlier ones.  The
+   groups and lengths of the partitions' last slices, a row per partition,
+   give the rows before it;
+4. these offsets, a row per partition, are broadcast to the table, so that
+   its rows aren't shuffled a second time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stopflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_dimension
 from stopflow.session import materialize
 
-_LOW_BITS = 33  # monotonically_increasing_id puts the partition index above bit 33
+
+def _starts(group: pa.Array) -> np.ndarray:
+    """Whether each value differs from the one before it; nulls are equal."""
+    return np.diff(group.dictionary_encode("encode").indices.to_numpy(), prepend=-1) != 0
+
+
+def _slices(group: str):
+    """Adds _idx (1..n in the group's slice of the sorted partition), _first (of the first slice) and _last (the partition's last row)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, length, slices = None, 0, 0
+
+        def out(b: pa.RecordBatch, idx: np.ndarray, first: np.ndarray, ends: bool) -> pa.RecordBatch:
+            last = np.zeros(b.num_rows, bool)
+            last[-1] = ends
+            return pa.RecordBatch.from_arrays([*b.columns, pa.array(idx), pa.array(first), pa.array(last)], names=[*b.schema.names, "_idx", "_first", "_last"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g, at = b.column(group), np.arange(b.num_rows, dtype=np.int64)
+            starts = _starts(g)
+            if held is not None:
+                before = held[0].column(group)
+                starts[0] = _starts(pa.concat_arrays([before.slice(len(before) - 1), g.slice(0, 1)]))[1]
+                yield out(*held, False)
+            begun = np.maximum.accumulate(np.where(starts, at, -1))
+            idx = np.where(begun < 0, length + at + 1, at - begun + 1)
+            number = slices + np.cumsum(starts)
+            held, length, slices = (b, idx, number == 1), int(idx[-1]), int(number[-1])
+        if held is not None:
+            yield out(*held, True)
+    return run
 
 
-def number_within_groups(df: DataFrame, group: str, order: list[Column], name: str = "seq_no",
-                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def number_within_groups(df: DataFrame, group: str, order: list[Column], name: str = "seq_no") -> DataFrame:
     """Add ``name`` = 1..n within each ``group`` in ``order``; ties go by the remaining columns."""
     cols = df.columns
-    pos = F.monotonically_increasing_id()
     ranked = (df.orderBy(F.col(group).asc(), *order, *(F.col(c).asc() for c in cols if c != group))
-              .withColumn("_pos", pos)
-              .select(*cols, F.shiftright("_pos", _LOW_BITS).alias("_part"),
-                      F.col("_pos").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_idx")))
-    ranked = materialize(ranked, "group_sequence")
-    slices = ranked.groupBy(group, "_part").agg(F.min("_idx").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(slices.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_start",
-                                        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")),
-                          "group_sequence_offsets")
-    on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))
-    joined = join_dimension(ranked, offsets, on, "inner", max_broadcast_bytes, landed=True)
-    seq = (F.col("_idx") - F.col("_start") + F.col("_before") + 1).cast("int")
+              .withColumn("_part", F.spark_partition_id()))
+    added = [T.StructField("_idx", T.LongType()), T.StructField("_first", T.BooleanType()), T.StructField("_last", T.BooleanType())]
+    ranked = materialize(ranked.mapInArrow(_slices(group), T.StructType([*ranked.schema.fields, *added])), "group_sequence", "zstd")
+    heads = ranked.filter("_first and _idx = 1").select(F.col(group).alias("_g"), F.col("_part").alias("_p"))
+    tails = ranked.filter("_last").select(F.col(group).alias("_h"), F.col("_part").alias("_q"), F.col("_idx").alias("_n"))
+    offsets = (heads.join(F.broadcast(tails), F.col("_g").eqNullSafe(F.col("_h")) & (F.col("_q") < F.col("_p")))
+               .groupBy("_p").agg(F.sum("_n").alias("_before")))
+    joined = ranked.join(F.broadcast(offsets), F.col("_part") == F.col("_p"), "left")
+    seq = (F.col("_idx") + F.when(F.col("_first"), F.coalesce("_before", F.lit(0))).otherwise(0)).cast("int")
     return joined.select(*cols, seq.alias(name))
 
 
