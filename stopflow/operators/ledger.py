@@ -1,11 +1,12 @@
 """Exact de-duplication across batches: a ledger of all rows seen so far.
 
-The ledger holds each distinct row once, whole, with a hash of all its
-columns, in buckets by that hash.  A new batch reads only the buckets that
-its own rows fall into, meets them by the hash, and compares whole rows, so
-two rows of one hash are both kept.  Each batch's rows are a folder of its
-own, listed last: a batch that ended early is unlisted and is done again, and
-one that runs a second time gets the same rows back.
+The ledger holds each distinct row once, whole, in buckets by a hash of all
+its columns.  A new batch reads only the buckets that its own rows fall into
+and is grouped together with them by all columns: whole rows are compared, so
+two rows of one hash are both kept, and each row is shuffled once.  Each
+batch's rows are a folder of its own, listed last: a batch that ended early is
+unlisted and is done again, and one that runs a second time gets the same rows
+back.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from stopflow.operators.clean import add_duration, dedup_exact, drop_missing_key
 from stopflow.sources.paths import filesystem
 
 LIST, BUCKETS = "_batches", 64
-_HASH, _BUCKET = "_row_hash", "_bucket"
+_OLD, _BUCKET = "_old", "_bucket"
 
 
 def listed_batches(spark: SparkSession, ledger: str) -> list[str]:
@@ -41,30 +42,33 @@ def new_rows(batch: DataFrame, ledger: str, name: str, buckets: int = BUCKETS) -
     Nulls are equal to each other.  All batches of a ledger must have the same
     columns; ``name`` must be a file name of letters, digits, ``-`` and ``_``,
     and ``buckets`` stays as it was for the first batch.  Batches are taken
-    one at a time.  Rows that only one batch holds are joined by their hash, which no
-    key can dominate, as both sides are distinct.
+    one at a time.  The batch's copies are put together before the shuffle,
+    which is by whole rows, so no key can dominate it.
     """
     if not name or not all(c.isalnum() or c in "-_" for c in name) or name.startswith("_"):
         raise ValueError(f"not a batch name: {name!r}")
     spark, columns, root = batch.sparkSession, batch.columns, ledger.rstrip("/")
     quoted = [F.col(f"`{c}`") for c in columns]
-    hashed = F.xxhash64(*quoted)
-    rows = dedup_exact(batch).select(*quoted, hashed.alias(_HASH), F.pmod(hashed, F.lit(buckets)).cast("int").alias(_BUCKET))
+    bucket = F.pmod(F.xxhash64(*quoted), F.lit(buckets)).cast("int").alias(_BUCKET)
+    rows = batch.select(*quoted)
+    kept = rows.select(*quoted, bucket)
     known = listed_batches(spark, root)
     fs, at = filesystem(spark, f"{root}/{LIST}/{name}")
     if name not in known:
-        old = _stored(spark, root, known, rows.schema)
-        if old is not None:
+        old = _stored(spark, root, known, kept.schema)
+        if old is None:
+            rows = dedup_exact(rows)
+        else:
             # a row or less per bucket, so at most ``buckets`` numbers
-            own = [r[0] for r in rows.select(_BUCKET).distinct().collect()]
-            same = F.col(f"n.{_HASH}") == F.col(f"o.{_HASH}")
-            for c in columns:
-                same = same & F.col(f"n.`{c}`").eqNullSafe(F.col(f"o.`{c}`"))
-            rows = rows.alias("n").join(old.filter(F.col(_BUCKET).isin(own)).alias("o"), same, "left_anti")
+            own = [r[0] for r in kept.select(_BUCKET).distinct().collect()]
+            seen = old.filter(F.col(_BUCKET).isin(own)).select(*quoted, F.lit(True).alias(_OLD))
+            rows = (rows.withColumn(_OLD, F.lit(False)).unionByName(seen).groupBy(*quoted).agg(F.bool_or(_OLD).alias(_OLD))
+                    .filter(~F.col(_OLD)).drop(_OLD))
+        rows = rows.select(*quoted, bucket)
         rows.write.mode("overwrite").partitionBy(_BUCKET).option("compression", "zstd").parquet(f"{root}/{name}")
         fs.mkdirs(at.getParent())
         fs.create(at, True).close()
-    return _stored(spark, root, [name], rows.schema).select(*quoted)
+    return _stored(spark, root, [name], kept.schema).select(*quoted)
 
 
 def clean_batch(raw: DataFrame, ledger: str, name: str, buckets: int = BUCKETS) -> DataFrame:
