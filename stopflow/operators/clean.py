@@ -128,7 +128,11 @@ def clean_stats_frame(raw: DataFrame) -> DataFrame:
     Summing the copy counts gives the raw and key-filtered counts; the
     number of key-complete distinct rows is the de-duplicated count.
     """
-    groups = count_copies(raw)
+    return stats_of_groups(count_copies(raw))
+
+
+def stats_of_groups(groups: DataFrame) -> DataFrame:
+    """:func:`clean_stats_frame` of rows that :func:`count_copies` or :func:`clean_counted` made, also after row-preserving joins."""
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))  # noqa: E731  null over an empty feed
     kept = total(F.when(F.col("_ok"), F.col("_n")).otherwise(0))
     return groups.agg(

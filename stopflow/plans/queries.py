@@ -360,12 +360,15 @@ def profile_sample(spark, d):
 
 
 def dq_report(spark, d):
-    """The integrity expectations over the published tables, each read once."""
-    st = materialize(stops(spark, d), "dq-stops")
+    """The integrity expectations over the published tables, each read once; stops and removal counts come from one grouping."""
+    sm, tm = X.station_meta(spark, d), X.train_meta(spark, d)
+    counted = C.clean_counted(X.raw_stops(spark, d))
+    groups = materialize(E.enrich(counted, E.station_dimension(sm), E.train_dimension(tm), stations_bound=sm, trains_bound=tm), "dq-stops", "zstd")
+    st = groups.filter("_ok").drop("_ok", "_n")
     tables = {"busiest_stations": A.busiest_stations(st, 20), "longest_trains": A.longest_trains(st, 20), "stoppage_stats": A.stoppage_stats(st),
               "hourly_traffic": A.hourly_traffic_dense(st), "breakdown_zone": A.breakdown(st, "zone")}
     tables = {name: materialize(df, f"dq-{name}") for name, df in tables.items()}
-    stats = materialize(C.clean_stats_frame(X.raw_stops(spark, d)), "dq-clean-stats")
+    stats = materialize(C.stats_of_groups(groups), "dq-clean-stats")
     summary = materialize(A.run_summary(st, stats), "dq-run-summary")
     top_station = tables["busiest_stations"].orderBy(F.desc("total_stops"), "station_code", "station_name").select("station_name").limit(1).scalar()
     top_train = tables["longest_trains"].orderBy(F.desc("num_stops"), "train_number", "train_name").select("train_number").limit(1).scalar()
