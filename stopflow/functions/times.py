@@ -32,8 +32,16 @@ def to_int_truncating(x: Column) -> Column:
 
 
 def clock_part(c: str | Column, index: int) -> Column:
-    """Integer of the ``index``-th ``:``-separated field, null when absent or not a number."""
-    return to_int_truncating(F.get(F.split(_col(c), ":"), index))
+    """Integer of the ``index``-th ``:``-separated field, null when absent or not a number.
+
+    Fields are cut out as bytes; a ``split`` would decode the text and build
+    an array of fields for each use.
+    """
+    c = _col(c)
+    field = F.substring_index(c, ":", index + 1)
+    if index > 0:  # with fewer separators, what stands before the last one needed is the whole text
+        field = F.when(F.substring_index(c, ":", index) != c, F.substring_index(field, ":", -1))
+    return to_int_truncating(field)
 
 
 def hour_of(c: str | Column) -> Column:
@@ -61,8 +69,12 @@ def dwell_minutes(arrival: str | Column, departure: str | Column, strict: bool =
     Null when either side is null or unparseable (or, with ``strict``, out of
     range).  For valid clock times the result lies in 0..1439.
     """
-    a = minutes_since_midnight(arrival, strict)
-    d = minutes_since_midnight(departure, strict)
+    return minutes_between(minutes_since_midnight(arrival, strict), minutes_since_midnight(departure, strict))
+
+
+def minutes_between(start: str | Column, end: str | Column) -> Column:
+    """Minutes from one minute of the day to another, wrapping past midnight."""
+    a, d = _col(start), _col(end)
     return F.when(d >= a, d - a).otherwise(d + F.lit(MINUTES_PER_DAY) - a).cast("int")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stopflow.functions.text import clean_name
-from stopflow.functions.times import dwell_minutes, hh_mm, null_placeholder
+from stopflow.functions.times import hh_mm, minutes_between, minutes_since_midnight, null_placeholder
 from stopflow.operators.conform import conform_stops, station_key
 
 TIME_COLUMNS = ["arrival", "departure"]
@@ -47,9 +47,15 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 
 def add_duration(df: DataFrame) -> DataFrame:
-    """Dwell minutes from the full time text, then cut times to ``HH:MM``."""
-    return df.withColumn("stop_duration_mins", dwell_minutes("arrival", "departure")).withColumns(
-        {"arrival": hh_mm("arrival"), "departure": hh_mm("departure")})
+    """Dwell minutes from the full time text, then cut times to ``HH:MM``.
+
+    The minutes of both times are columns of their own, so that each is
+    worked out once a row: in one expression the aggregate below would
+    repeat them at every place that uses them.
+    """
+    timed = df.withColumns({"_arr": minutes_since_midnight("arrival"), "_dep": minutes_since_midnight("departure"),
+                            "arrival": hh_mm("arrival"), "departure": hh_mm("departure")})
+    return timed.withColumn("stop_duration_mins", minutes_between("_arr", "_dep")).drop("_arr", "_dep")
 
 
 def normalise(raw: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from stopflow.operators.conform import col_or_null, existing, select_existing
 from stopflow.operators.ranking import number_within_groups
 from stopflow.operators.slicers import route_filter, station_filter
 from stopflow.schema import HALT_PROFILE_COLUMNS, ITINERARY_COLUMNS, TIMETABLE_COLUMNS
+from stopflow.session import materialize
 
 ROUTE_ORDER = ["stop_sequence", "arrival", "departure"]
 
@@ -71,22 +72,32 @@ def station_train_types(stops: DataFrame) -> DataFrame:
 
 
 def station_profiles(stops: DataFrame) -> DataFrame:
-    """The station page for every station in one aggregation: a code,
-    services, mean halt (1 decimal), distinct trains and category choices.
-
-    Distinct trains are counted exactly with Spark's two-phase distinct
-    aggregate (a station's trains are never gathered in one list); the
-    category set per station is bounded by the number of categories.
+    """The station page for every station: a code, services, mean halt
+    (1 decimal), distinct trains and category choices.
+
+    The columns that this needs are landed once and aggregated twice: codes,
+    categories and halts by (station, code, category), so that text is merged
+    of a few rows per station and map task only; and the exact distinct trains
+    by (station, train), whose many groups carry no further buffers.  Both
+    results have a row per station, put together by one more aggregation (a
+    null station name is a station too).
     """
-    t = col_or_null(stops, "train_type")
-    typ = F.when(t.isNotNull() & (t != ""), t)
-    return stops.groupBy("station_name").agg(
-        F.min(col_or_null(stops, "station_code")).alias("station_code"),
-        F.count(F.lit(1)).alias("services"),
-        F.round(F.avg("stop_duration_mins"), 1).alias("avg_halt_mins"),
-        F.countDistinct("train_number").alias("distinct_trains"),
-        F.array_join(F.array_sort(F.collect_set(typ)), ",").alias("train_types"),
-    )
+    t, dur = col_or_null(stops, "train_type"), F.col("stop_duration_mins")
+    landed = materialize(stops.select(
+        "station_name", col_or_null(stops, "station_code").alias("station_code"), dur,
+        "train_number", F.when(t.isNotNull() & (t != ""), t).alias("_type")), "station-profiles", "zstd")
+    choices = (landed.groupBy("station_name", "station_code", "_type")
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum(dur).alias("_s"), F.count(dur).alias("_c"))
+               .groupBy("station_name")
+               .agg(F.min("station_code").alias("station_code"), F.sum("_n").alias("_n"), F.sum("_s").cast("double").alias("_s"),
+                    F.sum("_c").alias("_c"), F.array_join(F.array_sort(F.collect_set("_type")), ",").alias("_types")))
+    trains = (landed.select("station_name", "train_number").distinct()
+              .groupBy("station_name").agg(F.count("train_number").alias("_trains")))
+    one = lambda c: F.max(c)  # noqa: E731  the one value among a station's two rows
+    return (choices.unionByName(trains, allowMissingColumns=True).groupBy("station_name")
+            .agg(one("station_code").alias("station_code"), one("_n").alias("services"),
+                 F.round(F.try_divide(one("_s"), one("_c").cast("double")), 1).alias("avg_halt_mins"),
+                 one("_trains").alias("distinct_trains"), one("_types").alias("train_types")))
 
 
 def station_timetable(stops: DataFrame, station_name: str, train_type: str | None = None,

@@ -5,10 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stopflow.functions import times as T
 from stopflow.operators import analytics as A
 from stopflow.operators import clean as C
 from stopflow.operators import enrich as E
+from stopflow.operators import joins as J
 from stopflow.operators import ledger as G
+from stopflow.operators import lookup as L
 from stopflow.operators import slicers as S
 from stopflow.operators.ranking import number_within_groups
 from stopflow.plans import fixture as X
@@ -106,3 +109,63 @@ def test_report_reads_the_feed_once(spark, monkeypatch):
     real = X.raw_stops
     monkeypatch.setattr(X, "raw_stops", lambda *a: (calls.append(1), real(*a))[1])
     assert all(r.ok is not None for r in QUERIES["dq_report"](spark, SF_SMALL).collect()) and len(calls) == 1
+
+
+def test_station_profiles_group_by_train_without_further_buffers(spark):
+    """Trains are counted apart from codes and categories; null stations, nameless codes and blank categories stay right."""
+    rows = [("A", "S2", "1", "EXP", 5), ("A", "S1", "1", "", None), ("A", None, "2", "SLOW", 6), ("A", "S1", None, "EXP", 6),
+            (None, "S9", "3", None, None), (None, None, "3", "EXP", 3), ("B", None, None, None, None)]
+    df = spark.createDataFrame(rows, "station_name string, station_code string, train_number string, train_type string, stop_duration_mins int")
+    out = L.station_profiles(df)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [
+        ("A", "S1", 4, 5.7, 2, "EXP,SLOW"), (None, "S9", 2, 3.0, 1, "EXP"), ("B", None, 1, None, 0, "")]))
+    by_train = [x for x in lines_of(out, "optimizedPlan") if x.startswith("Aggregate") and "train_number" in x.split("]")[0]]
+    assert by_train and not any("collect_set" in x or "min(" in x for x in by_train)
+    assert L.station_profiles(df.limit(0)).count() == 0
+    bare = L.station_profiles(df.drop("station_code", "train_type")).collect()
+    assert sorted((str(r.station_name), r.station_code, r.services, r.train_types) for r in bare) == [("A", None, 4, ""), ("B", None, 1, ""), ("None", None, 2, "")]
+
+
+def test_large_dimension_is_hashed_by_partition(spark):
+    """Beyond a broadcast, the fact table isn't sorted while a partition's part of the dimension is small; else it is."""
+    dim = E.train_dimension(spark.range(3000).selectExpr("cast(id as string) as number", "concat('T', id % 7) as type"))
+    stops = spark.range(4000).selectExpr("case when id % 11 > 0 then cast(id as string) end as train_number", "id as stop_sequence", "'S1' as station_code")
+    size = J.byte_size(dim)
+    hashed, ordered = (E.enrich_train(stops, dim, max_broadcast_bytes=m) for m in (size // 4, size // 100))
+    assert any("ShuffledHashJoin" in x for x in lines_of(hashed, "executedPlan"))
+    assert not any("ShuffledHashJoin" in x for x in lines_of(ordered, "executedPlan"))
+    want = sorted(map(str, E.enrich_train(stops, dim).collect()))
+    assert sorted(map(str, hashed.collect())) == want == sorted(map(str, ordered.collect()))
+
+
+def test_hashed_dimension_leaves_the_hot_key_to_be_split(spark):
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        dim = E.train_dimension(spark.range(4000).selectExpr("cast(id as string) as number", "'EXP' as type"))
+        stops = spark.range(60000).selectExpr("case when id % 3 = 0 then '7' else cast(id % 4000 as string) end as train_number", "sha2(cast(id as string), 256) as payload")
+        joined = E.enrich_train(stops, dim, max_broadcast_bytes=J.byte_size(dim) // 2)
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60000 and all(r.train_type == "EXP" for r in rows)
+    assert "ShuffledHashJoin(skew=true)" in plan
+
+
+def test_dwell_minutes_are_worked_out_once_a_row(spark):
+    """The minutes of each time stand once in the plan of the cleaned stops, and no text is split into arrays."""
+    plan = "\n".join(lines_of(C.clean_stops(X.raw_stops(spark, SF_SMALL)), "optimizedPlan"))
+    assert "split(" not in plan and plan.count("AS _arr") == plan.count("AS _dep") == 1
+    odd = [("08:10:59", "8.5:3.9"), ("9", "9:"), (":5", "1:2"), ("::", "3"), (" 7 : 8 ", "7:08"), ("", "a:b"), (None, "23:59"), ("-1:10", "99:99:99")]
+    df = spark.createDataFrame(odd, "arrival string, departure string")
+    for k in (0, 1, 2):
+        got = df.select(*(T.clock_part(c, k).alias(c) for c in df.columns)).collect()
+        assert got == df.select(*(T.to_int_truncating(F.get(F.split(c, ":"), k)).alias(c) for c in df.columns)).collect()
+    a, d = (T.to_int_truncating(F.get(F.split(c, ":"), 0)) * 60 + T.to_int_truncating(F.get(F.split(c, ":"), 1)) for c in df.columns)
+    want = df.select(F.when(d >= a, d - a).otherwise(d + 1440 - a).alias("m")).collect()
+    assert [r.stop_duration_mins for r in C.add_duration(df).collect()] == [r.m for r in want]

@@ -55,7 +55,7 @@ def main(argv):
         "route itinerary lookup (published stops)": L.route_itinerary(stops, "1102"),
         "halt numbers (skew-safe numbering)": L.route_halt_number(stops),
         "train profiles (every train card, one shuffle)": L.train_profiles(stops),
-        "station profiles (every station page, one aggregation)": L.station_profiles(stops),
+        "station profiles (every station page)": L.station_profiles(stops),
         "raw feed derivation": X.raw_stops(spark, sf_dir),
     }
     print("# Physical plans of the headline queries\n")
