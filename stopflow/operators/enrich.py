@@ -95,13 +95,20 @@ def enrich_train(stops: DataFrame, trains: DataFrame,
 def enrich(stops: DataFrame, stations: DataFrame | None, trains: DataFrame | None,
            max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
            stations_bound: DataFrame | None = None, trains_bound: DataFrame | None = None) -> DataFrame:
-    """Both enrichments; a missing dimension is skipped."""
-    out = stops
-    if stations is not None:
-        out = enrich_station(out, stations, max_broadcast_bytes, stations_bound)
+    """Both enrichments; a missing dimension is skipped.
+
+    Trains, the larger dimension as a rule, come first: if their join
+    shuffles, the stations' attributes don't go along.
+    """
+    out, added = stops, []
     if trains is not None:
         out = enrich_train(out, trains, max_broadcast_bytes, trains_bound)
-    return out
+        added = out.columns[len(stops.columns):]
+    if stations is not None:
+        out = enrich_station(out, stations, max_broadcast_bytes, stations_bound)
+    # the stations' attributes stand before the trains'
+    names = [*(c for c in out.columns if c not in added), *added]
+    return out.select(*(F.col(f"`{c}`") for c in names)) if len({*names}) == len(out.columns) else out
 
 
 def unmatched_keys(stops: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,

@@ -18,6 +18,8 @@ from stopflow.sources.ranges import ends_quoted, split_size
 
 # Larger than any file, so that each file is one task's.
 _WHOLE = 1 << 62
+# Lines in which a CSV header is looked for first.
+HEADER_LINES = 64
 
 
 @dataclass(frozen=True)
@@ -69,13 +71,13 @@ def header_names(header: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(header.rstrip("\r"), newline="")), ()))
 
 
-def _first_rows(fmt: str):
-    """Reads a file's rows until its kind is known; the rest of it is not read."""
+def _first_rows(fmt: str, whole: bool = True):
+    """Reads a file's rows until its kind is known; null if they are not the whole file and don't tell it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, text, lines = None, "", []
 
-        def row(kind: str) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]], pa.int64()), pa.array([kind])], names=["file", "size", "kind"])
+        def row(kind: str | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]], pa.int64()), pa.array([kind], pa.string())], names=["file", "size", "kind"])
 
         for b in batches:
             for at in range(0, b.num_rows, 64):
@@ -92,19 +94,27 @@ def _first_rows(fmt: str):
                     yield row(kind)
                     return
         if last is not None:
-            yield row(json_layout(text, True) if fmt == "json" else "\n".join(lines))
+            yield row(None if not whole else json_layout(text, True) if fmt == "json" else "\n".join(lines))
     return run
 
 
-def sniffed(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """file, size, kind of each non-empty data file that a reader of ``path`` reads."""
+def sniffed(spark: SparkSession, path: str | list[str], fmt: str, lines: int | None = None) -> DataFrame:
+    """file, size, kind of each non-empty data file that a reader of ``path`` reads; with ``lines``, kind is null where so many don't tell it."""
     rows = (spark.read.option("lineSep", "}" if fmt == "json" else "\n").text(path)
             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")))
-    return rows.mapInArrow(_first_rows(fmt), "file string, size long, kind string")
+    if lines is not None:  # a partition is a file; the low 33 bits number its rows
+        rows = rows.filter(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) < lines)
+    return rows.mapInArrow(_first_rows(fmt, lines is None), "file string, size long, kind string")
 
 
 def found_files(spark: SparkSession, path: str, fmt: str) -> list[FoundFile]:
-    """The files of ``path`` with their kinds, in order of their paths: a row per file, as the readers' own listing keeps on the driver."""
+    """The files of ``path`` with their kinds, in order of their paths: a row per file, as the readers' own listing keeps on the driver.
+
+    A CSV file hands over its first lines only; one whose header is longer
+    is read again.
+    """
     with split_size(spark, _WHOLE):
-        rows = sniffed(spark, path, fmt).collect()
+        rows = sniffed(spark, path, fmt, HEADER_LINES if fmt == "csv" else None).collect()
+        if longer := [unquote(r.file) for r in rows if r.kind is None]:
+            rows = [r for r in rows if r.kind is not None] + sniffed(spark, longer, fmt).collect()
     return sorted((FoundFile(unquote(r.file), r.size, r.kind) for r in rows), key=lambda f: f.path)

@@ -18,7 +18,7 @@ from stopflow.plans import fixture as X
 from stopflow.plans.queries import QUERIES
 from stopflow.sinks import versions as V
 from stopflow.sources import files as R
-from stopflow.sources import ranges
+from stopflow.sources import ranges, sniff
 
 from tests.conftest import SF_SMALL
 from tests.test_whole_inputs import put
@@ -169,3 +169,34 @@ def test_dwell_minutes_are_worked_out_once_a_row(spark):
     a, d = (T.to_int_truncating(F.get(F.split(c, ":"), 0)) * 60 + T.to_int_truncating(F.get(F.split(c, ":"), 1)) for c in df.columns)
     want = df.select(F.when(d >= a, d - a).otherwise(d + 1440 - a).alias("m")).collect()
     assert [r.stop_duration_mins for r in C.add_duration(df).collect()] == [r.m for r in want]
+
+
+def test_headers_are_found_in_the_first_lines(spark, tmp_dir, monkeypatch):
+    """A file hands over its first lines; one whose header goes on beyond them is read again, and no row is lost."""
+    monkeypatch.setattr(sniff, "HEADER_LINES", 2)
+    put(f"{tmp_dir}/in/a.csv", "k,t\n" + "".join(f"{i},x\n" for i in range(500)))
+    put(f"{tmp_dir}/in/b b.csv", '"k\n1\n2\n3",t\n7,"y\nz"\n')
+    lists = []
+    real = sniff._first_rows
+
+    def spy(fmt, whole=True):
+        lists.append(whole)
+        return real(fmt, whole)
+
+    monkeypatch.setattr(sniff, "_first_rows", spy)
+    found = {f.path.rsplit("/", 1)[1]: f.kind for f in sniff.found_files(spark, f"{tmp_dir}/in", "csv")}
+    assert found == {"a.csv": "k,t", "b b.csv": '"k\n1\n2\n3",t'} and lists == [False, True]
+    got = R.read_csv(spark, f"{tmp_dir}/in")
+    assert got.count() == 501 and got.filter("t = 'y\nz'").count() == 1
+    first = sniff.sniffed(spark, f"{tmp_dir}/in/a.csv", "csv", 1).collect()
+    assert [r.kind for r in first] == ["k,t"]
+
+
+def test_station_attributes_do_not_go_through_the_train_join(spark):
+    """The trains' join, which may shuffle, stands below the stations'; columns and rows are as before."""
+    sm, tm, st = X.station_meta(spark, SF_SMALL), X.train_meta(spark, SF_SMALL), C.clean_stops(X.raw_stops(spark, SF_SMALL))
+    both = E.enrich(st, E.station_dimension(sm), E.train_dimension(tm))
+    joins = [x for x in lines_of(both, "optimizedPlan") if x.startswith("Join LeftOuter")]
+    assert len(joins) == 2 and "_station_key" in joins[0] and "_train_key" in joins[1]
+    other = E.enrich_train(E.enrich_station(st, E.station_dimension(sm)), E.train_dimension(tm))
+    assert both.columns == other.columns and sorted(map(str, both.collect())) == sorted(map(str, other.collect()))
